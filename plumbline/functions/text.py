@@ -8,6 +8,7 @@ through unchanged.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,6 +97,9 @@ SINGLE = {
     "›": ">",
 }
 
+# Letters and signs that are spelled out before the ASCII test.
+_COMMON = "ß—…"
+
 # Latin-1, Extended-A, Extended-B; Extended Additional; general spaces; full-width forms.
 _DECOMPOSED = (range(0x00A0, 0x0250), range(0x1E00, 0x1F00), range(0x2000, 0x200B), range(0xFF01, 0xFF5F))
 
@@ -128,18 +132,27 @@ _FROM = "".join(_LETTERS) + _GONE
 _TO = "".join(_LETTERS.values())
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
+def _spell_out(text: Column, letters: Iterable[str]) -> Column:
+    for letter in letters:
+        text = F.replace(text, F.lit(letter), F.lit(SPELLED_OUT[letter]))
+    return text
+
+
 def ascii_fold(text: Column) -> Column:
     """Fold ``text`` to ASCII; NULL stays NULL.
 
-    Pure ASCII values, the bulk of most columns, are passed on after two length
-    look-ups; only the others go through the replacements.
+    Each step runs only on values that still need it: pure ASCII text is passed
+    on after two length look-ups, the one-to-one letters and the most common
+    others are replaced next, and the long tail of replacements is left to the
+    few values that are not ASCII even then.
     """
     text = text.cast("string")
-    folded = text
-    for letter, spelled in SPELLED_OUT.items():
-        folded = F.replace(folded, F.lit(letter), F.lit(spelled))
-    folded = F.translate(folded, _FROM, _TO)
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
+    common = F.when(_is_ascii(text), text).otherwise(_spell_out(F.translate(text, _FROM, _TO), _COMMON))
+    return F.when(_is_ascii(common), common).otherwise(_spell_out(common, SPELLED_OUT))
 
 
 def normalized(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The report line to skip and the separators between key and value.
@@ -10,7 +10,7 @@ _SKIPPED_LINE = "Scheduling mode"
 _SEPARATORS = " => | = "
 
 # White space as the line breaks and margins of a report use it.
-_MARGIN = r"^\s+|\s+$"
+_MARGIN = " \t\n\r\x0b\x0c"
 
 # The parts of a task-end event that are read.
 _TASK_END = "SparkListenerTaskEnd"
@@ -32,25 +32,25 @@ _EVENT = """
 """
 
 
+def _strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(_MARGIN))
+
+
 def parse_stage_report(reports: DataFrame, run: str = "run", report: str = "report") -> DataFrame:
     """Key and value of every report line that has exactly the two; the last line of a key wins.
 
-    ``reports`` holds one report text per run. Blank lines and the scheduling
-    mode line are skipped.
+    ``reports`` holds one report text per run, next to a ``run`` column. Blank
+    lines and the scheduling mode line are skipped. A report is taken apart
+    inside its row, nothing is shuffled.
     """
-    lines = reports.select(
-        F.col(run), F.posexplode(F.split(F.regexp_replace(report, _MARGIN, ""), "\n")).alias("line_no", "line")
-    )
-    parts = lines.filter(~F.startswith("line", F.lit(_SKIPPED_LINE))).select(
-        run, "line_no", F.split(F.regexp_replace("line", _MARGIN, ""), _SEPARATORS).alias("parts")
-    )
-    pairs = parts.filter(F.size("parts") == 2).select(
-        run,
-        "line_no",
-        F.regexp_replace(F.col("parts")[0], _MARGIN, "").alias("key"),
-        F.regexp_replace(F.col("parts")[1], _MARGIN, "").alias("value"),
+    lines = F.filter(F.split(_strip(F.col(report)), "\n"), lambda line: ~F.startswith(line, F.lit(_SKIPPED_LINE)))
+    parts = F.filter(F.transform(lines, lambda line: F.split(_strip(line), _SEPARATORS)), lambda part: F.size(part) == 2)
+    pairs = F.transform(parts, lambda part: F.struct(_strip(part[0]).alias("key"), _strip(part[1]).alias("value")))
+    numbered = reports.select(run, pairs.alias("pairs")).select(
+        run, F.reverse(F.col("pairs.key")).alias("keys_from_end"), F.posexplode("pairs").alias("position", "pair")
     )
-    return pairs.groupBy(run, "key").agg(F.max_by("value", "line_no").alias("value"))
+    last = F.size("keys_from_end") - F.array_position("keys_from_end", F.col("pair.key"))
+    return numbered.filter(F.col("position") == last).select(run, "pair.key", "pair.value")
 
 
 def stage_metrics(log_lines: DataFrame, line: str = "value") -> DataFrame:

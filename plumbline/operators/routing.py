@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.checks import duplicate_groups, has_null
@@ -33,6 +36,11 @@ def null_records(records: DataFrame) -> DataFrame:
     return records.select(*COLUMNS).filter(has_null())
 
 
+def _keyed() -> Column:
+    """True where the whole key is set. Separate conditions, so that each reaches the scan."""
+    return reduce(and_, [F.col(name).isNotNull() for name in DUPLICATE_KEY])
+
+
 def _salts_per_key(groups: DataFrame, hot_rows: int) -> DataFrame:
     """The largest groups as (key hash, number of salts), one row per hash."""
     hottest = groups.filter(F.col("count") > hot_rows).orderBy(F.desc("count")).limit(MAX_HOT_KEYS)
@@ -55,18 +63,20 @@ def duplicate_rows(records: DataFrame, groups: DataFrame | None = None, hot_rows
     ``groups`` takes a stored result of :func:`duplicate_groups`; its known size
     then lets the optimizer broadcast it when it is small, and no row is moved.
     Otherwise both sides are shuffled on the key, and a key with more than
-    ``hot_rows`` rows is cut into salts: its rows are spread by the id of the
-    task that read them (the same on a retry), its group is repeated once per
-    salt. Both sides look the salts up by key hash, so a hash collision costs a
-    few repeated groups and never a row.
+    ``hot_rows`` rows is cut into salts: its rows are spread by their id and the
+    number of the task that read them (so exact copies spread too, and a retry
+    gives the same salt), its group is repeated once per salt. Both sides look
+    the salts up by key hash, so a hash collision costs a few repeated groups
+    and never a row.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    groups = groups.dropna(subset=DUPLICATE_KEY)
+    groups = groups.filter(_keyed())
     salts = _salts_per_key(groups, hot_rows)
 
-    rows = _with_salts(records.select(*COLUMNS).dropna(subset=DUPLICATE_KEY), salts)
-    rows = rows.withColumn(_SALT, F.spark_partition_id() % F.col(_SALTS)).drop(_SALTS)
+    rows = _with_salts(records.select(*COLUMNS).filter(_keyed()), salts)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), F.col("id")), F.col(_SALTS)).cast("int")
+    rows = rows.withColumn(_SALT, spread).drop(_SALTS)
     keys = _with_salts(groups.drop("count"), salts)
     keys = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))).drop(_SALTS)
     return rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi").select(*COLUMNS)

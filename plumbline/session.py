@@ -15,7 +15,7 @@ SETTINGS = {
 
 
 def session(app_name: str, **settings: str) -> SparkSession:
-    """A session with :data:`SETTINGS`; keyword arguments take ``_`` for ``.`` nowhere, pass a dict with ``**``."""
+    """A session with :data:`SETTINGS` and the given settings. What ``spark-submit --conf`` sets is kept otherwise."""
     builder = SparkSession.builder.appName(app_name)
     for name, value in {**SETTINGS, **settings}.items():
         builder = builder.config(name, value)
