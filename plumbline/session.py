@@ -1,22 +1,17 @@
-"""Session settings the runs are planned for."""
+"""Sessions for jobs, tests and benchmarks."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.session.timeZone": "UTC",
-}
-
 
 def session(app_name: str, **settings: str) -> SparkSession:
-    """A session with :data:`SETTINGS` and the given settings. What ``spark-submit --conf`` sets is kept otherwise."""
-    builder = SparkSession.builder.appName(app_name)
-    for name, value in {**SETTINGS, **settings}.items():
+    """A session on UTC with the given settings.
+
+    Tuning is left to ``spark-submit`` (see ``conf/landing.conf``): what is set
+    here would win over it.
+    """
+    builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
+    for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
