@@ -1,0 +1,337 @@
+"""Sources, sinks and whole runs."""
+
+import json
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from plumbline import api
+from plumbline.operators import flatten, process, valid_records
+from plumbline.plans import IngestJob, run_ingest
+from plumbline.schema import LANDED, TARGET
+from plumbline.sinks import append_failure, append_success, land, read_run_log
+from plumbline.sources import Collection, day_mark, high_water_mark, load_collection, read_landed, since
+from plumbline.storage import shared_folder
+import samples
+from samples import SOURCE, documents, nine, review
+
+# The data source below runs in worker processes, which do not import the tests.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(samples)
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    return lambda name: str(tmp_path / name)
+
+
+@pytest.fixture()
+def collection(spark, folder):
+    """Writes reviews as a Parquet collection and returns it."""
+
+    def write(rows, name="app-x"):
+        path = folder(f"source-{name}")
+        documents(spark, rows).write.mode("overwrite").parquet(path)
+        return Collection(name, options={"path": path})
+
+    return write
+
+
+def ids(frame):
+    return sorted(row["id"] for row in frame.select("id").collect())
+
+
+def records(spark, rows):
+    return flatten(documents(spark, rows), "app-x")
+
+
+# Sources
+
+
+def test_collection_option_reaches_the_connector(spark):
+    spark.dataSource.register(DocStore)
+    frame = Collection("named", "docstore").read(spark)
+    assert {row["os"] for row in frame.collect()} == {"named"}
+
+
+def test_incremental_filter_compares_text(spark):
+    times = {
+        "equal": "2024-11-30T00:00:00",
+        "day only": "2024-11-30",
+        "other order": "30/11/2024",
+        "none": None,
+        "later": "2024-12-01T08:00:00",
+        "earlier": "2024-11-29T23:59:59",
+    }
+    frame = documents(spark, [review(name, timestamp=time) for name, time in times.items()])
+    kept = since(frame, "2024-11-30T00:00:00").select("_id.oid").collect()
+    assert {row["oid"] for row in kept} == {"equal", "other order", "later"}
+
+
+def test_landed_day_stays_text(spark, folder):
+    land(records(spark, nine()), folder("t"), "20241130", TARGET)
+    frame = read_landed(spark, folder("t"))
+    assert frame.schema == LANDED
+    assert {row["odate"] for row in frame.collect()} == {"20241130"}
+
+
+def test_high_water_mark(spark, folder):
+    path = folder("t")
+    assert high_water_mark(spark, path, "20241201") is None
+    for day in ("20241128", "20241130"):
+        land(records(spark, nine()), path, day, TARGET)
+    for load_date, mark in {
+        "20241128": None,
+        "20241129": "2024-11-28T00:00:00",
+        "20241130": "2024-11-28T00:00:00",
+        "20241201": "2024-11-30T00:00:00",
+    }.items():
+        assert high_water_mark(spark, path, load_date) == mark
+        assert day_mark(read_landed(spark, path), load_date).first()["mark"] == mark
+
+
+def test_high_water_mark_skips_days_without_rows(spark, folder):
+    path = folder("t")
+    land(records(spark, nine()), path, "20241128", TARGET)
+    records(spark, []).write.parquet(f"{path}/odate=20241129")
+    assert high_water_mark(spark, path, "20241130") == "2024-11-28T00:00:00"
+
+
+def test_load_is_full_if_the_path_holds_no_rows(spark, folder, collection):
+    land(records(spark, []), folder("t"), "20241128", TARGET)
+    load = load_collection(spark, collection(nine()), folder("t"), "20241130")
+    assert (load.mode, load.mark, load.documents.count()) == ("full", None, 9)
+
+
+def test_other_errors_are_not_taken_for_an_absent_table(spark, folder, collection, tmp_path):
+    broken = tmp_path / "t" / "odate=20241128"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception) as raised:
+        load_collection(spark, collection(nine()), folder("t"), "20241130")
+    assert not isinstance(raised.value, AssertionError)
+
+
+# Sinks
+
+
+def test_land_replaces_one_day(spark, folder):
+    path = folder("t")
+    assert land(records(spark, [review("a"), review("b")]), path, "20241129", TARGET)["rows"] == 2
+    assert land(records(spark, [review("c")]), path, "20241130", TARGET)["rows"] == 1
+    assert land(records(spark, [review("d")]), path, "20241130", TARGET)["rows"] == 1
+    assert ids(read_landed(spark, path)) == ["a", "b", "d"]
+
+
+def test_landing_nothing_replaces_nothing(spark, folder):
+    path = folder("t")
+    land(records(spark, [review("a")]), path, "20241130", TARGET)
+    assert land(records(spark, []), path, "20241130", TARGET)["rows"] == 0
+    assert land(records(spark, [review("b")]).filter("id = 'c'"), path, "20241130", TARGET)["rows"] == 0
+    assert ids(read_landed(spark, path)) == ["a"]
+
+
+def test_save_dataframe_reports_success(spark, folder):
+    path = folder("t")
+    assert api.save_dataframe(records(spark, nine()), path, "valid", TARGET, load_date="20241130") is True
+    assert api.save_dataframe(records(spark, []), path, "valid", TARGET) is False
+    assert api.save_dataframe(records(spark, nine()).drop("id"), path, "valid", TARGET) is False
+    assert api.save_dataframe("no frame", path, "valid") is False
+    assert api.save_dataframe(records(spark, nine()), "", "valid") is False
+    assert read_landed(spark, path).count() == 9
+
+
+def test_run_log(spark, folder):
+    path = folder("log")
+    append_success(spark, path, {"total": 3, "text": "ação"})
+    append_success(spark, path, '{"total": 4}')
+    append_failure(spark, path, ValueError("kaputt"), "pf")
+    append_failure(spark, path, "no client")
+    log = {(row["metrics_type"], row["document"]) for row in read_run_log(spark, path).collect()}
+    successes = [json.loads(document) for kind, document in log if kind == "success"]
+    assert sorted(successes, key=lambda d: d["total"]) == [{"total": 3, "text": "ação"}, {"total": 4}]
+    failures = {d["error"]: d for d in (json.loads(document) for kind, document in log if kind == "fail")}
+    assert list(failures["kaputt"]) == ["timestamp", "layer", "project", "job", "priority", "torre", "client", "error"]
+    assert failures["kaputt"]["client"] == "PF"
+    assert failures["no client"]["client"] == "UNKNOWN_CLIENT"
+    assert failures["kaputt"]["timestamp"].endswith("Z")
+
+
+def test_run_log_rules(spark, folder):
+    path = folder("log")
+    for wrong in (
+        lambda: api.save_metrics(spark, "maybe", path),
+        lambda: api.save_metrics(spark, "fail", path),
+        lambda: api.save_metrics(spark, "success", path),
+        lambda: api.save_metrics(spark, "success", path, metrics_data="{not json"),
+        lambda: api.save_metrics(spark, "success", path, metrics_data={}),
+    ):
+        with pytest.raises(ValueError):
+            wrong()
+    api.save_metrics(spark, "SUCCESS", path, metrics_data={"a": 1})
+    api.save_metrics(spark, "Fail", path, error=ValueError("x"), client="pj")
+    assert {row["metrics_type"] for row in read_run_log(spark, path).collect()} == {"success", "fail"}
+
+
+def test_shared_folder_follows_the_setting(spark):
+    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one != two
+    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# Whole runs
+
+
+def quarantine(spark, job):
+    return spark.read.parquet(job.quarantine_path)
+
+
+@pytest.fixture()
+def job(folder):
+    def make(collection, load_date="20241130", **given):
+        return IngestJob(collection, "pf", folder("valid"), folder("runs"), load_date, **given)
+
+    return make
+
+
+def test_run_lands_and_quarantines(spark, collection, job):
+    rows = nine() + [review("n", os=None), review("t", rating="abc")]
+    made = job(collection(rows))
+    result = run_ingest(spark, made)
+    assert (result.mode, result.landed_rows, result.unrated_rows, result.quarantined_rows) == ("full", 10, 1, 3)
+    assert read_landed(spark, made.target).count() == 10
+    assert sorted((row["id"], row["reason"]) for row in quarantine(spark, made).collect()) == [
+        ("n", "null"),
+        ("r9", "duplicate"),
+        ("r9", "duplicate"),
+    ]
+    document = json.loads(read_run_log(spark, made.run_log).first()["document"])
+    assert document["valid_data"] == {"count": 10, "percentage": 10 / 13 * 100}
+    assert document["invalid_data"] == {"count": 3, "percentage": 3 / 13 * 100}
+    assert (document["total_records"], document["input_records"]) == (13, 11)
+    assert (document["success_count"], document["error_count"]) == (0, 3)
+    assert document["type_client"] == "PF"
+    assert document["source"] == {"app": "app-x", "search": "parquet"}
+    assert document["validation_results"]["null_check"]["code"] == 400
+    assert {row["comment"] for row in read_landed(spark, made.target).collect()} >= {"OTIMO APLICATIVO", "UTIL"}
+
+
+def test_three_runs(spark, collection, job, folder):
+    a, b = review("a", timestamp="2024-11-29T10:00:00"), review("b", timestamp="2024-11-30T09:00:00")
+    b2, c = review("b2", timestamp="2024-11-30T22:00:00"), review("c", timestamp="2024-12-01T08:00:00")
+    landed = {}
+    marks = []
+    for load_date, rows in (("20241130", [a, b]), ("20241201", [a, b, b2, c]), ("20241201", [a, b, b2, c])):
+        marks.append(run_ingest(spark, job(collection(rows), load_date)).mark)
+        found = read_landed(spark, folder("valid")).collect()
+        landed = {}
+        for row in found:
+            landed.setdefault(row["odate"], set()).add(row["id"])
+        if load_date == "20241201":
+            assert landed == {"20241130": {"a", "b"}, "20241201": {"b", "b2", "c"}}
+    assert marks == [None, "2024-11-30T00:00:00", "2024-11-30T00:00:00"]
+
+
+def test_empty_collection(spark, collection, job):
+    made = job(collection([]))
+    result = run_ingest(spark, made)
+    assert (result.landed_rows, result.quarantined_rows) == (0, 0)
+    document = json.loads(read_run_log(spark, made.run_log).first()["document"])
+    assert document["valid_data"] == {"count": 0, "percentage": 0.0}
+    assert (document["success_count"], document["error_count"]) == (3, 0)
+    assert run_ingest(spark, job(collection(nine()), "20241201")).mode == "full"
+
+
+def test_clean_collection_has_no_quarantine(spark, collection, job, tmp_path):
+    made = job(collection([review("a"), review("b")]))
+    assert run_ingest(spark, made).quarantined_rows == 0
+    assert not (tmp_path / "valid_invalid").exists()
+
+
+def test_failure_is_recorded_and_raised(spark, folder, job):
+    made = job(Collection("gone", options={"path": folder("gone")}))
+    with pytest.raises(AnalysisException):
+        run_ingest(spark, made)
+    row = read_run_log(spark, made.run_log).first()
+    assert row["metrics_type"] == "fail"
+    assert "PATH_NOT_FOUND" in json.loads(row["document"])["error"]
+
+
+def test_hot_key_run(spark, collection, job):
+    rows = [review(f"h{i}", customer_id="hot") for i in range(200)] + [review(f"r{i}") for i in range(100)]
+    made = job(collection(rows), hot_rows=10)
+    assert run_ingest(spark, made).quarantined_rows == 200
+    assert ids(quarantine(spark, made)) == sorted(f"h{i}" for i in range(200))
+
+
+class DocStore(DataSource):
+    """A source that is not files and gives other rows each time it is read."""
+
+    @classmethod
+    def name(cls):
+        return "docstore"
+
+    def schema(self):
+        return SOURCE
+
+    def reader(self, schema):
+        return DocReader(self.options["collection"])
+
+
+class DocReader(DataSourceReader):
+    def __init__(self, collection):
+        self.collection = collection
+
+    def partitions(self):
+        return [InputPartition(0), InputPartition(1)]
+
+    def read(self, partition):
+        import uuid
+
+        version = uuid.uuid4().hex
+        for i in range(10):
+            yield review(f"{partition.value}-{i}", customer_id=str(i % 5), os=self.collection, app_version=version)
+
+
+def test_other_sources_are_copied_once(spark, job):
+    """Had a pass read the source again, its rows would match no duplicate group."""
+    spark.dataSource.register(DocStore)
+    made = job(Collection("db", "docstore"))
+    result = run_ingest(spark, made)
+    assert (result.landed_rows, result.quarantined_rows) == (20, 20)
+    versions = {row["app_version"] for row in read_landed(spark, made.target).collect()}
+    assert versions == {row["app_version"] for row in quarantine(spark, made).collect()}
+    assert len(versions) == 2
+
+
+# The script API
+
+
+def test_validate_ingest(spark):
+    valid, invalid, results = api.validate_ingest(process(documents(spark, nine()), "app-x"))
+    assert (valid.count(), invalid.count()) == (9, 2)
+    assert results["total_records"] == 9
+    assert results["duplicate_check"] == {
+        "message": "Registros duplicados encontrados: 1 registros com base no 'id'.",
+        "status": False,
+        "code": 409,
+    }
+    assert results["null_check"]["status"] and results["type_consistency_check"]["status"]
+
+
+def test_read_reviews(spark, folder, collection):
+    given = collection(nine())
+    assert api.read_reviews(spark, folder("t"), given, "20241201").count() == 9
+    land(valid_records(records(spark, nine())), folder("t"), "20241201", TARGET)
+    assert api.read_reviews(spark, folder("t"), given, "20241202").count() == 0
+
+
+def test_script_functions(spark):
+    frame = api.process_reviews(documents(spark, nine()), "app-x")
+    kinds = {field.name: field.dataType for field in api.get_schema(frame, TARGET).schema}
+    assert kinds == {field.name: field.dataType for field in TARGET}
+    assert spark.range(1).select(api.remove_accents(F.lit("ação")).alias("x")).first()["x"] == "acao"

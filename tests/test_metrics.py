@@ -1,0 +1,154 @@
+import glob
+import json
+import re
+from urllib.parse import urlparse
+
+import pytest
+from pyspark.sql import functions as F
+
+from plumbline.metrics import RunInfo, metrics_document, parse_stage_report, stage_metrics, stage_totals
+from plumbline.operators import flatten, profile
+from plumbline.plans import IngestJob, run_ingest
+from plumbline.plans.catalog import stage_reports
+from plumbline.sinks import read_run_log
+from plumbline.sources import Collection
+from samples import documents, nine, review
+
+REPORT = """
+Scheduling mode = FIFO
+Spark Context default degree of parallelism = 8
+
+Aggregated Spark stage metrics:
+numStages => 3
+elapsedTime => 1234 (1 s)\r
+  padded   =>   value
+numStages => 5
+a = b => c
+Scheduling mode
+ Scheduling mode = kept, the line starts with a blank
+no separator
+key =>
+=> value
+url=>x => y
+Average number of active tasks => 0.8
+"""
+
+
+def expected_pairs(report):
+    """The report rules, line by line."""
+    pairs = {}
+    for line in report.strip().split("\n"):
+        parts = [] if line.startswith("Scheduling mode") else re.split(" => | = ", line.strip())
+        if len(parts) == 2:
+            pairs[parts[0].strip()] = parts[1].strip()
+    return pairs
+
+
+@pytest.mark.parametrize("report", [REPORT, "", "\n\n", "a = 1", "Scheduling mode = FIFO", REPORT * 2])
+def test_report(spark, report):
+    frame = spark.createDataFrame([("r", report)], "run string, report string")
+    rows = parse_stage_report(frame).collect()
+    assert {row["key"]: row["value"] for row in rows} == expected_pairs(report)
+    assert len(rows) == len(expected_pairs(report))
+
+
+def test_report_values(spark):
+    frame = spark.createDataFrame([(1, REPORT), (2, "numStages => 1")], "run int, report string")
+    rows = {(row["run"], row["key"]): row["value"] for row in parse_stage_report(frame).collect()}
+    assert rows[(1, "numStages")] == "5"
+    assert rows[(1, "elapsedTime")] == "1234 (1 s)"
+    assert rows[(1, "padded")] == "value"
+    assert rows[(2, "numStages")] == "1"
+
+
+def test_reports_of_the_tables(spark, sf_dir):
+    reports = stage_reports(spark, sf_dir)
+    expected = {(row["run"], *pair) for row in reports.collect() for pair in expected_pairs(row["report"]).items()}
+    assert {tuple(row) for row in parse_stage_report(reports).collect()} == expected
+
+
+def event_log(spark):
+    """The log this session writes, as far as it is complete."""
+    folder = urlparse(spark.conf.get("spark.eventLog.dir")).path
+    return glob.glob(f"{folder}/{spark.sparkContext.applicationId}*")[0]
+
+
+def test_stage_metrics_of_this_session(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").count().collect()
+    stages = stage_metrics(spark.read.text(event_log(spark)))
+    totals = stages.agg(F.sum("tasks"), F.sum("records_read"), F.sum("shuffle_write_bytes"), F.max("peak_memory_bytes"))
+    assert all(value > 0 for value in totals.first())
+
+    with open(event_log(spark)) as log:
+        tasks = [line for line in log if line.startswith('{"Event":"SparkListenerTaskEnd"')]
+    assert 0 < stages.agg(F.sum("tasks")).first()[0]
+    assert len({json.loads(line)["Stage ID"] for line in tasks}) >= stages.limit(1).count()
+
+
+def test_stage_totals_are_text(spark):
+    end = {
+        "Event": "SparkListenerTaskEnd",
+        "Stage ID": 1,
+        "Task Metrics": {"Executor Run Time": 5, "Peak Execution Memory": 7, "Input Metrics": {"Records Read": 3}},
+    }
+    other = {"Event": "SparkListenerJobStart", "note": "SparkListenerTaskEnd"}
+    lines = [json.dumps(end), json.dumps({**end, "Stage ID": 2}), json.dumps(other), "{broken SparkListenerTaskEnd", ""]
+    totals = stage_totals(stage_metrics(spark.createDataFrame([(line,) for line in lines], "value string")))
+    assert totals["stages"] == "2"
+    assert totals["tasks"] == "2"
+    assert totals["run_time_ms"] == "10"
+    assert totals["peak_memory_bytes"] == "7"
+    assert totals["records_read"] == "6"
+    assert "bytes_written" not in totals
+
+
+def test_run_reports_its_stages(spark, tmp_path):
+    path = str(tmp_path / "source")
+    documents(spark, nine()).write.parquet(path)
+    job = IngestJob(
+        Collection("app-x", options={"path": path}),
+        "pf",
+        str(tmp_path / "valid"),
+        str(tmp_path / "runs"),
+        "20241130",
+        event_log=event_log(spark),
+    )
+    run_ingest(spark, job)
+    document = json.loads(read_run_log(spark, job.run_log).first()["document"])
+    assert int(document["stages"]["tasks"]) > 0
+
+
+def test_document_needs_a_finished_run(spark):
+    frame = profile(flatten(documents(spark, nine()), "app-x"))
+    with pytest.raises(ValueError):
+        metrics_document(frame, RunInfo("app-x", "pf"))
+    with pytest.raises(ValueError):
+        metrics_document(frame, RunInfo("app-x", "pf").start())
+
+
+def test_document_fields(spark):
+    frame = profile(flatten(documents(spark, nine() + [review("n", cpf=None)]), "app-x"))
+    run = RunInfo("app-x", "pf", application_id="a-1", search="docs", stages={"tasks": "3"}).start().end()
+    document = json.loads(metrics_document(frame, run).first()["document"])
+    assert list(document) == [
+        "application_id",
+        "owner",
+        "valid_data",
+        "invalid_data",
+        "total_records",
+        "input_records",
+        "total_processing_time",
+        "stages",
+        "validation_results",
+        "success_count",
+        "error_count",
+        "type_client",
+        "source",
+        "_ts",
+        "timestamp",
+    ]
+    assert document["total_processing_time"] == "0.00 min"
+    assert document["stages"] == {"tasks": "3"}
+    assert (document["success_count"], document["error_count"]) == (1, 2)
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z", document["timestamp"])
+    assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", document["_ts"]["start"])
