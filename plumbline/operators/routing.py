@@ -24,6 +24,8 @@ MAX_HOT_KEYS = 10_000
 _HASH = "_key_hash"
 _SALT = "_salt"
 _SALTS = "_salts"
+_SHARED = "_shared"
+_LOOSE_SALTS = 1 << 20
 
 
 def valid_records(records: DataFrame) -> DataFrame:
@@ -51,10 +53,26 @@ def _salts_per_key(groups: DataFrame, hot_rows: int) -> DataFrame:
     )
 
 
-def _with_salts(df: DataFrame, salts: DataFrame) -> DataFrame:
-    hashed = df.withColumn(_HASH, F.xxhash64(*DUPLICATE_KEY))
-    joined = hashed.join(F.broadcast(salts), _HASH, "left").drop(_HASH)
-    return joined.withColumn(_SALTS, F.coalesce(_SALTS, F.lit(1)))
+def _salted(records: DataFrame, groups: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and group keys, both with the salt they are to be joined on.
+
+    Both sides look the number of salts up by key hash, so a hash collision
+    costs a few repeated groups and never a row. A row's salt comes from its id
+    and the number of the task that read it: exact copies spread too, and a
+    retried task gives the same salt. Rows without a full key match nothing and
+    are simply spread.
+    """
+    groups = groups.filter(_keyed())
+    salts = F.broadcast(_salts_per_key(groups, hot_rows))
+    key_hash = F.xxhash64(*DUPLICATE_KEY)
+
+    rows = records.select(*COLUMNS).withColumn(_HASH, key_hash).join(salts, _HASH, "left")
+    choices = F.when(_keyed(), F.coalesce(_SALTS, F.lit(1))).otherwise(F.lit(_LOOSE_SALTS))
+    rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.spark_partition_id(), F.col("id")), choices).cast("int"))
+
+    keys = groups.drop("count").withColumn(_HASH, key_hash).join(salts, _HASH, "left")
+    keys = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)))
+    return rows.drop(_HASH, _SALTS), keys.drop(_HASH, _SALTS)
 
 
 def duplicate_rows(records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -63,27 +81,26 @@ def duplicate_rows(records: DataFrame, groups: DataFrame | None = None, hot_rows
     ``groups`` takes a stored result of :func:`duplicate_groups`; its known size
     then lets the optimizer broadcast it when it is small, and no row is moved.
     Otherwise both sides are shuffled on the key, and a key with more than
-    ``hot_rows`` rows is cut into salts: its rows are spread by their id and the
-    number of the task that read them (so exact copies spread too, and a retry
-    gives the same salt), its group is repeated once per salt. Both sides look
-    the salts up by key hash, so a hash collision costs a few repeated groups
-    and never a row.
+    ``hot_rows`` rows is cut into salts: its rows are spread over them, its
+    group is repeated once per salt.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    groups = groups.filter(_keyed())
-    salts = _salts_per_key(groups, hot_rows)
-
-    rows = _with_salts(records.select(*COLUMNS).filter(_keyed()), salts)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), F.col("id")), F.col(_SALTS)).cast("int")
-    rows = rows.withColumn(_SALT, spread).drop(_SALTS)
-    keys = _with_salts(groups.drop("count"), salts)
-    keys = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))).drop(_SALTS)
+    rows, keys = _salted(records.filter(_keyed()), groups, hot_rows)
     return rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi").select(*COLUMNS)
 
 
 def invalid_records(records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows with a NULL and duplicate rows, each with its reason; a row that is both appears twice."""
-    nulls = null_records(records).withColumn(REASON, F.lit(REASON_NULL))
-    duplicates = duplicate_rows(records, groups, hot_rows).withColumn(REASON, F.lit(REASON_DUPLICATE))
-    return nulls.unionByName(duplicates, allowMissingColumns=True)
+    """Rows with a NULL and duplicate rows, each with its reason; a row that is both appears twice.
+
+    One scan finds both kinds: rows are marked by an outer join with the groups
+    and repeated once per reason.
+    """
+    if groups is None:
+        groups = duplicate_groups(records)
+    rows, keys = _salted(records, groups, hot_rows)
+    marked = rows.join(keys.withColumn(_SHARED, F.lit(True)), [*DUPLICATE_KEY, _SALT], "left")
+    reasons = F.array_compact(
+        F.array(F.when(has_null(), F.lit(REASON_NULL)), F.when(F.col(_SHARED), F.lit(REASON_DUPLICATE)))
+    )
+    return marked.select(*COLUMNS, F.explode(reasons).alias(REASON))

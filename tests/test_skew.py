@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import duplicate_groups, duplicate_rows, flatten
+from plumbline.operators import duplicate_groups, duplicate_rows, flatten, invalid_records, null_records
 from plumbline.operators import routing
 from samples import documents, review
 
@@ -60,6 +60,12 @@ def test_same_rows_for_every_threshold(spark, merged, monkeypatch, hot_rows, max
     assert Counter(map(tuple, duplicate_rows(frame, hot_rows=hot_rows).collect())) == expected
     assert sum(expected.values()) > 1000
 
+    invalid = Counter(map(tuple, invalid_records(frame, hot_rows=hot_rows).collect()))
+    nulls = Counter(map(tuple, null_records(frame).collect()))
+    assert invalid == Counter({(*row, "duplicate"): n for row, n in expected.items()}) + Counter(
+        {(*row, "null"): n for row, n in nulls.items()}
+    )
+
 
 def test_stored_groups_give_the_same_rows(spark, tmp_path):
     frame = flatten(documents(spark, skewed_rows()), "app-x")
@@ -85,6 +91,15 @@ def test_hot_key_is_spread(spark, merged):
     frame = flatten(documents(spark, skewed_rows(6000)), "app-x").repartition(4, "id")
     assert _largest_share(duplicate_rows(frame, hot_rows=10**9)) > 0.4
     assert _largest_share(duplicate_rows(frame, hot_rows=20)) < 0.15
+    assert _largest_share(invalid_records(frame, hot_rows=20)) < 0.15
+
+
+def test_rows_without_a_key_are_spread(spark, merged):
+    rows = [review(f"r{i}", customer_id=None if i % 3 else str(i)) for i in range(3000)]
+    frame = flatten(documents(spark, rows), "app-x").repartition(4, "id")
+    found = invalid_records(frame)
+    assert found.count() == 2000
+    assert _largest_share(found) < 0.15
 
 
 def test_exact_copies_are_spread_over_tasks(spark, merged):
