@@ -46,8 +46,9 @@ def parse_stage_report(reports: DataFrame, run: str = "run", report: str = "repo
     lines = F.filter(F.split(_strip(F.col(report)), "\n"), lambda line: ~F.startswith(line, F.lit(_SKIPPED_LINE)))
     parts = F.filter(F.transform(lines, lambda line: F.split(_strip(line), _SEPARATORS)), lambda part: F.size(part) == 2)
     pairs = F.transform(parts, lambda part: F.struct(_strip(part[0]).alias("key"), _strip(part[1]).alias("value")))
+    # The outer form: the plain one would have every report parsed once more, to test for emptiness.
     numbered = reports.select(run, pairs.alias("pairs")).select(
-        run, F.reverse(F.col("pairs.key")).alias("keys_from_end"), F.posexplode("pairs").alias("position", "pair")
+        run, F.reverse(F.col("pairs.key")).alias("keys_from_end"), F.posexplode_outer("pairs").alias("position", "pair")
     )
     last = F.size("keys_from_end") - F.array_position("keys_from_end", F.col("pair.key"))
     return numbered.filter(F.col("position") == last).select(run, "pair.key", "pair.value")

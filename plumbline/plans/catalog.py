@@ -168,6 +168,13 @@ def stage_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.col("event_id").alias("run"), F.concat_ws("\n", *lines).alias("report"))
 
 
+def _stage_report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(path: str) -> None:
+        stage_reports(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+
+    return parse_stage_report(spark.read.parquet(_once(spark, sf_dir, "stage-reports", write)))
+
+
 def task_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event log lines: a task end per line item, a job start per order, as JSON text."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -247,7 +254,7 @@ QUERIES = {
     "partitioned_roundtrip": _roundtrip,
     "run_log_roundtrip": _run_log,
     "metrics_document": _document_columns,
-    "stage_report_parse": lambda spark, sf: parse_stage_report(stage_reports(spark, sf)),
+    "stage_report_parse": _stage_report_parse,
     "stage_metrics": _stage_metrics,
     "ingest_run": ingest_run,
 }
