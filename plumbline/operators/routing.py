@@ -21,11 +21,13 @@ HOT_ROWS = 200_000
 # 12 bytes. Keys beyond it take the plain join, they are never left out.
 MAX_HOT_KEYS = 10_000
 
+# Rows without a full key match no group; any number of salts serves to spread them.
+LOOSE_SALTS = 1 << 20
+
 _HASH = "_key_hash"
 _SALT = "_salt"
 _SALTS = "_salts"
 _SHARED = "_shared"
-_LOOSE_SALTS = 1 << 20
 
 
 def valid_records(records: DataFrame) -> DataFrame:
@@ -67,7 +69,7 @@ def _salted(records: DataFrame, groups: DataFrame, hot_rows: int) -> tuple[DataF
     key_hash = F.xxhash64(*DUPLICATE_KEY)
 
     rows = records.select(*COLUMNS).withColumn(_HASH, key_hash).join(salts, _HASH, "left")
-    choices = F.when(_keyed(), F.coalesce(_SALTS, F.lit(1))).otherwise(F.lit(_LOOSE_SALTS))
+    choices = F.when(_keyed(), F.coalesce(_SALTS, F.lit(1))).otherwise(F.lit(LOOSE_SALTS))
     rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.spark_partition_id(), F.col("id")), choices).cast("int"))
 
     keys = groups.drop("count").withColumn(_HASH, key_hash).join(salts, _HASH, "left")

@@ -6,6 +6,8 @@ and table folder, and then read like any other collection.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,15 +221,28 @@ def ingest(spark: SparkSession, sf_dir: str) -> tuple[IngestJob, IngestResult]:
     return job, run_ingest(spark, job)
 
 
-def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everything a run wrote: landed and quarantined rows with their outcome."""
-    job, _ = ingest(spark, sf_dir)
+def _written_rows(spark: SparkSession, job: IngestJob) -> DataFrame:
+    """Landed and quarantined rows with their outcome."""
     as_text = [F.col(name).cast("string").alias(name) for name in [*COLUMNS, "odate"]]
     landed = read_landed(spark, job.target).select(F.lit("valid").alias("outcome"), *as_text)
     quarantine = spark.read.schema(f"{', '.join(f'{c} string' for c in [*COLUMNS, REASON, 'odate'])}")
     return landed.unionByName(quarantine.parquet(job.quarantine_path).select(F.col(REASON).alias("outcome"), *as_text))
 
 
+def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything one run wrote."""
+    return _written_rows(spark, ingest(spark, sf_dir)[0])
+
+
+def _ingest_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run, then an incremental one on the day after, which is done twice."""
+    first, _ = ingest(spark, sf_dir)
+    second = replace(first, load_date=THIRD_DAY)
+    run_ingest(spark, second)
+    run_ingest(spark, second)
+    return _written_rows(spark, second)
+
+
 def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(process(review_collection(spark, sf_dir).read(spark), APP))
 
@@ -257,4 +272,5 @@ QUERIES = {
     "stage_report_parse": _stage_report_parse,
     "stage_metrics": _stage_metrics,
     "ingest_run": ingest_run,
+    "ingest_two_days": _ingest_two_days,
 }

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -50,6 +50,11 @@ class IngestJob:
     event_log: str | None = None
     labels: JobLabels = JobLabels()
 
+    def __post_init__(self) -> None:
+        # Load dates are compared as text, so they must have one form.
+        if datetime.strptime(self.load_date, "%Y%m%d").strftime("%Y%m%d") != self.load_date:
+            raise ValueError(f"load date {self.load_date!r} is not yyyyMMdd")
+
     @property
     def quarantine_path(self) -> str:
         return self.quarantine or f"{self.target.rstrip('/')}_invalid"

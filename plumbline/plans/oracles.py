@@ -172,4 +172,14 @@ valid AS (SELECT {_CONFORM} FROM p WHERE NOT {_IS_NULL})
 SELECT 'valid' AS outcome, {_RUN_COLUMNS}, '20240130' AS odate FROM valid
 UNION ALL SELECT 'null', {_COLUMNS}, '20240130' FROM p WHERE {_IS_NULL}
 UNION ALL SELECT 'duplicate', {_COLUMNS}, '20240130' FROM duplicates""",
+    "ingest_two_days": f"""WITH {_REVIEWS}, normal AS (SELECT {_NORMAL} FROM reviews),
+p AS (
+  SELECT *, '20240130' AS odate FROM normal
+  UNION ALL SELECT *, '20240131' FROM normal WHERE timestamp >= '2024-01-30T00:00:00'),
+counted AS (SELECT *, count(*) OVER (PARTITION BY odate, {_KEY}) AS n FROM p),
+valid AS (SELECT {_CONFORM}, odate FROM p WHERE NOT {_IS_NULL})
+SELECT 'valid' AS outcome, {_RUN_COLUMNS}, odate FROM valid
+UNION ALL SELECT 'null', {_COLUMNS}, odate FROM p WHERE {_IS_NULL}
+UNION ALL SELECT 'duplicate', {_COLUMNS}, odate FROM counted
+  WHERE n > 1 AND customer_id IS NOT NULL AND app_version IS NOT NULL AND rating IS NOT NULL""",
 }

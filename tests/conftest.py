@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
     spark = session(
         "tests",
         **{
-            "spark.master": "local[8]",
+            "spark.master": "local[8,3]",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "8",

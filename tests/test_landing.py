@@ -1,6 +1,8 @@
 """Sources, sinks and whole runs."""
 
 import json
+import os
+import subprocess
 import sys
 
 import pytest
@@ -308,6 +310,63 @@ def test_other_sources_are_copied_once(spark, job):
     assert len(versions) == 2
 
 
+class Flaky(DocStore):
+    """Every task fails once, after it has given rows."""
+
+    @classmethod
+    def name(cls):
+        return "flaky"
+
+    def reader(self, schema):
+        return FlakyReader(self.options["collection"])
+
+
+class FlakyReader(DocReader):
+    def read(self, partition):
+        from pyspark import TaskContext
+
+        yield from super().read(partition)
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost on the way")
+
+
+def test_counts_survive_failed_tasks(spark, folder, job):
+    spark.dataSource.register(Flaky)
+    source = Collection("db", "flaky")
+    counters = {"named": F.count_if(F.col("os") == "db")}
+    landed = land(flatten(source.read(spark), "app-x"), folder("t"), "20241130", TARGET, counters=counters)
+    assert landed == {"rows": 20, "named": 20}
+    assert read_landed(spark, folder("t")).count() == 20
+
+    result = run_ingest(spark, job(source))
+    assert (result.landed_rows, result.quarantined_rows) == (20, 20)
+
+
+def test_load_date_has_one_form(collection, job):
+    for wrong in ("2024-11-30", "20241131", "2024113"):
+        with pytest.raises(ValueError):
+            job(collection([]), wrong)
+
+
+def test_job_script(spark, collection, tmp_path):
+    given = collection(nine(), "my-app")
+    script = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "ingest_reviews.py")
+    arguments = ["my-app", "pf", "--base", str(tmp_path / "lake"), "--run-log", str(tmp_path / "runs")]
+    arguments += ["--option", f"path={given.options['path']}", "--load-date", "20241130"]
+    settings = "--master local[2] --conf spark.ui.enabled=false --driver-memory 1g pyspark-shell"
+    environment = {**os.environ, "PYSPARK_SUBMIT_ARGS": settings}
+    done = subprocess.run([sys.executable, script, *arguments], env=environment, capture_output=True, timeout=300)
+    assert done.returncode == 0, done.stderr.decode()[-2000:]
+    assert "full load: 9 rows landed" in done.stderr.decode()
+    assert read_landed(spark, str(tmp_path / "lake" / "my-app_pf")).count() == 9
+
+    arguments[arguments.index("--option") + 1] = f"path={tmp_path / 'gone'}"
+    failed = subprocess.run([sys.executable, script, *arguments], env=environment, capture_output=True, timeout=300)
+    assert failed.returncode != 0
+    kinds = [row["metrics_type"] for row in read_run_log(spark, str(tmp_path / "runs")).collect()]
+    assert sorted(kinds) == ["fail", "success"]
+
+
 # The script API
 
 

@@ -33,7 +33,7 @@ def records(source):
     return flatten(source, "app-x")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"ingest_run", "partitioned_roundtrip", "run_log_roundtrip"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"ingest_two_days"}))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for node in ("BatchEvalPython", "ArrowEvalPython", "Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
