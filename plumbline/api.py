@@ -11,15 +11,20 @@ from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions import ascii_fold as remove_accents
+from plumbline.metrics import RunInfo, parse_stage_report, stage_metrics, stage_totals
+from plumbline.metrics.document import document_column
 from plumbline.operators import conform, invalid_records, process, profile, quality_report, valid_records
+from plumbline.operators.checks import CHECKS
 from plumbline.schema import PARTITION_COLUMN
 from plumbline.sinks import append_failure, append_success, land
 from plumbline.sources import Collection, load_collection
 
 __all__ = [
+    "MetricsCollector",
     "get_schema",
     "process_reviews",
     "read_reviews",
@@ -96,3 +101,45 @@ def save_metrics(
         append_failure(spark, path, error or "", client)
     else:
         raise ValueError("the type must be 'success' or 'fail'")
+
+
+class MetricsCollector:
+    """Brackets a run and makes its metrics document from frames and check results."""
+
+    def __init__(self, spark: SparkSession, event_log: str | None = None):
+        self.spark = spark
+        self.event_log = event_log
+        self.run = RunInfo(app="", type_client="", application_id=spark.sparkContext.applicationId)
+
+    def start_collection(self) -> None:
+        self.run.start()
+
+    def end_collection(self) -> None:
+        self.run.end()
+
+    def parse_stage_metrics(self, report: str) -> dict[str, str]:
+        reports = self.spark.range(1).select(F.col("id").alias("run"), F.lit(report).alias("report"))
+        return {row["key"]: row["value"] for row in parse_stage_report(reports).collect()}
+
+    def collect_metrics(
+        self, valid_df: DataFrame, invalid_df: DataFrame, validation_results: dict[str, Any], id_app: str, type_client: str
+    ) -> str:
+        """The document as JSON text; both frames are counted in one job."""
+        self.run.app, self.run.type_client = id_app, type_client
+        if self.event_log is not None:
+            self.run.stages = stage_totals(stage_metrics(self.spark.read.text(self.event_log)))
+        checks = {
+            name: F.struct(
+                F.lit(validation_results[name]["message"]).alias("message"),
+                F.lit(validation_results[name]["status"]).alias("status"),
+                F.lit(validation_results[name]["code"]).alias("code"),
+            )
+            for name in CHECKS
+        }
+        came_in = F.lit(validation_results["total_records"])
+        counts = valid_df.agg(F.count(F.lit(1)).alias("valid"), F.lit(0).alias("invalid")).unionByName(
+            invalid_df.agg(F.lit(0).alias("valid"), F.count(F.lit(1)).alias("invalid"))
+        )
+        summed = counts.agg(F.sum("valid").alias("valid"), F.sum("invalid").alias("invalid"))
+        document = document_column(F.col("valid"), F.col("invalid"), came_in, checks, self.run)
+        return summed.select(document.alias("document")).first()["document"]

@@ -52,35 +52,45 @@ def _stages(stages: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(item) for pair in stages.items() for item in map(str, pair)])
 
 
-def metrics_document(profiled: DataFrame, run: RunInfo) -> DataFrame:
-    """The document from a profile row; everything is computed in the plan of that row.
+def document_column(valid: Column, invalid: Column, came_in: Column, checks: dict[str, Column], run: RunInfo) -> Column:
+    """The document as JSON text, from the row counts and a verdict struct per check.
 
     ``total_records`` is valid + invalid and counts a duplicate on both sides,
     ``input_records`` is the number of rows that came in.
     """
     total_time = f"{run.minutes:.2f} min"
-    checks = verdicts()
-    valid = F.col("total_records") - F.col("null_rows")
-    invalid = F.col("null_rows") + F.col("duplicate_rows")
     passed = sum((check["status"].cast("int") for check in checks.values()), F.lit(0))
     stamp = "%Y-%m-%d %H:%M:%S"
-    document = F.struct(
-        F.lit(run.application_id).alias("application_id"),
+    owner = F.struct(
+        F.lit(run.sigla).alias("sigla"), F.lit(run.projeto).alias("projeto"), F.lit(run.layer_lake).alias("layer_lake")
+    )
+    times = F.struct(
+        F.lit(run.started.strftime(stamp)).alias("start"), F.lit(run.ended.strftime(stamp)).alias("end")
+    )
+    now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
+    return F.to_json(
         F.struct(
-            F.lit(run.sigla).alias("sigla"), F.lit(run.projeto).alias("projeto"), F.lit(run.layer_lake).alias("layer_lake")
-        ).alias("owner"),
-        _share(valid, valid + invalid).alias("valid_data"),
-        _share(invalid, valid + invalid).alias("invalid_data"),
-        (valid + invalid).alias("total_records"),
-        F.col("total_records").alias("input_records"),
-        F.lit(total_time).alias("total_processing_time"),
-        _stages(run.stages).alias("stages"),
-        F.struct(*[verdict.alias(name) for name, verdict in checks.items()]).alias("validation_results"),
-        passed.alias("success_count"),
-        (F.lit(len(checks)) - passed).alias("error_count"),
-        F.lit(run.type_client.upper()).alias("type_client"),
-        F.struct(F.lit(run.app).alias("app"), F.lit(run.search).alias("search")).alias("source"),
-        F.struct(F.lit(run.started.strftime(stamp)).alias("start"), F.lit(run.ended.strftime(stamp)).alias("end")).alias("_ts"),
-        F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z").alias("timestamp"),
+            F.lit(run.application_id).alias("application_id"),
+            owner.alias("owner"),
+            _share(valid, valid + invalid).alias("valid_data"),
+            _share(invalid, valid + invalid).alias("invalid_data"),
+            (valid + invalid).alias("total_records"),
+            came_in.alias("input_records"),
+            F.lit(total_time).alias("total_processing_time"),
+            _stages(run.stages).alias("stages"),
+            F.struct(*[verdict.alias(name) for name, verdict in checks.items()]).alias("validation_results"),
+            passed.alias("success_count"),
+            (F.lit(len(checks)) - passed).alias("error_count"),
+            F.lit(run.type_client.upper()).alias("type_client"),
+            F.struct(F.lit(run.app).alias("app"), F.lit(run.search).alias("search")).alias("source"),
+            times.alias("_ts"),
+            F.lit(now).alias("timestamp"),
+        )
     )
-    return profiled.select(F.to_json(document).alias("document"))
+
+
+def metrics_document(profiled: DataFrame, run: RunInfo) -> DataFrame:
+    """The document of a run from its profile row; everything is computed in the plan of that row."""
+    total, nulls, duplicates = F.col("total_records"), F.col("null_rows"), F.col("duplicate_rows")
+    document = document_column(total - nulls, nulls + duplicates, total, verdicts(), run)
+    return profiled.select(document.alias("document"))

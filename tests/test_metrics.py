@@ -6,6 +6,7 @@ from urllib.parse import urlparse
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline import api
 from plumbline.metrics import RunInfo, metrics_document, parse_stage_report, stage_metrics, stage_totals
 from plumbline.operators import flatten, profile
 from plumbline.plans import IngestJob, run_ingest
@@ -126,6 +127,24 @@ def test_document_needs_a_finished_run(spark):
         metrics_document(frame, RunInfo("app-x", "pf").start())
 
 
+def test_collector_gives_the_same_document(spark):
+    records = flatten(documents(spark, nine() + [review("n", cpf=None), review("t", rating="abc")]), "app-x")
+    collector = api.MetricsCollector(spark)
+    with pytest.raises(ValueError):
+        collector.collect_metrics(*api.validate_ingest(records), "app-x", "pf")
+    collector.start_collection()
+    found = api.validate_ingest(records)
+    collector.end_collection()
+    document = json.loads(collector.collect_metrics(*found, "app-x", "pf"))
+    run = RunInfo("app-x", "pf", application_id=spark.sparkContext.applicationId).start().end()
+    expected = json.loads(metrics_document(profile(records), run).first()["document"])
+    volatile = ("total_processing_time", "_ts", "timestamp")
+    assert {k: v for k, v in document.items() if k not in volatile} == {
+        k: v for k, v in expected.items() if k not in volatile
+    }
+    assert collector.parse_stage_metrics(REPORT) == expected_pairs(REPORT)
+
+
 def test_document_fields(spark):
     frame = profile(flatten(documents(spark, nine() + [review("n", cpf=None)]), "app-x"))
     run = RunInfo("app-x", "pf", application_id="a-1", search="docs", stages={"tasks": "3"}).start().end()
