@@ -28,8 +28,6 @@ TYPES_NONE = "Consistencia dos tipos de dados verificada com sucesso."
 
 CHECKS = [DUPLICATE_CHECK, NULL_CHECK, TYPE_CHECK]
 
-_KEYED = ["duplicate_groups", "duplicate_rows"]
-
 
 def has_null() -> Column:
     """True where a required column is NULL; such a row is invalid."""

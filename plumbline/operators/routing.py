@@ -18,7 +18,8 @@ REASON_DUPLICATE = "duplicate"
 # A key with more rows than this is spread over several reducers.
 HOT_ROWS = 200_000
 # The spreading table is broadcast: at most this many (hash, salts) pairs of
-# 12 bytes. Keys beyond it take the plain join, they are never left out.
+# 12 bytes. Keys beyond it, each less than 1/10,000 of all rows, take the plain
+# join; they are never left out.
 MAX_HOT_KEYS = 10_000
 
 # Rows without a full key match no group; any number of salts serves to spread them.

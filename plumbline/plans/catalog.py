@@ -80,7 +80,8 @@ def _scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load(spark: SparkSession, sf_dir: str, landed_path: str) -> DataFrame:
     load = load_collection(spark, review_collection(spark, sf_dir), landed_path, THIRD_DAY)
-    return flatten(load.documents, APP).select("*", F.lit(load.mode).alias("mode"), F.lit(load.mark).cast("string").alias("mark"))
+    mode, mark = F.lit(load.mode).alias("mode"), F.lit(load.mark).cast("string").alias("mark")
+    return flatten(load.documents, APP).select("*", mode, mark)
 
 
 def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +146,7 @@ def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_run_log(spark, path).select(
         "metrics_type",
         F.coalesce(F.get_json_object(document, "$.type_client"), F.get_json_object(document, "$.client")).alias("client"),
-        F.get_json_object(document, "$.total_records").cast("bigint").alias("total_records"),
+        F.get_json_object(document, "$.total_records").alias("total_records"),
         F.get_json_object(document, "$.priority").alias("priority"),
         F.get_json_object(document, "$.error").alias("error"),
     )
@@ -203,9 +204,8 @@ def task_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value")
     )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    starts = orders.select(
-        F.to_json(F.struct(F.lit("SparkListenerJobStart").alias("Event"), F.col("o_orderkey").alias("Job ID"))).alias("value")
-    )
+    start = F.struct(F.lit("SparkListenerJobStart").alias("Event"), F.col("o_orderkey").alias("Job ID"))
+    starts = orders.select(F.to_json(start).alias("value"))
     return ends.unionByName(starts)
 
 
@@ -225,8 +225,9 @@ def _written_rows(spark: SparkSession, job: IngestJob) -> DataFrame:
     """Landed and quarantined rows with their outcome."""
     as_text = [F.col(name).cast("string").alias(name) for name in [*COLUMNS, "odate"]]
     landed = read_landed(spark, job.target).select(F.lit("valid").alias("outcome"), *as_text)
-    quarantine = spark.read.schema(f"{', '.join(f'{c} string' for c in [*COLUMNS, REASON, 'odate'])}")
-    return landed.unionByName(quarantine.parquet(job.quarantine_path).select(F.col(REASON).alias("outcome"), *as_text))
+    layout = ", ".join(f"{name} string" for name in [*COLUMNS, REASON, "odate"])
+    quarantine = spark.read.schema(layout).parquet(job.quarantine_path)
+    return landed.unionByName(quarantine.select(F.col(REASON).alias("outcome"), *as_text))
 
 
 def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,20 +147,22 @@ SELECT {_COLUMNS}, 'null' AS reason FROM p WHERE {_IS_NULL}
 UNION ALL SELECT {_COLUMNS}, 'duplicate' FROM duplicates""",
     "partitioned_roundtrip": f"WITH {_PROCESSED} SELECT {_CONFORM}, '20240130' AS odate FROM p WHERE NOT {_IS_NULL}",
     "run_log_roundtrip": f"""WITH {_DOCUMENT}
-SELECT 'success' AS metrics_type, type_client AS client, total_records, CAST(NULL AS VARCHAR) AS priority,
+SELECT 'success' AS metrics_type, type_client AS client, CAST(total_records AS VARCHAR) AS total_records, CAST(NULL AS VARCHAR) AS priority,
   CAST(NULL AS VARCHAR) AS error FROM doc
 UNION ALL SELECT 'fail', 'PF', NULL, '0', 'source not reachable'
 UNION ALL SELECT 'fail', 'UNKNOWN_CLIENT', NULL, '0', 'disk full'""",
     "metrics_document": f"WITH {_DOCUMENT} SELECT * FROM doc",
     "stage_report_parse": """
-SELECT event_id AS run, 'Spark Context default degree of parallelism' AS key, CAST(event_id % 64 AS VARCHAR) AS value FROM events
+SELECT event_id AS run, 'Spark Context default degree of parallelism' AS key, CAST(event_id % 64 AS VARCHAR) AS value
+FROM events
 UNION ALL SELECT event_id, 'elapsedTime', CAST(user_id AS VARCHAR) || ' (0.5 s)' FROM events
 UNION ALL SELECT event_id, 'kind', event_type FROM events
 UNION ALL SELECT event_id, 'numStages', CAST(event_id % 5 AS VARCHAR) FROM events""",
     "stage_metrics": """
 WITH t AS (SELECT CAST(l_orderkey % 500 AS BIGINT) AS stage_id, CAST(floor(l_quantity) AS BIGINT) AS q,
   CAST(l_linenumber AS BIGINT) AS ln FROM lineitem)
-SELECT stage_id, count(*) AS tasks, CAST(sum(q) AS BIGINT) AS run_time_ms, CAST(sum(q * 1000) AS BIGINT) AS cpu_time_ns,
+SELECT stage_id, count(*) AS tasks, CAST(sum(q) AS BIGINT) AS run_time_ms,
+  CAST(sum(q * 1000) AS BIGINT) AS cpu_time_ns,
   CAST(sum(ln) AS BIGINT) AS gc_time_ms, max(q * ln) AS peak_memory_bytes,
   CAST(0 AS BIGINT) AS memory_spilled_bytes, CAST(0 AS BIGINT) AS disk_spilled_bytes,
   CAST(sum(q + 10) AS BIGINT) AS shuffle_read_bytes, CAST(sum(q * 2) AS BIGINT) AS shuffle_write_bytes,

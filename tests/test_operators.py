@@ -20,7 +20,7 @@ from plumbline.operators import (
     type_failures,
     valid_records,
 )
-from plumbline.schema import COLUMNS, TARGET
+from plumbline.schema import COLUMNS, PROFILED_COLUMNS, TARGET
 from samples import documents, nine, review
 
 
@@ -93,7 +93,7 @@ def test_invalid_rows_keep_their_columns(spark):
     assert (row["id"], row["customer_id"], row["app_version"], row["rating"]) == ("a", "k", "2.1.0", "4")
 
 
-@pytest.mark.parametrize("column", ["customer_id", "rating", "comment", "app_version", "cpf", "os", "os_version", "timestamp"])
+@pytest.mark.parametrize("column", PROFILED_COLUMNS)
 def test_each_required_column(spark, column):
     frame = records(spark, [review("a", **{column: None}), review("b")])
     assert [row["id"] for row in valid_records(frame).collect()] == ["b"]

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import duplicate_groups, duplicate_rows, flatten, normalize, null_profile, profile, valid_records
 from plumbline.plans.catalog import QUERIES, review_collection
-from plumbline.sources import read_landed, since
+from plumbline.sources import since
 
 
 def plan(frame):
-    execution = frame._jdf.queryExecution()
-    return execution.explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return frame._jdf.queryExecution().explainString(mode)
 
 
 def tree(frame):
