@@ -127,7 +127,8 @@ class MetricsCollector:
         """The document as JSON text; both frames are counted in one job."""
         self.run.app, self.run.type_client = id_app, type_client
         if self.event_log is not None:
-            self.run.stages = stage_totals(stage_metrics(self.spark.read.text(self.event_log)))
+            lines = self.spark.read.text(self.event_log)
+            self.run.stages = stage_totals(stage_metrics(lines, begin=self.run.started, end=self.run.ended))
         checks = {
             name: F.struct(
                 F.lit(validation_results[name]["message"]).alias("message"),

@@ -40,6 +40,12 @@ class RunInfo:
             raise ValueError("start() and end() must be called before the document is made")
         return (self.ended - self.started).total_seconds() / 60
 
+    @property
+    def memory_used(self) -> float | None:
+        """Peak execution memory of a task in MB, if stage metrics were collected."""
+        peak = self.stages.get("peak_memory_bytes")
+        return None if peak is None else int(peak) / 2**20
+
 
 def _share(part: Column, total: Column) -> Column:
     share = part.cast("double") / total.cast("double") * 100
@@ -77,6 +83,7 @@ def document_column(valid: Column, invalid: Column, came_in: Column, checks: dic
             (valid + invalid).alias("total_records"),
             came_in.alias("input_records"),
             F.lit(total_time).alias("total_processing_time"),
+            F.lit(run.memory_used).alias("memory_used"),
             _stages(run.stages).alias("stages"),
             F.struct(*[verdict.alias(name) for name, verdict in checks.items()]).alias("validation_results"),
             passed.alias("success_count"),

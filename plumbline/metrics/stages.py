@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ _TASK_END = "SparkListenerTaskEnd"
 _EVENT = """
     `Event` string,
     `Stage ID` bigint,
+    `Task Info` struct<`Launch Time`: bigint>,
     `Task Metrics` struct<
         `Executor Run Time`: bigint,
         `Executor CPU Time`: bigint,
@@ -54,16 +57,24 @@ def parse_stage_report(reports: DataFrame, run: str = "run", report: str = "repo
     return numbered.filter(F.col("position") == last).select(run, "pair.key", "pair.value")
 
 
-def stage_metrics(log_lines: DataFrame, line: str = "value") -> DataFrame:
+def stage_metrics(
+    log_lines: DataFrame, line: str = "value", begin: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
     """Per stage totals of the task-end events in event log lines, as ``spark.read.text`` gives them.
 
-    Other events are skipped before any JSON is parsed.
+    ``begin`` and ``end`` bracket the tasks by launch time, to tell one run from
+    the rest of an application. Other events are skipped before any JSON is parsed.
     """
     events = log_lines.filter(F.contains(line, F.lit(_TASK_END))).select(F.from_json(line, _EVENT).alias("e"))
+    events = events.filter(F.col("e.Event") == _TASK_END)
+    launched = F.col("e.Task Info.Launch Time")
+    if begin is not None:
+        events = events.filter(launched >= _millis(begin))
+    if end is not None:
+        events = events.filter(launched <= _millis(end))
     task = F.col("e.Task Metrics")
     return (
-        events.filter(F.col("e.Event") == _TASK_END)
-        .groupBy(F.col("e.Stage ID").alias("stage_id"))
+        events.groupBy(F.col("e.Stage ID").alias("stage_id"))
         .agg(
             F.count(F.lit(1)).alias("tasks"),
             F.sum(task["Executor Run Time"]).alias("run_time_ms"),
@@ -84,6 +95,10 @@ def stage_metrics(log_lines: DataFrame, line: str = "value") -> DataFrame:
     )
 
 
+def _millis(time: datetime) -> int:
+    return int(time.timestamp() * 1000)
+
+
 def stage_totals(stages: DataFrame) -> dict[str, str]:
     """The totals over all stages as the flat text map a metrics document carries."""
     sums = [name for name in stages.columns if name not in ("stage_id", "peak_memory_bytes")]

@@ -124,10 +124,11 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
         if quarantined["rows"] != expected:
             raise RuntimeError(f"quarantined {quarantined['rows']} rows, {expected} expected")
 
+    run.end()
     if job.event_log is not None:
-        run.stages = stage_totals(stage_metrics(spark.read.text(job.event_log)))
+        run.stages = stage_totals(stage_metrics(spark.read.text(job.event_log), begin=run.started, end=run.ended))
     profiled = _one_row(spark, counts)
-    document = metrics_document(profiled, run.end())
+    document = metrics_document(profiled, run)
     append_success(spark, job.run_log, document)
     return IngestResult(
         mode=load.mode,

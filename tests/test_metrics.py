@@ -1,6 +1,7 @@
 import glob
 import json
 import re
+from datetime import datetime, timezone
 from urllib.parse import urlparse
 
 import pytest
@@ -103,6 +104,19 @@ def test_stage_totals_are_text(spark):
     assert "bytes_written" not in totals
 
 
+def test_tasks_are_bracketed_by_launch_time(spark):
+    ends = [
+        {"Event": "SparkListenerTaskEnd", "Stage ID": 1, "Task Info": {"Launch Time": 1000 * second}, "Task Metrics": {}}
+        for second in range(5)
+    ]
+    lines = spark.createDataFrame([(json.dumps(end),) for end in ends], "value string")
+    second = [datetime.fromtimestamp(n, timezone.utc) for n in range(5)]
+    expected = {(None, None): 5, (1, None): 4, (None, 1): 2, (1, 3): 3}
+    for (begin, end), tasks in expected.items():
+        bounds = {"begin": begin and second[begin], "end": end and second[end]}
+        assert stage_metrics(lines, **bounds).first()["tasks"] == tasks
+
+
 def test_run_reports_its_stages(spark, tmp_path):
     path = str(tmp_path / "source")
     documents(spark, nine()).write.parquet(path)
@@ -116,7 +130,9 @@ def test_run_reports_its_stages(spark, tmp_path):
     )
     run_ingest(spark, job)
     document = json.loads(read_run_log(spark, job.run_log).first()["document"])
-    assert int(document["stages"]["tasks"]) > 0
+    whole_session = stage_metrics(spark.read.text(event_log(spark))).agg(F.sum("tasks")).first()[0]
+    assert 0 < int(document["stages"]["tasks"]) < whole_session
+    assert document["memory_used"] == int(document["stages"]["peak_memory_bytes"]) / 2**20
 
 
 def test_document_needs_a_finished_run(spark):
@@ -147,7 +163,7 @@ def test_collector_gives_the_same_document(spark):
 
 def test_document_fields(spark):
     frame = profile(flatten(documents(spark, nine() + [review("n", cpf=None)]), "app-x"))
-    run = RunInfo("app-x", "pf", application_id="a-1", search="docs", stages={"tasks": "3"}).start().end()
+    run = RunInfo("app-x", "pf", application_id="a-1", search="docs", stages={"tasks": "3", "peak_memory_bytes": "3145728"}).start().end()
     document = json.loads(metrics_document(frame, run).first()["document"])
     assert list(document) == [
         "application_id",
@@ -157,6 +173,7 @@ def test_document_fields(spark):
         "total_records",
         "input_records",
         "total_processing_time",
+        "memory_used",
         "stages",
         "validation_results",
         "success_count",
@@ -167,7 +184,8 @@ def test_document_fields(spark):
         "timestamp",
     ]
     assert document["total_processing_time"] == "0.00 min"
-    assert document["stages"] == {"tasks": "3"}
+    assert document["stages"] == {"tasks": "3", "peak_memory_bytes": "3145728"}
+    assert document["memory_used"] == 3.0
     assert (document["success_count"], document["error_count"]) == (1, 2)
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z", document["timestamp"])
     assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", document["_ts"]["start"])
