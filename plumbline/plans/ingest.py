@@ -26,11 +26,11 @@ from plumbline.metrics.stages import stage_metrics, stage_totals
 from plumbline.operators.checks import duplicate_groups, group_counters, quality_report, row_counters
 from plumbline.operators.project import flatten, normalize
 from plumbline.operators.routing import HOT_ROWS, invalid_records, valid_records
-from plumbline.schema import TARGET
+from plumbline.schema import PARTITION_COLUMN, TARGET
 from plumbline.sinks.partitioned import land
 from plumbline.sinks.run_log import JobLabels, append_failure, append_success
 from plumbline.sources.collection import Collection, load_collection
-from plumbline.storage import shared_folder
+from plumbline.storage import path_exists, shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -123,6 +123,9 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
         quarantined = land(invalid, job.quarantine_path, job.load_date)
         if quarantined["rows"] != expected:
             raise RuntimeError(f"quarantined {quarantined['rows']} rows, {expected} expected")
+    elif path_exists(spark, day := f"{job.quarantine_path}/{PARTITION_COLUMN}={job.load_date}"):
+        # An earlier run of this load date had invalid rows, this one has none.
+        invalid_records(records, groups).limit(0).write.mode("overwrite").parquet(day)
 
     run.end()
     if job.event_log is not None:

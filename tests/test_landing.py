@@ -254,6 +254,14 @@ def test_clean_collection_has_no_quarantine(spark, collection, job, tmp_path):
     assert not (tmp_path / "valid_invalid").exists()
 
 
+def test_a_rerun_replaces_the_quarantine(spark, collection, job):
+    bad, worse = review("n", os=None), review("m", os=None)
+    for rows, left in (([review("a"), bad, worse], ["m", "n"]), ([review("a"), bad], ["n"]), ([review("a")], [])):
+        made = job(collection(rows))
+        assert run_ingest(spark, made).quarantined_rows == len(left)
+        assert ids(quarantine(spark, made)) == left
+
+
 def test_failure_is_recorded_and_raised(spark, folder, job):
     made = job(Collection("gone", options={"path": folder("gone")}))
     with pytest.raises(AnalysisException):
