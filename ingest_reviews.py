@@ -19,6 +19,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--run-log", required=True, help="folder of the run log")
     parser.add_argument("--format", default="parquet", help="source format, e.g. a document store connector")
     parser.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="source option")
+    parser.add_argument("--schema", help="source schema as DDL, spares the source its inference")
     parser.add_argument("--load-date", help="yyyyMMdd, default today")
     parser.add_argument("--event-log", help="event log to report stage metrics from")
     return parser.parse_args(arguments)
@@ -30,7 +31,7 @@ def main(arguments: list[str]) -> None:
     options = dict(option.split("=", 1) for option in given.option)
     when = {"load_date": given.load_date} if given.load_date else {}
     job = IngestJob(
-        collection=Collection(given.collection, given.format, options),
+        collection=Collection(given.collection, given.format, options, given.schema),
         type_client=given.type_client,
         target=f"{given.base.rstrip('/')}/{given.collection}_{given.type_client}",
         run_log=given.run_log,

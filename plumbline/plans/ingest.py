@@ -101,7 +101,8 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
 
     # Observed below the filter: the counters see every row that came in.
     seen = Observation()
-    observed = records.observe(seen, *[column.alias(name) for name, column in row_counters(records).items()])
+    counters = row_counters(records)
+    observed = records.observe(seen, *[column.alias(name) for name, column in counters.items()])
     landed = land(
         normalize(valid_records(observed)),
         job.target,
@@ -109,7 +110,7 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
         schema=TARGET,
         counters={"unrated": F.count_if(F.col("rating").isNull())},
     )
-    counts = {**seen.get, **counted}
+    counts = {name: seen.get.get(name, 0) for name in counters} | counted
     if landed["rows"] != counts["total_records"] - counts["null_rows"]:
         raise RuntimeError(f"landed {landed['rows']} rows of {counts}")
 

@@ -20,13 +20,13 @@ class Collection:
     """A collection in any source Spark has a connector for.
 
     The connector gets the name as the option ``collection``. Without a schema
-    the connector infers one.
+    the connector infers one, which costs a pass over text formats.
     """
 
     name: str
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
-    schema: StructType | None = None
+    schema: StructType | str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         reader = spark.read.format(self.format).option("collection", self.name).options(**self.options)

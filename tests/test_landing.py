@@ -60,6 +60,13 @@ def test_collection_option_reaches_the_connector(spark):
     assert {row["os"] for row in frame.collect()} == {"named"}
 
 
+def test_collection_with_a_schema(spark, folder):
+    documents(spark, nine()).write.json(folder("json"))
+    collection = Collection("app-x", "json", {"path": folder("json")}, SOURCE)
+    assert ids(flatten(collection.read(spark), "app-x")) == ids(records(spark, nine()))
+    assert [field.simpleString() for field in collection.read(spark).schema][:2] == ["_id:struct<oid:string>", "customer_id:string"]
+
+
 def test_incremental_filter_compares_text(spark):
     times = {
         "equal": "2024-11-30T00:00:00",
@@ -360,7 +367,7 @@ def test_job_script(spark, collection, tmp_path):
     given = collection(nine(), "my-app")
     script = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "ingest_reviews.py")
     arguments = ["my-app", "pf", "--base", str(tmp_path / "lake"), "--run-log", str(tmp_path / "runs")]
-    arguments += ["--option", f"path={given.options['path']}", "--load-date", "20241130"]
+    arguments += ["--option", f"path={given.options['path']}", "--load-date", "20241130", "--schema", SOURCE]
     settings = "--master local[2] --conf spark.ui.enabled=false --driver-memory 1g pyspark-shell"
     environment = {**os.environ, "PYSPARK_SUBMIT_ARGS": settings}
     done = subprocess.run([sys.executable, script, *arguments], env=environment, capture_output=True, timeout=300)
