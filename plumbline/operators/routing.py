@@ -25,10 +25,16 @@ MAX_HOT_KEYS = 10_000
 # Rows without a full key match no group; any number of salts serves to spread them.
 LOOSE_SALTS = 1 << 20
 
+# The screen is a bit per hash value of this many bits. As 64-bit words with
+# their numbers it is a broadcast of at most 2**22 rows (160 MB), whatever the data.
+SCREEN_BITS = 28
+
 _HASH = "_key_hash"
 _SALT = "_salt"
 _SALTS = "_salts"
 _SHARED = "_shared"
+_WORD = "_word"
+_BITS = "_bits"
 
 
 def valid_records(records: DataFrame) -> DataFrame:
@@ -78,22 +84,43 @@ def _salted(records: DataFrame, groups: DataFrame, hot_rows: int) -> tuple[DataF
     return rows.drop(_HASH, _SALTS), keys.drop(_HASH, _SALTS)
 
 
-def duplicate_rows(records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _screened(records: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with a NULL, and rows that may share their key: all that do, and a few that do not.
+
+    The share of other rows that slip through is at most the number of groups
+    over ``2**SCREEN_BITS``; the join that follows sorts them out.
+    """
+    slot = F.shiftrightunsigned(F.xxhash64(*DUPLICATE_KEY), 64 - SCREEN_BITS)
+    word, bit = F.shiftright(slot, 6).alias(_WORD), slot.bitwiseAND(63).cast("int")
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias(_BITS)
+    words = groups.filter(_keyed()).groupBy(word).agg(bits)
+    looked_up = records.select(*COLUMNS, word).join(F.broadcast(words), _WORD, "left")
+    return looked_up.filter(has_null() | (F.bit_get(_BITS, bit) == 1)).select(*COLUMNS)
+
+
+def duplicate_rows(
+    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, screen: bool = False
+) -> DataFrame:
     """Every row whose key another row shares. Rows with a NULL in the key never match.
 
     ``groups`` takes a stored result of :func:`duplicate_groups`; its known size
     then lets the optimizer broadcast it when it is small, and no row is moved.
     Otherwise both sides are shuffled on the key, and a key with more than
     ``hot_rows`` rows is cut into salts: its rows are spread over them, its
-    group is repeated once per salt.
+    group is repeated once per salt. ``screen`` drops most rows that share no
+    key before the shuffle, for groups too many to broadcast but far fewer than
+    the rows.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    rows, keys = _salted(records.filter(_keyed()), groups, hot_rows)
+    records = records.filter(_keyed())
+    rows, keys = _salted(_screened(records, groups) if screen else records, groups, hot_rows)
     return rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi").select(*COLUMNS)
 
 
-def invalid_records(records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def invalid_records(
+    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, screen: bool = False
+) -> DataFrame:
     """Rows with a NULL and duplicate rows, each with its reason; a row that is both appears twice.
 
     One scan finds both kinds: rows are marked by an outer join with the groups
@@ -101,7 +128,7 @@ def invalid_records(records: DataFrame, groups: DataFrame | None = None, hot_row
     """
     if groups is None:
         groups = duplicate_groups(records)
-    rows, keys = _salted(records, groups, hot_rows)
+    rows, keys = _salted(_screened(records, groups) if screen else records, groups, hot_rows)
     marked = rows.join(keys.withColumn(_SHARED, F.lit(True)), [*DUPLICATE_KEY, _SALT], "left")
     reasons = F.array_compact(
         F.array(F.when(has_null(), F.lit(REASON_NULL)), F.when(F.col(_SHARED), F.lit(REASON_DUPLICATE)))

@@ -267,6 +267,7 @@ QUERIES = {
     "duplicate_rows": lambda spark, sf: normalize(duplicate_rows(_records(spark, sf))),
     "duplicate_rows_skewed": lambda spark, sf: duplicate_rows(_skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS),
     "invalid_records": lambda spark, sf: normalize(invalid_records(_records(spark, sf))),
+    "invalid_records_screened": lambda spark, sf: invalid_records(_skewed(spark, sf), None, SKEWED_HOT_ROWS, screen=True),
     "partitioned_roundtrip": _roundtrip,
     "run_log_roundtrip": _run_log,
     "metrics_document": _document_columns,

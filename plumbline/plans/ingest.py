@@ -5,7 +5,8 @@ Passes over the source, whatever its size:
 1. the three key columns, combined on the map side -> duplicate groups, stored;
 2. all columns, map only -> valid rows landed, row counters observed on the way;
 3. all columns -> quarantine: rows with a NULL and rows that match a stored group.
-   No row is moved while the stored groups are small enough to broadcast.
+   No row is moved while the stored groups are small enough to broadcast; beyond
+   that a screen of fixed size keeps most valid rows out of the shuffle.
 
 A source that is not made of files is copied to Parquet once before, so that
 every pass sees the same rows. Nothing is cached on executors.
@@ -25,7 +26,7 @@ from plumbline.metrics.document import RunInfo, metrics_document
 from plumbline.metrics.stages import stage_metrics, stage_totals
 from plumbline.operators.checks import duplicate_groups, group_counters, quality_report, row_counters
 from plumbline.operators.project import flatten, normalize
-from plumbline.operators.routing import HOT_ROWS, invalid_records, valid_records
+from plumbline.operators.routing import HOT_ROWS, SCREEN_BITS, invalid_records, valid_records
 from plumbline.schema import PARTITION_COLUMN, TARGET
 from plumbline.sinks.partitioned import land
 from plumbline.sinks.run_log import JobLabels, append_failure, append_success
@@ -34,6 +35,9 @@ from plumbline.storage import path_exists, shared_folder
 
 log = logging.getLogger(__name__)
 
+# With fewer groups than this the group table itself is small enough to broadcast.
+SCREEN_FROM = 1_000_000
+
 # Output below this fraction of the input (1/THIN) is moved once more, into fewer files.
 THIN = 8
 
@@ -47,6 +51,7 @@ class IngestJob:
     load_date: str = field(default_factory=lambda: date.today().strftime("%Y%m%d"))
     quarantine: str | None = None
     hot_rows: int = HOT_ROWS
+    screen_from: int = SCREEN_FROM
     event_log: str | None = None
     labels: JobLabels = JobLabels()
 
@@ -117,7 +122,8 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
     quarantined = {"rows": 0}
     expected = counts["null_rows"] + counts["duplicate_rows"]
     if expected:
-        invalid = normalize(invalid_records(records, groups, job.hot_rows))
+        screen = job.screen_from <= counts["duplicate_groups"] < 2**SCREEN_BITS
+        invalid = normalize(invalid_records(records, groups, job.hot_rows, screen))
         if expected * THIN < counts["total_records"]:
             # A few rows from every input split: gather them into files of a useful size.
             invalid = invalid.hint("rebalance")

@@ -144,6 +144,9 @@ FROM prof""",
     "duplicate_rows_skewed": f"WITH {_SKEWED}, {_GROUPS}, {_DUPLICATES} SELECT {_COLUMNS} FROM duplicates",
     "invalid_records": f"""WITH {_PROCESSED}, {_GROUPS}, {_DUPLICATES}
 SELECT {_COLUMNS}, 'null' AS reason FROM p WHERE {_IS_NULL}
+UNION ALL SELECT {_COLUMNS}, 'duplicate' FROM duplicates""",
+    "invalid_records_screened": f"""WITH {_SKEWED}, {_GROUPS}, {_DUPLICATES}
+SELECT {_COLUMNS}, 'null' AS reason FROM p WHERE {_IS_NULL}
 UNION ALL SELECT {_COLUMNS}, 'duplicate' FROM duplicates""",
     "partitioned_roundtrip": f"WITH {_PROCESSED} SELECT {_CONFORM}, '20240130' AS odate FROM p WHERE NOT {_IS_NULL}",
     "run_log_roundtrip": f"""WITH {_DOCUMENT}

@@ -4,6 +4,7 @@ import json
 import os
 import subprocess
 import sys
+from dataclasses import replace
 
 import pytest
 from pyspark import cloudpickle
@@ -283,6 +284,9 @@ def test_hot_key_run(spark, collection, job):
     made = job(collection(rows), hot_rows=10)
     assert run_ingest(spark, made).quarantined_rows == 200
     assert ids(quarantine(spark, made)) == sorted(f"h{i}" for i in range(200))
+    screened = replace(made, screen_from=0)
+    assert run_ingest(spark, screened).quarantined_rows == 200
+    assert ids(quarantine(spark, screened)) == sorted(f"h{i}" for i in range(200))
 
 
 class DocStore(DataSource):

@@ -60,11 +60,12 @@ def test_same_rows_for_every_threshold(spark, merged, monkeypatch, hot_rows, max
     assert Counter(map(tuple, duplicate_rows(frame, hot_rows=hot_rows).collect())) == expected
     assert sum(expected.values()) > 1000
 
-    invalid = Counter(map(tuple, invalid_records(frame, hot_rows=hot_rows).collect()))
     nulls = Counter(map(tuple, null_records(frame).collect()))
-    assert invalid == Counter({(*row, "duplicate"): n for row, n in expected.items()}) + Counter(
+    both = Counter({(*row, "duplicate"): n for row, n in expected.items()}) + Counter(
         {(*row, "null"): n for row, n in nulls.items()}
     )
+    for screen in (False, True):
+        assert Counter(map(tuple, invalid_records(frame, hot_rows=hot_rows, screen=screen).collect())) == both
 
 
 def test_stored_groups_give_the_same_rows(spark, tmp_path):
@@ -82,6 +83,25 @@ def test_colliding_hashes_lose_no_row(spark, merged, monkeypatch):
     assert Counter(map(tuple, duplicate_rows(frame, hot_rows=20).collect())) == brute_force(frame)
 
 
+@pytest.mark.parametrize("bits", [6, 8, 28])
+def test_screen_loses_no_row(spark, merged, monkeypatch, bits):
+    """A crowded screen lets other rows through, never the wrong way."""
+    monkeypatch.setattr(routing, "SCREEN_BITS", bits)
+    frame = flatten(documents(spark, skewed_rows()), "app-x").repartition(8, "id")
+    expected = brute_force(frame)
+    assert Counter(map(tuple, duplicate_rows(frame, screen=True).collect())) == expected
+    assert Counter(map(tuple, invalid_records(frame, screen=True).collect())).total() == (
+        expected.total() + null_records(frame).count()
+    )
+
+
+def test_screen_keeps_other_rows_out_of_the_shuffle(spark):
+    rows = [review(f"r{i}", customer_id=str(i)) for i in range(2000)] + [review("x", customer_id="7")]
+    frame = flatten(documents(spark, rows), "app-x")
+    passed = routing._screened(frame, duplicate_groups(frame))
+    assert {row["id"] for row in passed.collect()} == {"r7", "x"}
+
+
 def _largest_share(frame):
     sizes = [row["count"] for row in frame.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     return max(sizes) / sum(sizes)
