@@ -53,13 +53,16 @@ def _keyed() -> Column:
 
 
 def _salts_per_key(groups: DataFrame, hot_rows: int) -> DataFrame:
-    """The largest groups as (key hash, number of salts), one row per hash."""
-    hottest = groups.filter(F.col("count") > hot_rows).orderBy(F.desc("count")).limit(MAX_HOT_KEYS)
-    return (
-        hottest.select(F.xxhash64(*DUPLICATE_KEY).alias(_HASH), F.ceil(F.col("count") / hot_rows).alias(_SALTS))
-        .groupBy(_HASH)
-        .agg(F.max(_SALTS).cast("int").alias(_SALTS))
-    )
+    """The largest groups as (key hash, number of salts), one row per hash.
+
+    Groups of one size are ordered by hash, so that the rows' side and the keys'
+    side get the same table even if it is computed twice.
+    """
+    hot = groups.filter(F.col("count") > hot_rows)
+    hot = hot.select("count", F.xxhash64(*DUPLICATE_KEY).alias(_HASH))
+    hottest = hot.orderBy(F.desc("count"), _HASH).limit(MAX_HOT_KEYS)
+    salts = F.max(F.ceil(F.col("count") / hot_rows)).cast("int")
+    return hottest.groupBy(_HASH).agg(salts.alias(_SALTS))
 
 
 def _salted(records: DataFrame, groups: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:

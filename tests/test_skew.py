@@ -83,6 +83,20 @@ def test_colliding_hashes_lose_no_row(spark, merged, monkeypatch):
     assert Counter(map(tuple, duplicate_rows(frame, hot_rows=20).collect())) == brute_force(frame)
 
 
+def test_ties_at_the_limit_are_decided_once(spark, merged, monkeypatch):
+    """The table of hot keys is the same however the groups are partitioned."""
+    monkeypatch.setattr(routing, "MAX_HOT_KEYS", 7)
+    rows = [review(f"r{i}", customer_id=str(i % 50)) for i in range(500)]
+    groups = duplicate_groups(flatten(documents(spark, rows), "app-x"))
+    tables = [
+        {tuple(row) for row in routing._salts_per_key(groups.repartition(n, *by), 3).collect()}
+        for n in (1, 3, 16)
+        for by in ([], ["customer_id"], ["count"])
+    ]
+    assert len(tables[0]) == 7
+    assert all(table == tables[0] for table in tables)
+
+
 @pytest.mark.parametrize("bits", [6, 8, 28])
 def test_screen_loses_no_row(spark, merged, monkeypatch, bits):
     """A crowded screen lets other rows through, never the wrong way."""
