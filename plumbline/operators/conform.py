@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, IntegerType, StringType, StructField, StructType
 
 from plumbline.functions import safe_int
 from plumbline.schema import TARGET
 
 
-def _fit(df: DataFrame, field: StructField) -> Column:
+def _fit(field: StructField, found: DataType) -> Column:
     column = F.col(field.name)
-    found = df.select(field.name).schema[0].dataType
     if isinstance(field.dataType, IntegerType) and not isinstance(found, IntegerType):
         column = safe_int(column) if isinstance(found, StringType) else column.try_cast("int")
     elif isinstance(field.dataType, StringType) and not isinstance(found, StringType):
@@ -25,4 +24,5 @@ def conform(df: DataFrame, schema: StructType = TARGET) -> DataFrame:
 
     A column the schema names and the frame lacks is an analysis error.
     """
-    return df.select(*[_fit(df, field) for field in schema.fields])
+    found = df.select(*schema.fieldNames()).schema
+    return df.select(*[_fit(field, given.dataType) for field, given in zip(schema, found, strict=True)])
