@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_in_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this library on the path of the Python workers."""
+    environment = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return df.mapInArrow(work, schema)
+
+
 def map_batches(df: DataFrame, columns: list[str | Column], work: Callable, schema: str) -> DataFrame:
     """``work(batch) -> iterator of batches`` over slices of the given columns; the first is the text.
 
@@ -39,7 +51,7 @@ def map_batches(df: DataFrame, columns: list[str | Column], work: Callable, sche
             for piece in slices(batch):
                 yield from work(piece)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return map_in_arrow(df.select(*columns), run, schema)
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

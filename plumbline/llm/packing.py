@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from plumbline.llm.common import slices
+from plumbline.llm.common import map_in_arrow, slices
 
 WINDOW = 2048
 # Longer documents are cut: windows are near equal only if a piece is small beside a window.
@@ -224,4 +224,4 @@ def pack(
         if held:
             yield flush()
 
-    return docs.select("text", docs["doc_id"].cast("long").alias("doc_id")).mapInArrow(run, SCHEMA)
+    return map_in_arrow(docs.select("text", docs["doc_id"].cast("long").alias("doc_id")), run, SCHEMA)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.exact_dedup import exact_duplicates
+from plumbline.llm.language_id import fit, held_out, identify
 from plumbline.llm.packing import pack
+from plumbline.llm.substring_dedup import without_repeats
 
 
 def tokenizer_path() -> str:
@@ -30,9 +32,21 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).drop("row")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    network = fit(docs, ~held_out())
+    return identify(docs, network, ["doc_id", held_out().alias("held_out")], "doc_id long, held_out boolean")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(documents(spark, sf_dir)).drop("intervals", "kept")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 
 _EXACT = """
@@ -42,6 +56,21 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (P
 FROM d
 """
 
+_REPEATS = """
+WITH d AS (SELECT doc_id, coalesce(string_split_regex(trim(coalesce(text, ''), E' \\t\\n\\x0B\\f\\r'), '[\\x20\\x09-\\x0D]+'), []) AS raw FROM documents),
+w AS (SELECT doc_id, list_filter(raw, lambda x: x <> '') AS words FROM d),
+s AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS p FROM w WHERE len(words) >= 35),
+h AS (SELECT doc_id, p, array_to_string(words[p:p + 34], ' ') AS body FROM s),
+r AS (SELECT doc_id, p, count(*) OVER (PARTITION BY body) AS n FROM h),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS gone FROM r WHERE n > 1),
+l AS (SELECT doc_id, list(gone) AS gone FROM g GROUP BY doc_id),
+k AS (SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+  CASE WHEN gone IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i)) END AS kept
+  FROM w LEFT JOIN l USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
 ORACLES = {
     "op2_exact_dedup": _EXACT,
+    "op8_substring_dedup": _REPEATS,
 }
