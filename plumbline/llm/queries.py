@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm import pii, toxicity
 from plumbline.llm.exact_dedup import exact_duplicates
 from plumbline.llm.language_id import fit, held_out, identify
 from plumbline.llm.packing import pack
@@ -38,6 +39,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, network, ["doc_id", held_out().alias("held_out")], "doc_id long, held_out boolean")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_spans(documents(spark, sf_dir)))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), toxicity.learning_part())
+    carried = ["doc_id", toxicity.held_out().alias("held_out")]
+    return toxicity.score(docs, model, carried, "doc_id long, held_out boolean")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).drop("intervals", "kept")
 
@@ -46,6 +58,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_language_id": op4_language_id,
+    "op6_pii": op6_pii,
+    "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
