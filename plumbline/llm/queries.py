@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from plumbline.llm import pii, toxicity
 from plumbline.llm.exact_dedup import exact_duplicates
 from plumbline.llm.language_id import fit, held_out, identify
+from plumbline.llm.mixing import Level, by_choice, selection
 from plumbline.llm.packing import pack
+from plumbline.llm.sharding import shard
 from plumbline.llm.substring_dedup import without_repeats
 
 
@@ -33,6 +35,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).drop("row")
 
 
+def mixture() -> list[Level]:
+    """Domains by the number of the source, then languages, then sources, all alike, with fixed weights."""
+    number = F.try_to_number(F.nullif(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("")), F.lit("999999999"))
+    domain = F.concat(F.lit("domain"), (number.cast("int") % 4).cast("string"))
+    return [
+        Level("domain", domain, by_choice("domain", {"domain0": 4, "domain1": 3, "domain2": 2})),
+        Level("lang", F.col("lang"), by_choice("lang", {"en": 5, "de": 2, "fr": 2})),
+        Level("source", F.col("source"), F.lit(1.0)),
+    ]
+
+
+MIX_FRACTION = 0.8
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return selection(documents(spark, sf_dir), mixture(), fraction=MIX_FRACTION).drop("row")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     network = fit(docs, ~held_out())
@@ -50,6 +70,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, carried, "doc_id long, held_out boolean")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).drop("intervals", "kept")
 
@@ -57,10 +81,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
     "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_sharding": op9_sharding,
 }
 
 _EXACT = """
