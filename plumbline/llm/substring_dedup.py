@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import map_batches, mixed, powers, text_bytes, text_row_key, word_bounds, word_hashes
+from plumbline.llm.common import map_batches, mixed, powers, stored, text_bytes, text_row_key, word_bounds, word_hashes
 
 WIDTH = 35
 # Words of an anchor: of the word groups of this length in a window, the one with the smallest hash.
-ANCHOR_WORDS = 8
+ANCHOR_WORDS = 16
 # The screen of repeated anchors is this many bits (as a power of two), whatever the data: 16 MB.
 SCREEN_BITS = 27
 
@@ -101,7 +101,7 @@ def screened_runs(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCREEN
     """Windows that may repeat, as runs of neighbours with one anchor: ``_id``, ``_body``, ``start``, ``one``, ``two``.
 
     ``start`` is the number of the first window's first word; ``one`` and
-    ``two`` are the windows' hashes under two bases.
+    ``two`` are the windows' hashes under two bases, 64 and 32 bits.
     """
     screen = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, width, screen_bits))
 
@@ -115,6 +115,7 @@ def screened_runs(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCREEN
         first = at[cuts[:-1]]
         text = w.text[first] if len(first) else np.zeros(0, np.int64)
         hashes = [w.hashes[i][at].view(np.int64) if len(at) else np.zeros(0, np.int64) for i in range(2)]
+        hashes[1] = (hashes[1] >> 32).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(1).take(pa.array(text, pa.int64())),
@@ -125,7 +126,7 @@ def screened_runs(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCREEN
             names=["_id", "_body", "start", "one", "two"],
         )
 
-    schema = "_id string, _body long, start long, one array<long>, two array<long>"
+    schema = "_id string, _body long, start long, one array<long>, two array<int>"
     return map_batches(docs, ["text", *text_row_key()], runs, schema)
 
 
@@ -133,17 +134,23 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCR
     """For each text with repeated windows: ``_id``, ``_body``, ``marks`` (pairs of a run's start and the offsets in it).
 
     Equal runs are counted together before their windows are, so that a
-    passage with very many copies is one row of each task. Windows count as
-    equal when both 64-bit hashes are.
+    passage with very many copies is one row of each task; the windows of a run
+    with a copy need no further look-up. Windows count as equal when both
+    hashes, 96 bits together, are.
     """
     runs = screened_runs(docs, width, screen_bits)
-    key = F.sha2(F.concat_ws(",", F.transform("one", lambda h: h.cast("string")), F.transform("two", lambda h: h.cast("string"))), 256)
+    key = [F.xxhash64("one", "two").alias("_r"), F.xxhash64("two", F.lit(1), "one").alias("_s")]
     different = runs.groupBy("one", "two").agg(F.count("*").alias("n"))
-    each = different.select(key.alias("run"), "n", F.posexplode(F.arrays_zip("one", "two")).alias("place", "window"))
-    each = each.select("run", "n", "place", F.col("window.one").alias("a"), F.col("window.two").alias("b"))
-    counted = each.groupBy("a", "b").agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
-    marked = each.join(counted, ["a", "b"]).groupBy("run").agg(F.collect_set("place").alias("places"))
-    placed = runs.select("_id", "_body", "start", key.alias("run")).join(marked, "run")
+    different = stored(different.select(*key, "n", "one", "two"), "runs")
+    windows = F.explode(F.arrays_zip("one", "two")).alias("window")
+    counted = different.select("n", windows).groupBy(F.col("window.one").alias("a"), F.col("window.two").alias("b"))
+    counted = counted.agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
+    single = different.filter("n = 1").select("_r", "_s", F.posexplode(F.arrays_zip("one", "two")).alias("place", "window"))
+    single = single.select("_r", "_s", "place", F.col("window.one").alias("a"), F.col("window.two").alias("b"))
+    places = single.join(counted, ["a", "b"]).groupBy("_r", "_s").agg(F.collect_set("place").alias("places"))
+    copied = different.filter("n > 1").select("_r", "_s", F.sequence(F.lit(0), F.size("one") - 1).alias("places"))
+    marked = copied.unionByName(places)
+    placed = runs.select("_id", "_body", "start", *key).join(marked, ["_r", "_s"])
     return placed.groupBy("_id", "_body").agg(F.collect_set(F.struct("start", "places")).alias("marks"))
 
 
