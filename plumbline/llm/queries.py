@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import pii, toxicity
+from plumbline.llm.embedding_dedup import near_vectors
 from plumbline.llm.exact_dedup import exact_duplicates
 from plumbline.llm.language_id import fit, held_out, identify
 from plumbline.llm.mixing import Level, by_choice, selection
@@ -59,6 +60,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, network, ["doc_id", held_out().alias("held_out")], "doc_id long, held_out boolean")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_spans(documents(spark, sf_dir)))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
