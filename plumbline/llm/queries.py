@@ -10,6 +10,7 @@ from plumbline.llm.embedding_dedup import near_vectors
 from plumbline.llm.exact_dedup import exact_duplicates
 from plumbline.llm.language_id import fit, held_out, identify
 from plumbline.llm.mixing import Level, by_choice, selection
+from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import pack
 from plumbline.llm.sharding import shard
 from plumbline.llm.substring_dedup import without_repeats
@@ -83,6 +84,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).drop("intervals", "kept")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).drop("row")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,6 +98,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 _EXACT = """
