@@ -196,9 +196,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-3
 
 
 def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``text``, ``toxic`` of the documents with a label; of several labels the highest counts."""
+    """``doc_id``, ``text``, ``toxic`` of the documents with a label; of several labels the highest counts.
+
+    Labels grow with the documents, so they are merged and not broadcast at any size.
+    """
     known = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    return docs.select("doc_id", "text").join(known.hint("merge"), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, part: Column, order: int = ORDER, bits: int = SLOT_BITS) -> Model:
