@@ -21,7 +21,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="source option")
     parser.add_argument("--schema", help="source schema as DDL, spares the source its inference")
     parser.add_argument("--load-date", help="yyyyMMdd, default today")
-    parser.add_argument("--event-log", help="event log to report stage metrics from")
+    parser.add_argument("--event-log", help="event log, or folder of logs, to report stage metrics from")
+    parser.add_argument("--work", help="folder all executors share; default spark.checkpoint.dir")
     return parser.parse_args(arguments)
 
 
@@ -38,8 +39,11 @@ def main(arguments: list[str]) -> None:
         event_log=given.event_log,
         **when,
     )
-    spark = session(f"landing {given.collection}")
+    work = {"spark.checkpoint.dir": given.work} if given.work else {}
+    spark = session(f"landing {given.collection}", **work)
     try:
+        if not spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", ""):
+            raise SystemExit("--work or spark.checkpoint.dir must name a folder that all executors share")
         result = run_ingest(spark, job)
         logging.info(
             "%s load: %d rows landed (%d without a numeric rating), %d quarantined",

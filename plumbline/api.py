@@ -7,7 +7,7 @@ runs the one action that needs.
 from __future__ import annotations
 
 import logging
-from datetime import date
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions import ascii_fold as remove_accents
-from plumbline.metrics import RunInfo, parse_stage_report, stage_metrics, stage_totals
+from plumbline.metrics import RunInfo, application_log, parse_stage_report, stage_metrics, stage_totals
 from plumbline.metrics.document import document_column
 from plumbline.operators import conform, invalid_records, process, profile, quality_report, valid_records
 from plumbline.operators.checks import CHECKS
@@ -41,7 +41,7 @@ get_schema = conform
 
 
 def _today() -> str:
-    return date.today().strftime("%Y%m%d")
+    return datetime.now(timezone.utc).strftime("%Y%m%d")
 
 
 def read_reviews(
@@ -127,7 +127,7 @@ class MetricsCollector:
         """The document as JSON text; both frames are counted in one job."""
         self.run.app, self.run.type_client = id_app, type_client
         if self.event_log is not None:
-            lines = self.spark.read.text(self.event_log)
+            lines = application_log(self.spark, self.event_log)
             self.run.stages = stage_totals(stage_metrics(lines, begin=self.run.started, end=self.run.ended))
         checks = {
             name: F.struct(

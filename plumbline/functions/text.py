@@ -47,6 +47,13 @@ SPELLED_OUT = {
     "…": "...",
     "€": "EUR",
     "™": "(tm)",
+    "\u2029": "\n\n",
+    "‰": "%0",
+    "←": "<-",
+    "→": "->",
+    "↔": "<->",
+    "⇐": "<=",
+    "⇒": "=>",
 }
 
 # Letters and signs that become one ASCII character although
@@ -95,13 +102,35 @@ SINGLE = {
     "•": "*",
     "‹": "<",
     "›": ">",
+    "\u2028": "\n",
+    "′": "'",
+    "″": '"',
+    "⁄": "/",
+    "−": "-",
+    "∕": "/",
+    "∶": ":",
+    "∼": "~",
 }
 
 # Letters and signs that are spelled out before the ASCII test.
 _COMMON = "ß—…"
 
-# Latin-1, Extended-A, Extended-B; Extended Additional; general spaces; full-width forms.
-_DECOMPOSED = (range(0x00A0, 0x0250), range(0x1E00, 0x1F00), range(0x2000, 0x200B), range(0xFF01, 0xFF5F))
+# Latin-1, Extended-A, Extended-B; Extended Additional; general, narrow, mathematical and
+# ideographic spaces; super- and subscripts; letter-like signs; full-width forms.
+_DECOMPOSED = (
+    range(0x00A0, 0x0250),
+    range(0x1E00, 0x1F00),
+    range(0x2000, 0x200B),
+    range(0x202F, 0x2030),
+    range(0x205F, 0x2060),
+    range(0x2070, 0x20A0),
+    range(0x2100, 0x2190),
+    range(0x3000, 0x3001),
+    range(0xFF01, 0xFF5F),
+)
+
+# Digraphs; letter-like signs, fractions and Roman numerals; squared units; ligatures.
+_COMPOSED = (range(0x01C4, 0x01F4), range(0x2100, 0x2190), range(0x3371, 0x3400), range(0xFB00, 0xFB07))
 
 # Soft hyphen, combining marks, zero-width signs, dingbats, variation selectors, emoji planes.
 _DROPPED = (
@@ -126,7 +155,20 @@ def _single_letters() -> dict[str, str]:
     return {**table, **SINGLE}
 
 
+def _composed() -> dict[str, str]:
+    """Characters that Unicode takes apart into several ASCII ones."""
+    table = {}
+    for block in _COMPOSED:
+        for point in block:
+            parts = unicodedata.normalize("NFKD", chr(point)).translate({0x2044: "/", 0x2215: "/"})
+            plain = "".join(c for c in parts if not unicodedata.combining(c))
+            if len(plain) > 1 and plain.isascii() and chr(point) not in SPELLED_OUT:
+                table[chr(point)] = plain
+    return table
+
+
 _LETTERS = _single_letters()
+_PARTS = _composed()
 _GONE = "".join(chr(point) for block in _DROPPED for point in block)
 _FROM = "".join(_LETTERS) + _GONE
 _TO = "".join(_LETTERS.values())
@@ -142,6 +184,13 @@ def _spell_out(text: Column, letters: Iterable[str]) -> Column:
     return text
 
 
+def _take_apart(text: Column) -> Column:
+    """One look-up a character, for the few values that hold a composed one."""
+    table = F.create_map(*[F.lit(item) for pair in _PARTS.items() for item in pair])
+    spelled = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    return F.when(F.rlike(text, F.lit(f"[{''.join(_PARTS)}]")), F.array_join(spelled, "")).otherwise(text)
+
+
 def ascii_fold(text: Column) -> Column:
     """Fold ``text`` to ASCII; NULL stays NULL.
 
@@ -152,7 +201,7 @@ def ascii_fold(text: Column) -> Column:
     """
     text = text.cast("string")
     common = F.when(_is_ascii(text), text).otherwise(_spell_out(F.translate(text, _FROM, _TO), _COMMON))
-    return F.when(_is_ascii(common), common).otherwise(_spell_out(common, SPELLED_OUT))
+    return F.when(_is_ascii(common), common).otherwise(_take_apart(_spell_out(common, SPELLED_OUT)))
 
 
 def normalized(text: Column) -> Column:

@@ -1,6 +1,6 @@
 """What a run reports about itself."""
 
 from plumbline.metrics.document import RunInfo, metrics_document
-from plumbline.metrics.stages import parse_stage_report, stage_metrics, stage_totals
+from plumbline.metrics.stages import application_log, parse_stage_report, stage_metrics, stage_totals
 
-__all__ = ["RunInfo", "metrics_document", "parse_stage_report", "stage_metrics", "stage_totals"]
+__all__ = ["RunInfo", "application_log", "metrics_document", "parse_stage_report", "stage_metrics", "stage_totals"]

@@ -19,7 +19,7 @@ class RunInfo:
     type_client: str
     application_id: str = ""
     search: str = "parquet"
-    sigla: str = "DT"
+    sigla: str = ""
     projeto: str = "reviews"
     layer_lake: str = "bronze"
     stages: dict[str, str] = field(default_factory=dict)
@@ -73,7 +73,8 @@ def document_column(valid: Column, invalid: Column, came_in: Column, checks: dic
     times = F.struct(
         F.lit(run.started.strftime(stamp)).alias("start"), F.lit(run.ended.strftime(stamp)).alias("end")
     )
-    now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
+    now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="milliseconds") + "Z"
+    # The names of the fields.
     return F.to_json(
         F.struct(
             F.lit(run.application_id).alias("application_id"),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.storage import child_names
+
 # The report line to skip and the separators between key and value.
 _SKIPPED_LINE = "Scheduling mode"
 _SEPARATORS = " => | = "
@@ -35,6 +37,22 @@ _EVENT = """
 """
 
 
+def application_log(spark: SparkSession, path: str, application_id: str | None = None) -> DataFrame:
+    """Lines of one application's event log: a log file, or the application's log in a folder of logs.
+
+    ``application_id`` defaults to the session's own. Jobs that ran in the
+    application at the same time are part of its log.
+    """
+    application_id = application_id or spark.sparkContext.applicationId
+    names = child_names(spark, path)
+    if names == [path.rstrip("/").rsplit("/", 1)[-1]]:
+        return spark.read.text(path)
+    logs = [name for name in names if name.removeprefix("eventlog_v2_").split(".")[0] == application_id]
+    if not logs:
+        raise ValueError(f"no event log of {application_id} in {path}")
+    return spark.read.text([f"{path.rstrip('/')}/{name}" for name in logs])
+
+
 def _strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_MARGIN))
 

@@ -17,10 +17,10 @@ REASON_DUPLICATE = "duplicate"
 
 # A key with more rows than this is spread over several reducers.
 HOT_ROWS = 200_000
-# The spreading table is broadcast: at most this many (hash, salts) pairs of
-# 12 bytes. Keys beyond it, each less than 1/10,000 of all rows, take the plain
-# join; they are never left out.
-MAX_HOT_KEYS = 10_000
+# The spreading table has a place for each value of this many bits of the key
+# hash. It is broadcast: at most 2**22 pairs of integers, whatever the data, and
+# no hot key is left out. Keys that share a place share the larger number of salts.
+SALT_BITS = 22
 
 # Rows without a full key match no group; any number of salts serves to spread them.
 LOOSE_SALTS = 1 << 20
@@ -29,7 +29,7 @@ LOOSE_SALTS = 1 << 20
 # their numbers it is a broadcast of at most 2**22 rows (160 MB), whatever the data.
 SCREEN_BITS = 28
 
-_HASH = "_key_hash"
+_SLOT = "_slot"
 _SALT = "_salt"
 _SALTS = "_salts"
 _SHARED = "_shared"
@@ -52,39 +52,38 @@ def _keyed() -> Column:
     return reduce(and_, [F.col(name).isNotNull() for name in DUPLICATE_KEY])
 
 
-def _salts_per_key(groups: DataFrame, hot_rows: int) -> DataFrame:
-    """The largest groups as (key hash, number of salts), one row per hash.
+def _slot() -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*DUPLICATE_KEY), 64 - SALT_BITS).cast("int").alias(_SLOT)
 
-    Groups of one size are ordered by hash, so that the rows' side and the keys'
-    side get the same table even if it is computed twice.
-    """
-    hot = groups.filter(F.col("count") > hot_rows)
-    hot = hot.select("count", F.xxhash64(*DUPLICATE_KEY).alias(_HASH))
-    hottest = hot.orderBy(F.desc("count"), _HASH).limit(MAX_HOT_KEYS)
+
+def _salts_per_slot(groups: DataFrame, hot_rows: int) -> DataFrame:
+    """The number of salts of each place that a hot key falls on; all others have one."""
     salts = F.max(F.ceil(F.col("count") / hot_rows)).cast("int")
-    return hottest.groupBy(_HASH).agg(salts.alias(_SALTS))
+    return groups.filter(F.col("count") > hot_rows).groupBy(_slot()).agg(salts.alias(_SALTS))
 
 
-def _salted(records: DataFrame, groups: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+def _salted(
+    records: DataFrame, groups: DataFrame, hot_rows: int, strategy: str | None
+) -> tuple[DataFrame, DataFrame]:
     """Rows and group keys, both with the salt they are to be joined on.
 
-    Both sides look the number of salts up by key hash, so a hash collision
-    costs a few repeated groups and never a row. A row's salt comes from its id
+    Both sides look the number of salts up by key hash, so keys on one place
+    cost a few repeated groups and never a row. A row's salt comes from its id
     and the number of the task that read it: exact copies spread too, and a
     retried task gives the same salt. Rows without a full key match nothing and
     are simply spread.
     """
     groups = groups.filter(_keyed())
-    salts = F.broadcast(_salts_per_key(groups, hot_rows))
-    key_hash = F.xxhash64(*DUPLICATE_KEY)
+    salts = F.broadcast(_salts_per_slot(groups, hot_rows))
 
-    rows = records.select(*COLUMNS).withColumn(_HASH, key_hash).join(salts, _HASH, "left")
+    rows = records.select(*COLUMNS, _slot()).join(salts, _SLOT, "left")
     choices = F.when(_keyed(), F.coalesce(_SALTS, F.lit(1))).otherwise(F.lit(LOOSE_SALTS))
     rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.spark_partition_id(), F.col("id")), choices).cast("int"))
 
-    keys = groups.drop("count").withColumn(_HASH, key_hash).join(salts, _HASH, "left")
+    keys = groups.drop("count").withColumn(_SLOT, _slot()).join(salts, _SLOT, "left")
     keys = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)))
-    return rows.drop(_HASH, _SALTS), keys.drop(_HASH, _SALTS)
+    keys = keys.drop(_SLOT, _SALTS)
+    return rows.drop(_SLOT, _SALTS), keys.hint(strategy) if strategy else keys
 
 
 def _screened(records: DataFrame, groups: DataFrame) -> DataFrame:
@@ -102,37 +101,37 @@ def _screened(records: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(
-    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, screen: bool = False
+    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, strategy: str | None = None
 ) -> DataFrame:
     """Every row whose key another row shares. Rows with a NULL in the key never match.
 
     ``groups`` takes a stored result of :func:`duplicate_groups`; its known size
     then lets the optimizer broadcast it when it is small, and no row is moved.
-    Otherwise both sides are shuffled on the key, and a key with more than
+    Otherwise both sides are shuffled on the key: of the rows, those that pass
+    the screen, which is nearly none that share no key. A key with more than
     ``hot_rows`` rows is cut into salts: its rows are spread over them, its
-    group is repeated once per salt. ``screen`` drops most rows that share no
-    key before the shuffle, for groups too many to broadcast but far fewer than
-    the rows.
+    group is repeated once per salt. ``strategy`` is a join hint for the groups,
+    such as ``merge``.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    records = records.filter(_keyed())
-    rows, keys = _salted(_screened(records, groups) if screen else records, groups, hot_rows)
+    rows, keys = _salted(_screened(records.filter(_keyed()), groups), groups, hot_rows, strategy)
     return rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi").select(*COLUMNS)
 
 
 def invalid_records(
-    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, screen: bool = False
+    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, strategy: str | None = None
 ) -> DataFrame:
     """Rows with a NULL and duplicate rows, each with its reason; a row that is both appears twice.
 
     One scan finds both kinds: rows are marked by an outer join with the groups
-    and repeated once per reason.
+    and repeated once per reason. Other rows stop at the screen.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    rows, keys = _salted(_screened(records, groups) if screen else records, groups, hot_rows)
-    marked = rows.join(keys.withColumn(_SHARED, F.lit(True)), [*DUPLICATE_KEY, _SALT], "left")
+    rows, keys = _salted(_screened(records, groups), groups, hot_rows, strategy)
+    keys = keys.withColumn(_SHARED, F.lit(True))
+    marked = rows.join(keys, [*DUPLICATE_KEY, _SALT], "left")
     reasons = F.array_compact(
         F.array(F.when(has_null(), F.lit(REASON_NULL)), F.when(F.col(_SHARED), F.lit(REASON_DUPLICATE)))
     )

@@ -173,7 +173,7 @@ def stage_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stage_report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
-        stage_reports(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        stage_reports(spark, sf_dir).write.parquet(path)
 
     return parse_stage_report(spark.read.parquet(_once(spark, sf_dir, "stage-reports", write)))
 
@@ -266,8 +266,14 @@ QUERIES = {
     "null_records": lambda spark, sf: normalize(null_records(_records(spark, sf))),
     "duplicate_rows": lambda spark, sf: normalize(duplicate_rows(_records(spark, sf))),
     "duplicate_rows_skewed": lambda spark, sf: duplicate_rows(_skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS),
+    "duplicate_rows_merged": lambda spark, sf: duplicate_rows(
+        _skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS, strategy="merge"
+    ),
     "invalid_records": lambda spark, sf: normalize(invalid_records(_records(spark, sf))),
-    "invalid_records_screened": lambda spark, sf: invalid_records(_skewed(spark, sf), None, SKEWED_HOT_ROWS, screen=True),
+    "invalid_records_screened": lambda spark, sf: invalid_records(_skewed(spark, sf), None, SKEWED_HOT_ROWS),
+    "invalid_records_merged": lambda spark, sf: invalid_records(
+        _skewed(spark, sf), None, SKEWED_HOT_ROWS, strategy="merge"
+    ),
     "partitioned_roundtrip": _roundtrip,
     "run_log_roundtrip": _run_log,
     "metrics_document": _document_columns,

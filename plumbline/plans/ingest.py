@@ -5,42 +5,38 @@ Passes over the source, whatever its size:
 1. the three key columns, combined on the map side -> duplicate groups, stored;
 2. all columns, map only -> valid rows landed, row counters observed on the way;
 3. all columns -> quarantine: rows with a NULL and rows that match a stored group.
-   No row is moved while the stored groups are small enough to broadcast; beyond
-   that a screen of fixed size keeps most valid rows out of the shuffle.
+   A screen of fixed size stops most valid rows before any join; the rest is
+   moved only if the stored groups are too large to broadcast.
 
 A source that is not made of files is copied to Parquet once before, so that
-every pass sees the same rows. Nothing is cached on executors.
+every pass sees the same rows. Nothing is cached on executors; what was stored
+for the run is deleted with it, also if it fails.
 """
 
 from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.metrics.document import RunInfo, metrics_document
-from plumbline.metrics.stages import stage_metrics, stage_totals
+from plumbline.metrics.stages import application_log, stage_metrics, stage_totals
 from plumbline.operators.checks import duplicate_groups, group_counters, quality_report, row_counters
+from plumbline.operators.conform import conform
 from plumbline.operators.project import flatten, normalize
-from plumbline.operators.routing import HOT_ROWS, SCREEN_BITS, invalid_records, valid_records
+from plumbline.operators.routing import HOT_ROWS, invalid_records, valid_records
 from plumbline.schema import PARTITION_COLUMN, TARGET
 from plumbline.sinks.partitioned import land
 from plumbline.sinks.run_log import JobLabels, append_failure, append_success
 from plumbline.sources.collection import Collection, load_collection
-from plumbline.storage import path_exists, shared_folder
+from plumbline.storage import delete_folder, path_exists, shared_folder
 
 log = logging.getLogger(__name__)
 
-# With fewer groups than this the group table itself is small enough to broadcast.
-SCREEN_FROM = 1_000_000
-
-# Output below this fraction of the input (1/THIN) is moved once more, into fewer files.
-THIN = 8
-
 
 @dataclass(frozen=True)
 class IngestJob:
@@ -48,10 +44,9 @@ class IngestJob:
     type_client: str
     target: str
     run_log: str
-    load_date: str = field(default_factory=lambda: date.today().strftime("%Y%m%d"))
+    load_date: str = field(default_factory=lambda: datetime.now(timezone.utc).strftime("%Y%m%d"))
     quarantine: str | None = None
     hot_rows: int = HOT_ROWS
-    screen_from: int = SCREEN_FROM
     event_log: str | None = None
     labels: JobLabels = JobLabels()
 
@@ -86,15 +81,13 @@ def _one_row(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
     return spark.range(1).select(*[F.lit(value).cast("bigint").alias(name) for name, value in values.items()])
 
 
-def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
+def _ingest(spark: SparkSession, job: IngestJob, work: str) -> IngestResult:
     run = RunInfo(
         app=job.collection.name,
         type_client=job.type_client,
         application_id=spark.sparkContext.applicationId,
         search=job.collection.format,
     ).start()
-    work = shared_folder(spark, f"{job.collection.name}-{job.load_date}")
-
     load = load_collection(spark, job.collection, job.target, job.load_date)
     log.info("%s load of %s, mark %s", load.mode, job.collection.name, load.mark)
     records = flatten(load.documents, job.collection.name)
@@ -119,14 +112,15 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
     if landed["rows"] != counts["total_records"] - counts["null_rows"]:
         raise RuntimeError(f"landed {landed['rows']} rows of {counts}")
 
+    if not landed["rows"] and path_exists(spark, day := f"{job.target}/{PARTITION_COLUMN}={job.load_date}"):
+        # An earlier run of this load date had valid rows, this one has none.
+        conform(normalize(valid_records(records)), TARGET).limit(0).write.mode("overwrite").parquet(day)
+
     quarantined = {"rows": 0}
     expected = counts["null_rows"] + counts["duplicate_rows"]
     if expected:
-        screen = job.screen_from <= counts["duplicate_groups"] < 2**SCREEN_BITS
-        invalid = normalize(invalid_records(records, groups, job.hot_rows, screen))
-        if expected * THIN < counts["total_records"]:
-            # A few rows from every input split: gather them into files of a useful size.
-            invalid = invalid.hint("rebalance")
+        # A few rows from every input split: adaptive execution gathers them into files of a useful size.
+        invalid = normalize(invalid_records(records, groups, job.hot_rows)).hint("rebalance")
         quarantined = land(invalid, job.quarantine_path, job.load_date)
         if quarantined["rows"] != expected:
             raise RuntimeError(f"quarantined {quarantined['rows']} rows, {expected} expected")
@@ -136,7 +130,8 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
 
     run.end()
     if job.event_log is not None:
-        run.stages = stage_totals(stage_metrics(spark.read.text(job.event_log), begin=run.started, end=run.ended))
+        lines = application_log(spark, job.event_log)
+        run.stages = stage_totals(stage_metrics(lines, begin=run.started, end=run.ended))
     profiled = _one_row(spark, counts)
     document = metrics_document(profiled, run)
     append_success(spark, job.run_log, document)
@@ -153,10 +148,22 @@ def _ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
 
 
 def run_ingest(spark: SparkSession, job: IngestJob) -> IngestResult:
-    """Run the job; a failure is recorded in the run log and raised."""
+    """Run the job; a failure is recorded in the run log and raised.
+
+    If the record cannot be written either, that is logged: the failure of the
+    run itself is what is raised.
+    """
+    work = None
     try:
-        return _ingest(spark, job)
+        work = shared_folder(spark, f"{job.collection.name}-{job.load_date}")
+        return _ingest(spark, job, work)
     except Exception as error:
         log.exception("ingest of %s failed", job.collection.name)
-        append_failure(spark, job.run_log, error, job.type_client, job.labels)
+        try:
+            append_failure(spark, job.run_log, error, job.type_client, job.labels)
+        except Exception:
+            log.exception("the failure could not be recorded in %s", job.run_log)
         raise
+    finally:
+        if work is not None:
+            delete_folder(spark, work)

@@ -188,3 +188,8 @@ UNION ALL SELECT 'null', {_COLUMNS}, odate FROM p WHERE {_IS_NULL}
 UNION ALL SELECT 'duplicate', {_COLUMNS}, odate FROM counted
   WHERE n > 1 AND customer_id IS NOT NULL AND app_version IS NOT NULL AND rating IS NOT NULL""",
 }
+
+# The same rows, whatever the join.
+ORACLES["duplicate_rows_merged"] = ORACLES["duplicate_rows_skewed"]
+ORACLES["invalid_records_merged"] = ORACLES["invalid_records_screened"]
+

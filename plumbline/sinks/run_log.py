@@ -54,6 +54,7 @@ def failure_document(
     if not error:
         raise ValueError("a failure needs an error")
     now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    # The names of the fields and the client of a run without one.
     fields = [
         F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
         F.lit(labels.layer).alias("layer"),

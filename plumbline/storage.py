@@ -24,11 +24,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(target)]
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of :func:`shared_folder` with all it holds."""
+    file_system, target = _file_system(spark, path)
+    file_system.delete(target, True)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder for tables that cut lineage, under ``spark.checkpoint.dir``.
 
-    Its content has the life time of checkpoint files. Only a local session may
-    do without the setting; it gets a fresh temporary folder.
+    Who asks for it deletes it (:func:`delete_folder`). Only a local session
+    may do without the setting; it gets a fresh temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:

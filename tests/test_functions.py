@@ -32,6 +32,12 @@ FOLDED = {
     "þing ŋ ĳ": "thing ng ij",
     "a b": "a b",
     "привет 漢字 é": "привет 漢字 e",
+    "fin\u202f! a\u3000b": "fin ! a b",
+    "x\u2028y\u2029z": "x\ny\n\nz",
+    "−5 5′ 6″ 1⁄2": "-5 5' 6\" 1/2",
+    "10‰ №5 a→b": "10%0 No5 a->b",
+    "H₂O x² ⅓": "H2O x2 1/3",
+    "ﬁn Ǆ 5㎏": "fin DZ 5kg",
 }
 
 

@@ -4,7 +4,6 @@ import json
 import os
 import subprocess
 import sys
-from dataclasses import replace
 
 import pytest
 from pyspark import cloudpickle
@@ -14,7 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from plumbline import api
 from plumbline.operators import flatten, process, valid_records
-from plumbline.plans import IngestJob, run_ingest
+from plumbline.plans import IngestJob, ingest, run_ingest
 from plumbline.schema import LANDED, TARGET
 from plumbline.sinks import append_failure, append_success, land, read_run_log
 from plumbline.sources import Collection, day_mark, high_water_mark, load_collection, read_landed, since
@@ -270,6 +269,36 @@ def test_a_rerun_replaces_the_quarantine(spark, collection, job):
         assert ids(quarantine(spark, made)) == left
 
 
+def test_a_rerun_replaces_the_valid_rows(spark, collection, job):
+    """Also when nothing valid is left: the day is then empty, other days stay."""
+    other = job(collection([review("z")]), "20241129")
+    run_ingest(spark, other)
+    for rows, left in (([review("a"), review("b")], ["a", "b"]), ([review("a", os=None), review("b", os=None)], [])):
+        made = job(collection(rows))
+        assert run_ingest(spark, made).landed_rows == len(left)
+        assert ids(read_landed(spark, made.target, made.load_date)) == left
+    assert ids(read_landed(spark, made.target)) == ["z"]
+
+
+def test_nothing_is_left_of_a_run(spark, folder, collection, job):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    run_ingest(spark, job(collection([review("a"), review("a"), review("n", os=None)])))
+    with pytest.raises(AnalysisException):
+        run_ingest(spark, job(Collection("gone", options={"path": folder("gone")})))
+    after = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert after == before
+
+
+def test_the_first_failure_is_raised(spark, folder, job, monkeypatch):
+    def unreachable(*_):
+        raise OSError("run log not reachable")
+
+    monkeypatch.setattr(ingest, "append_failure", unreachable)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        run_ingest(spark, job(Collection("gone", options={"path": folder("gone")})))
+
+
 def test_failure_is_recorded_and_raised(spark, folder, job):
     made = job(Collection("gone", options={"path": folder("gone")}))
     with pytest.raises(AnalysisException):
@@ -284,9 +313,6 @@ def test_hot_key_run(spark, collection, job):
     made = job(collection(rows), hot_rows=10)
     assert run_ingest(spark, made).quarantined_rows == 200
     assert ids(quarantine(spark, made)) == sorted(f"h{i}" for i in range(200))
-    screened = replace(made, screen_from=0)
-    assert run_ingest(spark, screened).quarantined_rows == 200
-    assert ids(quarantine(spark, screened)) == sorted(f"h{i}" for i in range(200))
 
 
 class DocStore(DataSource):

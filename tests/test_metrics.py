@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import api
-from plumbline.metrics import RunInfo, metrics_document, parse_stage_report, stage_metrics, stage_totals
+from plumbline.metrics import RunInfo, application_log, metrics_document, parse_stage_report, stage_metrics, stage_totals
 from plumbline.operators import flatten, profile
 from plumbline.plans import IngestJob, run_ingest
 from plumbline.plans.catalog import stage_reports
@@ -87,6 +87,18 @@ def test_stage_metrics_of_this_session(spark, sf_dir):
     assert len({json.loads(line)["Stage ID"] for line in tasks}) >= stages.limit(1).count()
 
 
+def test_a_folder_of_logs_gives_one_application(spark, tmp_path):
+    line = '{"Event":"SparkListenerTaskEnd","Stage ID":%d,"Task Info":{"Launch Time":1},"Task Metrics":{"Executor Run Time":5}}'
+    for name, stage in (("app-1", 1), ("app-10.inprogress", 10), ("app-2.inprogress", 2)):
+        (tmp_path / name).write_text(line % stage)
+    for application, stage in (("app-1", 1), ("app-2", 2), ("app-10", 10)):
+        found = stage_metrics(application_log(spark, str(tmp_path), application)).collect()
+        assert [(row["stage_id"], row["tasks"]) for row in found] == [(stage, 1)]
+    assert application_log(spark, str(tmp_path / "app-1"), "app-2").count() == 1
+    with pytest.raises(ValueError, match="app-3"):
+        application_log(spark, str(tmp_path), "app-3")
+
+
 def test_stage_totals_are_text(spark):
     end = {
         "Event": "SparkListenerTaskEnd",

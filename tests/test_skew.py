@@ -52,9 +52,9 @@ def brute_force(frame):
 
 
 @pytest.mark.parametrize("hot_rows", [1, 2, 10, 10_000])
-@pytest.mark.parametrize("max_hot_keys", [1, 10_000])
-def test_same_rows_for_every_threshold(spark, merged, monkeypatch, hot_rows, max_hot_keys):
-    monkeypatch.setattr(routing, "MAX_HOT_KEYS", max_hot_keys)
+@pytest.mark.parametrize("salt_bits", [1, 22])
+def test_same_rows_for_every_threshold(spark, merged, monkeypatch, hot_rows, salt_bits):
+    monkeypatch.setattr(routing, "SALT_BITS", salt_bits)
     frame = flatten(documents(spark, skewed_rows()), "app-x").repartition(8, "id")
     expected = brute_force(frame)
     assert Counter(map(tuple, duplicate_rows(frame, hot_rows=hot_rows).collect())) == expected
@@ -64,8 +64,7 @@ def test_same_rows_for_every_threshold(spark, merged, monkeypatch, hot_rows, max
     both = Counter({(*row, "duplicate"): n for row, n in expected.items()}) + Counter(
         {(*row, "null"): n for row, n in nulls.items()}
     )
-    for screen in (False, True):
-        assert Counter(map(tuple, invalid_records(frame, hot_rows=hot_rows, screen=screen).collect())) == both
+    assert Counter(map(tuple, invalid_records(frame, hot_rows=hot_rows).collect())) == both
 
 
 def test_stored_groups_give_the_same_rows(spark, tmp_path):
@@ -83,18 +82,39 @@ def test_colliding_hashes_lose_no_row(spark, merged, monkeypatch):
     assert Counter(map(tuple, duplicate_rows(frame, hot_rows=20).collect())) == brute_force(frame)
 
 
-def test_ties_at_the_limit_are_decided_once(spark, merged, monkeypatch):
-    """The table of hot keys is the same however the groups are partitioned."""
-    monkeypatch.setattr(routing, "MAX_HOT_KEYS", 7)
-    rows = [review(f"r{i}", customer_id=str(i % 50)) for i in range(500)]
-    groups = duplicate_groups(flatten(documents(spark, rows), "app-x"))
-    tables = [
-        {tuple(row) for row in routing._salts_per_key(groups.repartition(n, *by), 3).collect()}
-        for n in (1, 3, 16)
-        for by in ([], ["customer_id"], ["count"])
-    ]
-    assert len(tables[0]) == 7
-    assert all(table == tables[0] for table in tables)
+def test_every_hot_key_is_salted(spark, merged):
+    """However many there are; and the table of salts has one row for each place."""
+    keys = 12_000
+    rows = spark.range(3 * keys).selectExpr("CAST(id % 12000 AS string) AS customer_id", "'1' AS app_version", "'5' AS rating")
+    groups = rows.groupBy("customer_id", "app_version", "rating").count()
+    salts = routing._salts_per_slot(groups, 2)
+    assert salts.count() == salts.select(routing._SLOT).distinct().count() <= keys
+    records = flatten(documents(spark, [review("x")]), "app-x")
+    _, salted = routing._salted(records, groups, 2, None)
+    assert salted.groupBy("customer_id").agg(F.countDistinct(routing._SALT).alias("n")).filter("n < 2").count() == 0
+    assert salted.select("customer_id").distinct().count() == keys
+
+
+def test_unmatched_rows_stay_out_of_the_exchange(spark):
+    """Few groups with long keys, too large to broadcast: only rows that may match are shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+    try:
+        customer = F.concat(F.lit("c" * 60), F.col("id").cast("string"))
+        keys = spark.range(400_000).select(customer.alias("customer_id"))
+        groups = keys.withColumns({"app_version": F.lit("1"), "rating": F.lit("5"), "count": F.lit(2).cast("bigint")})
+        shaped = flatten(documents(spark, [review("x")]), "app-x")
+        single = spark.range(500_000, 550_000).select(customer.alias("customer_id"), F.col("id").cast("string").alias("id"))
+        columns = [F.col(c) if c in ("customer_id", "id") else F.lit("5" if c == "rating" else "1").alias(c) for c in shaped.columns]
+        records = single.select(*columns)
+        match = spark.range(1).select(customer.alias("customer_id"), F.lit("match").alias("id")).select(*columns)
+        passed = routing._screened(records.unionByName(match), groups)
+        assert passed.count() <= 200
+        found = duplicate_rows(records.unionByName(match), groups)
+        assert [row["id"] for row in found.collect()] == ["match"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("bits", [6, 8, 28])
@@ -103,8 +123,8 @@ def test_screen_loses_no_row(spark, merged, monkeypatch, bits):
     monkeypatch.setattr(routing, "SCREEN_BITS", bits)
     frame = flatten(documents(spark, skewed_rows()), "app-x").repartition(8, "id")
     expected = brute_force(frame)
-    assert Counter(map(tuple, duplicate_rows(frame, screen=True).collect())) == expected
-    assert Counter(map(tuple, invalid_records(frame, screen=True).collect())).total() == (
+    assert Counter(map(tuple, duplicate_rows(frame).collect())) == expected
+    assert Counter(map(tuple, invalid_records(frame).collect())).total() == (
         expected.total() + null_records(frame).count()
     )
 
