@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import map_batches, stored
 
 # Grams are of this many bytes; with 8 bytes at most, one is a number and its count exact.
-ORDER = 5
+ORDER = 4
 DISCOUNT = 0.75
 # Likelihoods are compared over the whole text and over its passages of this many bytes.
 PASSAGE = 24
@@ -69,6 +69,11 @@ def _suffix(n: int) -> Column:
     return F.col("gram").bitwiseAND(F.lit((1 << (8 * n)) - 1))
 
 
+def _small(table: DataFrame, size: int) -> DataFrame:
+    """There are at most 65,536 grams of two bytes: a table of them, or of shorter ones, is broadcast."""
+    return F.broadcast(table) if size <= 2 else table
+
+
 def _shared_backoff(counts: DataFrame, order: int, discount: float) -> DataFrame:
     """``gram`` (of ``order`` - 1 bytes) and ``p``: interpolated Kneser-Ney on continuation counts of both classes together."""
     levels = {}
@@ -80,8 +85,8 @@ def _shared_backoff(counts: DataFrame, order: int, discount: float) -> DataFrame
     p = levels[1].select("gram", ((F.greatest(F.col("c") - discount, F.lit(0.0)) + rest) / total["c"]).alias("p"))
     for n in range(2, order):
         level = levels[n].withColumn("context", F.shiftright("gram", 8)).withColumn("tail", _suffix(n - 1))
-        contexts = level.groupBy("context").agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
-        below = p.select(F.col("gram").alias("tail"), F.col("p").alias("below"))
+        contexts = _small(level.groupBy("context").agg(F.sum("c").alias("total"), F.count("*").alias("kinds")), n - 1)
+        below = _small(p.select(F.col("gram").alias("tail"), F.col("p").alias("below")), n - 1)
         joined = level.join(contexts, "context").join(below, "tail")
         spare = discount * F.col("kinds") / F.col("total") * F.col("below")
         p = joined.select("gram", (F.greatest(F.col("c") - discount, F.lit(0.0)) / F.col("total") + spare).alias("p"))
