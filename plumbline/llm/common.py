@@ -150,6 +150,16 @@ def binary_rows(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row``, as :func:`monotonically_increasing_id` numbers the scan, and the whole row as ``document``.
+
+    The struct keeps columns of any name out of the way. The numbers are the
+    same in every scan of the same files; a stage's input is stored, so it is files.
+    """
+    whole = F.struct(*[docs[name] for name in docs.columns]).alias("document")
+    return docs.select(F.monotonically_increasing_id().alias("row"), whole)
+
+
 def text_row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Columns that tell rows of different text apart even if they share a ``doc_id``, or have none."""
     return [

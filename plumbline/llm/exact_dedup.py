@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import binary_rows, map_batches, mixed, powers, stored, text_bytes, word_bounds
+from plumbline.llm.common import binary_rows, map_batches, mixed, numbered, powers, stored, text_bytes, word_bounds
 
 # A chunk ends where the low bits of a hash of the last GEAR bytes are zero: after 2**CUT_BITS bytes on average.
 GEAR = 32
@@ -196,6 +196,5 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    kept = exact_duplicates(docs).filter("kept").select(F.col("row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    kept = exact_duplicates(docs).filter("kept").select("row")
+    return numbered(docs).join(kept, "row", "left_semi").select("document.*")

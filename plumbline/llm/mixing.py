@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import stored
+from plumbline.llm.common import numbered, stored
 
 # A leaf is repeated at most this often.
 MAX_EPOCHS = 3
@@ -131,9 +131,8 @@ def selection(
 
 def mixed_documents(docs: DataFrame, levels: Sequence[Level], **settings) -> DataFrame:
     """The documents with all their columns, each as often as it is selected."""
-    chosen = selection(docs, levels, **settings).select(F.col("row").alias("_row"), F.col("epoch").alias("_epoch"))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(chosen, "_row").drop("_row", "_epoch")
+    chosen = selection(docs, levels, **settings).select("row", "epoch")
+    return numbered(docs).join(chosen, "row").select("document.*")
 
 
 def by_choice(name: str, weights: dict[str, float], other: float = 1.0) -> Column:

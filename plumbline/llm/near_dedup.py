@@ -10,7 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.blocks import pairs_in_blocks
-from plumbline.llm.common import map_batches, map_in_arrow, mixed, powers, stored, text_bytes, word_bounds, word_hashes
+from plumbline.llm.common import (
+    map_batches,
+    map_in_arrow,
+    mixed,
+    numbered,
+    powers,
+    stored,
+    text_bytes,
+    word_bounds,
+    word_hashes,
+)
 from plumbline.llm.graph import components
 
 SHINGLE = 5
@@ -212,8 +222,8 @@ def sequences_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
         ).cast(pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(1), cut], names=["row", "shingles"])
 
-    numbered = docs.select("text", F.monotonically_increasing_id().alias("row"))
-    return map_batches(numbered, ["text", "row"], run, "row long, shingles binary").join(rows, "row", "left_semi")
+    rows_of = docs.select("text", F.monotonically_increasing_id().alias("row"))
+    return map_batches(rows_of, ["text", "row"], run, "row long, shingles binary").join(rows, "row", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -288,6 +298,5 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, with all its columns."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    kept = near_duplicates(docs, similarity).filter("kept").select(F.col("row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    kept = near_duplicates(docs, similarity).filter("kept").select("row")
+    return numbered(docs).join(kept, "row", "left_semi").select("document.*")

@@ -122,7 +122,45 @@ k AS (SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
 """
 
+
+
+def _division(name: str, path: list[str], weight: str, given: str) -> str:
+    """One level of budgets: ``name`` from the leaves, and the budgets ``given`` above (a number, or a table)."""
+    parent = ", ".join(path[:-1])
+    over = f"PARTITION BY {parent}" if parent else ""
+    budget = f"JOIN {given} USING ({parent})" if parent else f"CROSS JOIN {given}"
+    keys, last = ", ".join(path), path[-1]
+    return f"""
+{name}_c AS (SELECT * FROM (SELECT {keys}, sum(capacity) AS capacity, max({weight}) AS w FROM leaf GROUP BY {keys}) {budget}),
+{name}_f AS (SELECT *, capacity / w * sum(w) OVER ({over} ORDER BY capacity / w, {last} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+  + coalesce(sum(capacity) OVER ({over} ORDER BY capacity / w, {last} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= budget AS whole
+  FROM {name}_c),
+{name} AS (SELECT {keys}, CASE WHEN whole THEN capacity ELSE (budget - coalesce(sum(CASE WHEN whole THEN capacity END) OVER ({over}), 0)) * w
+  / sum(CASE WHEN NOT whole THEN w END) OVER ({over}) END AS budget FROM {name}_f)"""
+
+
+_MIXED = f"""
+WITH t AS (SELECT doc_id, coalesce('domain' || (CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4), '(none)') AS domain,
+  coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS DOUBLE) AS tokens, CAST(3 * sum(tokens) AS DOUBLE) AS capacity,
+  CASE domain WHEN 'domain0' THEN 4.0::DOUBLE WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END AS wd,
+  CASE lang WHEN 'en' THEN 5.0::DOUBLE WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS wl, 1.0::DOUBLE AS ws FROM t GROUP BY ALL),
+total AS (SELECT sum(tokens) * {MIX_FRACTION}::DOUBLE AS budget FROM leaf),
+{_division("b1", ["domain"], "wd", "total")},
+{_division("b2", ["domain", "lang"], "wl", "b1")},
+{_division("b3", ["domain", "lang", "source"], "ws", "b2")},
+plan AS (SELECT domain, lang, source, CAST(tokens AS BIGINT) AS whole, CAST(floor(budget + 1e-6) AS BIGINT) AS budget
+  FROM leaf JOIN b3 USING (domain, lang, source) WHERE tokens > 0),
+r AS (SELECT t.*, budget // whole AS passes, budget % whole AS rest FROM t JOIN plan USING (domain, lang, source)),
+o AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('7:' || (passes + 1) || ':' || doc_id), doc_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used FROM r),
+n AS (SELECT *, passes + CASE WHEN used <= rest AND used - tokens < rest THEN 1 ELSE 0 END AS times FROM o)
+SELECT doc_id, domain, lang, source, tokens, CAST(unnest(range(1, times + 1)) AS INT) AS epoch FROM n
+"""
+
 ORACLES = {
+    "op3_mixing": _MIXED,
     "op2_exact_dedup": _EXACT,
     "op8_substring_dedup": _REPEATS,
 }

@@ -1,0 +1,58 @@
+"""The pipeline stage by stage, and the queries with a SQL counterpart."""
+
+import re
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from plumbline.llm.queries import ORACLES, QUERIES
+from test_near_dedup import classes
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    frame = QUERIES[name](spark, sf_dir)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    expected = duck.execute(f"SELECT {', '.join(sorted(frame.columns))} FROM ({ORACLES[name]})").fetchall()
+    got = [tuple(r) for r in frame.select(*sorted(frame.columns)).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str) and got
+
+
+def test_every_operator_is_registered():
+    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
+
+
+def test_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, before, sf_dir)
+        if name != "packing":
+            assert after.columns == docs.columns
+            from plumbline.llm.common import stored
+
+            after = stored(after, f"test-{name}")
+        had, left = before.collect(), after.collect()
+        texts = {r["doc_id"]: r["text"] for r in had}
+        ids = {r["doc_id"] for r in left}
+        assert ids <= set(texts)
+        if name == "language":
+            assert len(left) >= 0.99 * len(had)
+        if name == "exact_dedup":
+            squeezed = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for i, t in texts.items()}
+            assert sorted(ids) == sorted({min(i for i, t in squeezed.items() if t == s) for s in set(squeezed.values())})
+        if name == "near_dedup":
+            assert ids == {c for _, c in classes(list(texts.items()))}
+        if name == "packing":
+            assert ids == set(texts)
+            assert sum(r["start"] == 0 for r in left) == len(had)
+        before = after
+
+
+def test_run(spark, sf_dir):
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0

@@ -1,0 +1,127 @@
+"""Kneser-Ney models against a plain computation; held-out accuracy."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from helpers import document, table, words
+from plumbline.llm import toxicity
+from plumbline.llm.toxicity import Model, fit, framed, gram_counts, grams, log_ratios, score
+
+
+def plain_ratio(texts, order, discount=0.75):
+    """Log ratios of all seen grams by the textbook: {gram: ratio}, from {text: label} pairs."""
+    counts = {0: Counter(), 1: Counter()}
+    for text, label in texts:
+        body = f"\0{text.lower()}\0".encode() if text else b"\0\0"
+        counts[label].update(body[i : i + order] for i in range(len(body) - order + 1))
+    seen = set(counts[0]) | set(counts[1])
+    levels, above = {}, seen
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(g[1:] for g in above)
+        above = set(levels[n])
+
+    def backoff(gram):
+        n = len(gram)
+        if n == 1:
+            total = sum(levels[1].values())
+            return (max(levels[1][gram] - discount, 0) + discount * len(levels[1]) / 256) / total
+        same = {g: c for g, c in levels[n].items() if g[:-1] == gram[:-1]}
+        total = sum(same.values())
+        return max(levels[n][gram] - discount, 0) / total + discount * len(same) / total * backoff(gram[1:])
+
+    by_context = {label: defaultdict(list) for label in (0, 1)}
+    for label in (0, 1):
+        for g, c in counts[label].items():
+            by_context[label][g[:-1]].append(c)
+
+    def p(gram, label):
+        cs = by_context[label].get(gram[:-1])
+        shared = backoff(gram[1:])
+        if not cs:
+            return shared
+        return max(counts[label][gram] - discount, 0) / sum(cs) + discount * len(cs) / sum(cs) * shared
+
+    return {g: math.log(p(g, 1) / p(g, 0)) for g in seen}
+
+
+def test_log_ratios(spark, files):
+    texts = [("the cat sat on the mat", 0), ("the dog sat", 0), ("a bad bad cat", 1), ("bad mat", 1), ("", 0)]
+    rows = spark.createDataFrame(texts, "text string, toxic int").repartition(2)
+    for order in (3, 5):
+        counts = gram_counts(rows, order)
+        seen, _ = log_ratios(counts, order)
+        found = {r["key"].to_bytes(order, "big"): r["value"] for r in seen.collect()}
+        expected = plain_ratio(texts, order)
+        assert found.keys() == expected.keys()
+        assert all(found[g] == pytest.approx(expected[g], abs=1e-9) for g in expected)
+
+
+def test_grams_stay_in_their_text():
+    body, offsets = framed(pa.array(["abcd", None, "xy"]))
+    values, inside = grams(body, offsets, 3)
+    kept = [int(v).to_bytes(3, "big") for v in values[inside]]
+    assert kept == [b"\0ab", b"abc", b"bcd", b"cd\0", b"\0xy", b"xy\0"]
+
+
+def test_features_do_not_depend_on_neighbours():
+    draw = np.random.default_rng(1)
+    table = draw.normal(size=1 << 10).astype(np.float32)
+    model = Model(5, 10, table, table[::-1].copy())
+    texts = ["", None, "a", "some words here", "x" * 23, "y" * 24, "long text " * 400]
+    together = model.features(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        assert model.features(pa.array([text], pa.string()))[0] == pytest.approx(together[i], abs=1e-9)
+
+
+@pytest.fixture()
+def labelled(spark, files):
+    rows, labels = [], []
+    for i in range(1500):
+        text = words(i, 60)
+        toxic = int(i % 5 == 0)
+        if toxic:
+            text[10 + i % 40] = ["grzluk", "vrakzen", "grzluken"][i % 3]
+        rows.append(document(i, " ".join(text)))
+        labels.append((i, toxic))
+    labels += [(3, None), (5, 0), (99_999, 1)]
+    return files(table(spark, rows)), files(spark.createDataFrame(labels, "doc_id long, toxic int"), "labels")
+
+
+def test_held_out_accuracy(labelled):
+    docs, labels = labelled
+    model = fit(docs, labels, toxicity.learning_part())
+    found = {r["doc_id"]: r for r in score(docs, model, ["doc_id", toxicity.held_out().alias("h")], "doc_id long, h boolean").collect()}
+    held = [i for i in range(1500) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sorted(i for i, r in found.items() if r["h"]) == held
+    right = [found[i]["predicted"] == (i % 5 == 0) for i in held]
+    assert sum(right) / len(right) >= 0.97
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in found.values())
+
+
+def test_held_out_labels_are_not_used(labelled):
+    docs, labels = labelled
+    other = labels.filter(~toxicity.held_out()).unionByName(labels.filter(toxicity.held_out()).selectExpr("doc_id", "1 - toxic AS toxic"))
+    one, two = (fit(docs, known, toxicity.learning_part()) for known in (labels, other))
+    assert np.array_equal(one.seen, two.seen, equal_nan=True)
+    assert one.weights == pytest.approx(two.weights)
+
+
+def test_odd_documents(labelled, odd, crowded, none):
+    docs, labels = labelled
+    model = fit(docs, labels, toxicity.learning_part())
+    found = score(crowded, model).collect()
+    assert len(found) == odd.count() and all(0 <= r["score"] <= 1 for r in found)
+    assert len({r["score"] for r in found if r["doc_id"] in (1, 2)}) == 1
+    assert score(none, model).count() == 0
+
+
+def test_one_label_or_none(labelled, spark):
+    docs, labels = labelled
+    for known in (labels.filter("toxic = 0"), labels.limit(0)):
+        model = fit(docs, known, toxicity.learning_part())
+        assert {r["predicted"] for r in score(docs, model).collect()} == {0}
