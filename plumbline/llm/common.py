@@ -160,6 +160,25 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), whole)
 
 
+def screen_of(values: DataFrame, value: str, bits: int) -> np.ndarray:
+    """A bit for the low ``bits`` bits of each value (64-bit hashes): ``2**bits`` bits whatever the table holds.
+
+    At most ``2**(bits - 6)`` words reach the driver. Values that share a bit
+    let others pass a screen, and never hold one back.
+    """
+    slot = F.col(value).bitwiseAND(F.lit((1 << bits) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(63).cast("int"))
+    words = values.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    screen = np.zeros(max(1, 1 << (bits - 6)), np.int64)
+    screen[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return screen
+
+
+def passes(screen: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    slot = values.view(np.int64) & ((1 << bits) - 1)
+    return (screen[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
 def text_row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Columns that tell rows of different text apart even if they share a ``doc_id``, or have none."""
     return [

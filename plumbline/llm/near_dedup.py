@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,9 @@ from plumbline.llm.common import (
     map_in_arrow,
     mixed,
     numbered,
+    passes,
     powers,
+    screen_of,
     stored,
     text_bytes,
     word_bounds,
@@ -31,6 +35,8 @@ SKETCHES = 16
 LENGTH = 3
 # Texts that are no sketch bucket's first compare only if they share this many sketches.
 SHARED = 2
+# The screen of documents that are aligned is this many bits (as a power of two), whatever the data: 16 MB.
+SCREEN_BITS = 27
 
 _BASE = 0xC2B2AE3D27D4EB4F
 
@@ -199,9 +205,7 @@ def verified(pairs: DataFrame, sequences: DataFrame, similarity: float = SIMILAR
                     size += len(batch.column(2)[end].as_buffer()) + len(batch.column(3)[end].as_buffer())
                     end += 1
                 part = batch.slice(begin, end - begin)
-                left, right = (
-                    [np.frombuffer(x, np.uint32).astype(np.int64) for x in part.column(i).to_pylist()] for i in (2, 3)
-                )
+                left, right = ([_shingles(x) for x in part.column(i)] for i in (2, 3))
                 keep = np.flatnonzero(similar(left, right, similarity))
                 yield part.select([0, 1]).take(pa.array(keep))
                 begin = end
@@ -211,10 +215,16 @@ def verified(pairs: DataFrame, sequences: DataFrame, similarity: float = SIMILAR
     return map_in_arrow(joined, run, "a long, b long")
 
 
-def sequences_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``row`` and ``shingles`` of the documents whose ``row`` is in ``rows``; only their texts move."""
+def sequences_of(docs: DataFrame, rows: DataFrame, screen_bits: int = SCREEN_BITS) -> DataFrame:
+    """``row`` and ``shingles`` of the documents whose ``row`` is in ``rows``, and of few others.
+
+    A screen of fixed size goes to the tasks that read the texts; the texts of other documents move nowhere.
+    """
+    wanted = screen_of(rows.select(F.xxhash64("row").alias("hash")), "hash", screen_bits)
+    screen = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        batch = batch.take(pa.array(np.flatnonzero(passes(screen.value, batch.column(2).to_numpy(), screen_bits))))
         shingles, offsets = shingle_hashes(*text_bytes(batch.column(0)))
         short = (shingles >> np.uint64(32)).astype("<u4")
         cut = pa.Array.from_buffers(
@@ -223,7 +233,53 @@ def sequences_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([batch.column(1), cut], names=["row", "shingles"])
 
     rows_of = docs.select("text", F.monotonically_increasing_id().alias("row"))
-    return map_batches(rows_of, ["text", "row"], run, "row long, shingles binary").join(rows, "row", "left_semi")
+    return map_batches(rows_of, ["text", "row", F.xxhash64("row")], run, "row long, shingles binary")
+
+
+def _shingles(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint32).astype(np.int64)
+
+
+def linked_in_block(columns: dict, i: np.ndarray, j: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Which pairs of different classes align well: the cheap tests first, for all; the alignment for the few left."""
+    component, key = columns["component"].to_numpy(), columns["key"].to_numpy()
+    lengths = columns["length"].to_numpy()
+    keep = component[i] != component[j]
+    keep &= np.minimum(lengths[i], lengths[j]) >= similarity * np.maximum(lengths[i], lengths[j])
+    places = np.flatnonzero(keep)
+    keep[:] = False
+    if not len(places):
+        return keep
+    flat = columns["sketch"].flatten().to_numpy().reshape(-1, SKETCHES)
+    x, y = flat[i[places]], flat[j[places]]
+    equal = x == y
+    # A pair is taken in the first bucket the two share.
+    lead = x[np.arange(len(x)), equal.argmax(axis=1)] == key[i[places]]
+    places = places[lead & (equal.sum(axis=1) >= SHARED)]
+    texts = columns.setdefault("_texts", {})
+
+    def text(place: int) -> tuple[np.ndarray, Counter | set]:
+        if place not in texts:
+            shingles = _shingles(columns["shingles"][place])
+            bag = set(shingles.tolist())
+            texts[place] = (shingles, bag if len(bag) == len(shingles) else Counter(shingles.tolist()))
+        return texts[place]
+
+    left, right, pairs = [], [], []
+    for place in places.tolist():
+        (a, bag), (b, other) = text(int(i[place])), text(int(j[place]))
+        if isinstance(bag, Counter) != isinstance(other, Counter):
+            bag, other = Counter(bag), Counter(other)
+        shared = bag & other
+        common = shared.total() if isinstance(shared, Counter) else len(shared)
+        # Shared shingles in any order bound those in order.
+        if common >= similarity * (len(a) + len(b)) / (1 + similarity) - 1e-9:
+            left.append(a)
+            right.append(b)
+            pairs.append(place)
+    if pairs:
+        keep[np.array(pairs)[similar(left, right, similarity)]] = True
+    return keep
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -238,9 +294,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     2. Texts that share a sketch meet in its bucket. Each is first aligned with
        the bucket's first text.
     3. Where a bucket still holds several classes, the members of different
-       classes are compared in blocks: those that share ``SHARED`` sketches are
-       aligned too. So a text in the middle of a bucket loses no neighbour, and
-       a bucket of copies is not compared pair by pair.
+       classes meet in blocks: those that share ``SHARED`` sketches, and enough
+       shingles, are aligned there, and only links leave the block. So a text in
+       the middle of a bucket loses no neighbour, and a bucket of copies is not
+       compared pair by pair.
 
     Texts of fewer than five words have one shingle, all their words. Null and
     empty texts, and texts of white space, are near each other and nothing
@@ -249,45 +306,38 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """
     prints = stored(fingerprints(docs), "fingerprints")
     same = ["one", "two", "n"]
-    ahead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    # Equal texts have equal sketches, so the sketch takes no part in which row is first.
+    ahead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "sketch")).alias("first")
     groups = stored(prints.groupBy(*same).agg(ahead), "equal-texts")
-    heads = groups.filter("n > 0").select(F.col("first.row").alias("row"))
-    sketched = stored(prints.join(heads, "row", "left_semi").select("row", "sketch"), "sketches")
+    sketched = groups.filter("n > 0").select(F.col("first.row").alias("row"), F.col("first.sketch").alias("sketch"), "n")
 
     buckets = sketched.select("row", F.explode("sketch").alias("key"))
     first = buckets.groupBy("key").agg(F.min("row").alias("b"), F.count("*").alias("size")).filter("size > 1").drop("size")
+    first = stored(first, "buckets")
     stars = buckets.join(first, "key").filter("row != b").select(F.col("row").alias("a"), "b").distinct()
     stars = stored(stars, "star-pairs")
-    involved = stars.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    sequences = stored(sequences_of(docs, involved), "sequences")
+    sequences = stored(sequences_of(docs, stars.select(F.explode(F.array("a", "b")).alias("row"))), "sequences")
     links = stored(verified(stars, sequences, similarity), "star-links")
+    classes = stored(components(links).withColumnsRenamed({"node": "row"}), "classes")
 
-    classes = components(links).withColumnsRenamed({"node": "row"})
     members = buckets.join(first.select("key"), "key").join(classes, "row", "left")
     members = members.withColumn("component", F.coalesce("component", "row"))
     split = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    rest = members.join(split.select("key"), "key", "left_semi").join(sketched, "row")
-
-    def may_link(columns: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        component, key = columns["component"].to_numpy(), columns["key"].to_numpy()
-        keep = component[i] != component[j]
-        places = np.flatnonzero(keep)
-        if len(places):
-            flat = columns["sketch"].flatten().to_numpy().reshape(-1, SKETCHES)
-            x, y = flat[i[places]], flat[j[places]]
-            equal = x == y
-            # Taken in the first bucket the two share.
-            lead = x[np.arange(len(x)), equal.argmax(axis=1)] == key[i[places]]
-            keep[places] = lead & (equal.sum(axis=1) >= SHARED)
-        return keep
-
-    others = pairs_in_blocks(rest, ["key"], "row", may_link)
-    tried = stars.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a"))
-    others = stored(others.join(tried, ["a", "b"], "left_anti"), "other-pairs")
-    links = links.unionByName(verified(others, sequences, similarity))
-
-    classes = components(links).withColumnsRenamed({"node": "row"})
-    heads = groups.select(*same, F.col("first.row").alias("row"), "first")
+    rest = members.join(split.select("key"), "key", "left_semi")
+    rest = rest.join(sketched.withColumnRenamed("n", "length"), "row").join(sequences, "row")
+    bound = partial(linked_in_block, similarity=similarity)
+    more = stored(pairs_in_blocks(rest, ["key"], "row", bound), "other-links")
+    if not more.isEmpty():
+        # The other links join classes: components of the classes, then of the rows.
+        for side in "ab":
+            more = more.join(classes.withColumnRenamed("row", side), side, "left").withColumn(side, F.coalesce("component", side))
+            more = more.drop("component")
+        above = components(more).select(F.col("node").alias("component"), F.col("component").alias("above"))
+        lone = above.join(classes, "component", "left_anti").select(F.col("component").alias("row"), "component")
+        classes = classes.unionByName(lone).join(above, "component", "left")
+        classes = stored(classes.select("row", F.coalesce("above", "component").alias("component")), "classes")
+
+    heads = groups.select(*same, F.col("first.row").alias("row"), F.struct("first.none", "first.doc_id", "first.row").alias("first"))
     classed = heads.join(classes, "row", "left").withColumn("component", F.coalesce("component", "row"))
     lowest = classed.groupBy("component").agg(F.min("first").alias("lead"))
     classed = classed.join(lowest, "component").select(*same, "lead")

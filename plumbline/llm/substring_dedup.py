@@ -10,7 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import map_batches, mixed, powers, stored, text_bytes, text_row_key, word_bounds, word_hashes
+from plumbline.llm.common import (
+    map_batches,
+    mixed,
+    passes,
+    powers,
+    screen_of,
+    stored,
+    text_bytes,
+    text_row_key,
+    word_bounds,
+    word_hashes,
+)
 
 WIDTH = 35
 # Words of an anchor: of the word groups of this length in a window, the one with the smallest hash.
@@ -84,17 +95,7 @@ def repeated_anchors(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCR
 
     places = map_batches(docs, ["text"], anchors, "anchor long, n long")
     repeated = places.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
-    slot = F.col("anchor").bitwiseAND(F.lit((1 << screen_bits) - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(63).cast("int"))
-    words = repeated.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    screen = np.zeros(max(1, 1 << (screen_bits - 6)), np.int64)
-    screen[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return screen
-
-
-def _passes(screen: np.ndarray, anchors: np.ndarray, screen_bits: int) -> np.ndarray:
-    slot = (anchors & np.uint64((1 << screen_bits) - 1)).view(np.int64)
-    return (screen[slot >> 6] >> (slot & 63)) & 1 == 1
+    return screen_of(repeated, "anchor", screen_bits)
 
 
 def screened_runs(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCREEN_BITS) -> DataFrame:
@@ -107,7 +108,7 @@ def screened_runs(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCREEN
 
     def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         w = Windows(*text_bytes(batch.column(0)), width)
-        at = np.flatnonzero(w.valid & _passes(screen.value, w.anchors, screen_bits)) if len(w.anchors) else np.zeros(0, np.int64)
+        at = np.flatnonzero(w.valid & passes(screen.value, w.anchors, screen_bits)) if len(w.anchors) else np.zeros(0, np.int64)
         opens = np.ones(len(at), bool)
         if len(at):
             opens[1:] = (np.diff(at) > 1) | (w.text[at][1:] != w.text[at][:-1]) | (w.anchors[at][1:] != w.anchors[at][:-1])
