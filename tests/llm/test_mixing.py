@@ -10,11 +10,14 @@ from helpers import document, table, words
 from plumbline.llm.mixing import Level, budgets, by_choice, mixed_documents, selection
 from plumbline.llm.queries import mixture
 
-LEVELS = [
-    Level("domain", F.substring("source", 1, 1), by_choice("domain", {"a": 3, "b": 1})),
-    Level("lang", F.col("lang"), by_choice("lang", {"en": 2})),
-    Level("source", F.col("source"), F.lit(1.0)),
-]
+
+
+def levels():
+    return [
+        Level("domain", F.substring("source", 1, 1), by_choice("domain", {"a": 3, "b": 1})),
+        Level("lang", F.col("lang"), by_choice("lang", {"en": 2})),
+        Level("source", F.col("source"), F.lit(1.0)),
+    ]
 
 
 def divided(tree, weights, total):
@@ -50,7 +53,7 @@ def divided(tree, weights, total):
 def test_budgets(spark, total):
     leaves = {("a", "en", "a1"): 50, ("a", "en", "a2"): 400, ("a", "de", "a1"): 10, ("b", "en", "b1"): 900, ("b", "fr", "b1"): 5}
     frame = spark.createDataFrame([(*path, n) for path, n in leaves.items()], "domain string, lang string, source string, tokens long")
-    found = {(r["domain"], r["lang"], r["source"]): r["budget"] for r in budgets(frame, LEVELS, total, 3).collect()}
+    found = {(r["domain"], r["lang"], r["source"]): r["budget"] for r in budgets(frame, levels(), total, 3).collect()}
 
     def weights(depth, key):
         return ({"a": 3}, {"en": 2}, {})[depth].get(key, 1)
@@ -63,8 +66,8 @@ def test_budgets(spark, total):
 
 def test_a_weight_of_zero_takes_nothing(spark):
     frame = spark.createDataFrame([("a", "en", "a1", 10), ("b", "en", "b1", 10)], "domain string, lang string, source string, tokens long")
-    levels = [Level("domain", F.lit(""), by_choice("domain", {"a": 0})), *LEVELS[1:]]
-    assert [(r["domain"], r["budget"]) for r in budgets(frame, levels, 20, 3).collect()] == [("b", 20)]
+    without = [Level("domain", F.lit(""), by_choice("domain", {"a": 0})), *levels()[1:]]
+    assert [(r["domain"], r["budget"]) for r in budgets(frame, without, 20, 3).collect()] == [("b", 20)]
 
 
 def expected_selection(rows, budget_of, seed=7):
@@ -96,17 +99,17 @@ def test_selection(spark, files, fraction):
         source = "a1" if i % 3 == 0 else f"{'ab'[i % 2]}{i % 5}"
         rows.append(document(i, " ".join(words(i, i % 60)), ["en", "en", "de"][i % 3], source))
     docs = files(table(spark, rows))
-    found = selection(docs, LEVELS, fraction=fraction).collect()
+    found = selection(docs, levels(), fraction=fraction).collect()
     plain = [(r[0], (r[3][0], r[2], r[3]), len(r[1].split())) for r in rows]
     leaves = defaultdict(int)
     for _, leaf, tokens in plain:
         leaves[leaf] += tokens
     frame = spark.createDataFrame([(*p, n) for p, n in leaves.items()], "domain string, lang string, source string, tokens long")
-    plan = budgets(frame, LEVELS, sum(leaves.values()) * fraction, 3).collect()
+    plan = budgets(frame, levels(), sum(leaves.values()) * fraction, 3).collect()
     budget_of = {(r["domain"], r["lang"], r["source"]): r["budget"] for r in plan}
     got = sorted((r["doc_id"], (r["domain"], r["lang"], r["source"]), r["epoch"]) for r in found)
     assert got == expected_selection(plain, budget_of)
-    mixed = mixed_documents(docs, LEVELS, fraction=fraction)
+    mixed = mixed_documents(docs, levels(), fraction=fraction)
     assert mixed.columns == docs.columns
     assert sorted(r["doc_id"] for r in mixed.collect()) == [d for d, *_ in got]
 

@@ -86,10 +86,10 @@ def telling(spark, files):
     rows = []
     for i in range(12):
         rows.append(document(i, " ".join([*words(i, 6), "often", "zorbaxian", "q.w@mail.example", *words(50 + i, 6)])))
-    rows += [document(100 + i, " ".join([*words(100 + i, 20), "often", *words(300 + i, 5)])) for i in range(200)]
-    rows += [document(400, "zorbaxian alone"), document(401, "call +49 30 1234567 or 10.0.0.1")]
+    rows += [document(100 + i, " ".join([*words(100 + i, 20), "often", *words(300 + i, 5)])) for i in range(1200)]
+    rows += [document(4000, "zorbaxian alone"), document(4001, "call +49 30 1234567 or 10.0.0.1")]
     # Copies of one text: a rare word in them is not told by several contexts.
-    rows += [document(500 + i, "rareword near r.s@mail.example " + " ".join(words(7, 9))) for i in range(30)]
+    rows += [document(5000 + i, "rareword near r.s@mail.example " + " ".join(words(7, 9))) for i in range(30)]
     return files(table(spark, rows))
 
 
@@ -119,8 +119,8 @@ def test_digest(telling):
 def test_sanitised(telling):
     texts = {r["doc_id"]: r["text"] for r in sanitised(telling).collect()}
     assert "zorbaxian" not in texts[0] and "[EMAIL]" in texts[0]
-    assert texts[400] == "zorbaxian alone"
-    assert texts[401] == "call [PHONE] or [IP]"
+    assert texts[4000] == "zorbaxian alone"
+    assert texts[4001] == "call [PHONE] or [IP]"
 
 
 def test_contexts_leave_values_out():
