@@ -125,6 +125,8 @@ def linked_pairs(
             earlier = np.arange(keys[0].shape[1]) < band[a][:, None]
             first = ~((keys[0] == keys[1]) & earlier).any(axis=1)
             part, a, b = part[first], a[first], b[first]
+            if not len(part):
+                continue
             corner = np.unpackbits(_rows(columns["code"], b, np.uint8), axis=1)[:, :dim].astype(np.float32)
             corner = (2 * corner - 1) / np.float32(np.sqrt(dim))
             query = _rows(columns["short"], a, np.int8).astype(np.float32) * scale[a][:, None]
