@@ -157,6 +157,24 @@ class Model:
     # Of the mean log ratio over the text, over its best passage, and the constant.
     weights: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -30.0]))
 
+    def __getstate__(self) -> dict:
+        """Travels as the places that are filled, at most as much as the tables themselves."""
+        state = dict(self.__dict__)
+        for name in ("seen", "new"):
+            if (table := state[name]) is not None:
+                filled = np.flatnonzero(~np.isnan(table)).astype(np.int32)
+                state[name] = (filled, table[filled])
+        return state
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        for name in ("seen", "new"):
+            if state[name] is not None:
+                filled, values = state[name]
+                table = np.full(1 << self.bits, np.nan, np.float32)
+                table[filled] = values
+                setattr(self, name, table)
+
     def features(self, column: pa.Array) -> np.ndarray:
         """For each text its mean log ratio a byte, and that of its most toxic passage."""
         body, offsets = framed(column)
