@@ -15,6 +15,9 @@ from plumbline.llm.common import map_in_arrow
 BLOCK = 1024
 # Pairs looked at together.
 TILE = 50_000
+# Groups of more rows are compared as matrices of so many rows at a time.
+DENSE = 48
+DENSE_ROWS = 256
 
 
 def blocked(rows: DataFrame, keys: list[str], identity: str, block: int = BLOCK) -> DataFrame:
@@ -45,20 +48,49 @@ def tiles(first: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarra
         step += 1
 
 
+def _roots(parent: np.ndarray) -> np.ndarray:
+    while not np.array_equal(above := parent[parent], parent):
+        parent = above
+    return parent
+
+
 def pairs_in_blocks(
-    rows: DataFrame, keys: list[str], identity: str, test: Callable, schema: str = "a long, b long", block: int = BLOCK
+    rows: DataFrame,
+    keys: list[str],
+    identity: str,
+    test: Callable,
+    rough: Callable | None = None,
+    spanning: bool = False,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """Pairs (smaller ``identity`` first) of a bucket's members for which ``test(columns, i, j)`` holds.
+    """Pairs ``a`` < ``b`` (of ``identity``) of a bucket's members for which ``test(columns, i, j)`` holds.
+
+    ``columns`` holds the rows' columns as Arrow arrays, ``i`` and ``j`` places
+    in them; the test gets some pairs at a time and returns a mask.
+    ``rough(columns, left, right)`` is a quick test that holds for every pair
+    that ``test`` does: a matrix for two ranges of places, used in large groups.
+    With ``spanning``, pairs are needed for what they connect only, and those
+    that found pairs of the same task connect already are not tested.
 
-    ``columns`` holds the rows' columns as numpy arrays or Arrow columns, ``i``
-    and ``j`` places in them; the test gets some pairs at a time and returns a mask. A task
-    reads its groups one after the other in sorted order and keeps one block
-    pair, at most about twice ``block`` rows.
+    A task reads its groups one after the other in sorted order and keeps one
+    block pair, at most about twice ``block`` rows.
     """
     prepared = blocked(rows, keys, identity, block)
     group = [*keys, "_s", "_t"]
     prepared = prepared.repartition(*group).sortWithinPartitions(*group)
 
+    def candidates(columns: dict, first: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ends = np.append(first[1:], total)
+        large = (ends - first > DENSE) & (rough is not None)
+        small = np.repeat(~large, ends - first)
+        # Rows of large groups stand alone here, and pair with none.
+        yield from tiles(np.flatnonzero(~small | np.isin(np.arange(total), first)), total)
+        for begin, end in zip(first[large].tolist(), ends[large].tolist(), strict=True):
+            for at in range(begin, end, DENSE_ROWS):
+                left, right = slice(at, min(at + DENSE_ROWS, end)), slice(at, end)
+                i, j = np.nonzero(np.triu(rough(columns, left, right), 1))
+                yield i + at, j + at
+
     def work(table: pa.Table) -> pa.RecordBatch | None:
         columns = {name: table.column(name).combine_chunks() for name in table.column_names}
         names = [columns[name].to_numpy(zero_copy_only=False) for name in group]
@@ -67,17 +99,44 @@ def pairs_in_blocks(
         opens[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in names])
         s, t = columns["_s"].to_numpy(), columns["_t"].to_numpy()
         own, ids = columns["_own"].to_numpy(), columns[identity].to_numpy()
-        out = []
-        for i, j in tiles(np.flatnonzero(opens), total):
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        different, number = np.unique(ids, return_inverse=True)
+        parent = np.arange(len(different))
+
+        def tested(i: np.ndarray, j: np.ndarray) -> None:
+            for at in range(0, len(i), TILE):
+                a, b = i[at : at + TILE], j[at : at + TILE]
+                if spanning:
+                    top = _roots(parent)
+                    parent[:] = top
+                    apart = top[number[a]] != top[number[b]]
+                    a, b = a[apart], b[apart]
+                keep = test(columns, a, b)
+                a, b = a[keep], b[keep]
+                found.append((ids[a], ids[b]))
+                if spanning:
+                    for x, y in zip(number[a].tolist(), number[b].tolist(), strict=True):
+                        while parent[x] != x:
+                            x = parent[x]
+                        while parent[y] != y:
+                            y = parent[y]
+                        parent[max(x, y)] = min(x, y)
+
+        held, waiting = [], 0
+        for i, j in candidates(columns, np.flatnonzero(opens), total):
             meet = ((s[i] == t[i]) | (own[i] != own[j])) & (ids[i] != ids[j])
             i, j = i[meet], j[meet]
             swap = ids[i] > ids[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            keep = test(columns, i, j)
-            out.append((ids[i[keep]], ids[j[keep]]))
-        if not out:
+            held.append((np.where(swap, j, i), np.where(swap, i, j)))
+            waiting += len(i)
+            if waiting >= TILE:
+                tested(*(np.concatenate(side) for side in zip(*held, strict=True)))
+                held, waiting = [], 0
+        if held:
+            tested(*(np.concatenate(side) for side in zip(*held, strict=True)))
+        if not found:
             return None
-        a, b = (np.concatenate(side) for side in zip(*out, strict=True))
+        a, b = (np.concatenate(side) for side in zip(*found, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,13 +150,13 @@ def pairs_in_blocks(
                 held.append(batch)
                 continue
             cut = int(changes[-1])
-            found = work(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-            if found is not None:
-                yield found
+            result = work(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            if result is not None:
+                yield result
             held = [batch.slice(cut)]
         if held:
-            found = work(pa.Table.from_batches(held))
-            if found is not None:
-                yield found
+            result = work(pa.Table.from_batches(held))
+            if result is not None:
+                yield result
 
-    return map_in_arrow(prepared, run, schema)
+    return map_in_arrow(prepared, run, "a long, b long")

@@ -240,6 +240,22 @@ def _shingles(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint32).astype(np.int64)
 
 
+def may_be_near(columns: dict, left: slice, right: slice, similarity: float = SIMILARITY) -> np.ndarray:
+    """Pairs of different classes, of like length, that share ``SHARED`` sketches or more: a matrix."""
+    if "_short" not in columns:
+        # Sixteen bits of a sketch: a few more pairs pass, none is held back.
+        flat = columns["sketch"].flatten().to_numpy().reshape(-1, SKETCHES)
+        columns["_short"] = np.ascontiguousarray((flat.view(np.uint64) >> np.uint64(48)).astype(np.uint16).T)
+    short = columns["_short"]
+    equal = np.zeros((left.stop - left.start, right.stop - right.start), np.uint8)
+    for sketch in short:
+        equal += sketch[left][:, None] == sketch[right][None, :]
+    component, lengths = columns["component"].to_numpy(), columns["length"].to_numpy()
+    a, b = lengths[left][:, None], lengths[right][None, :]
+    near = (equal >= SHARED) & (component[left][:, None] != component[right][None, :])
+    return near & (np.minimum(a, b) >= similarity * np.maximum(a, b))
+
+
 def linked_in_block(columns: dict, i: np.ndarray, j: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     """Which pairs of different classes align well: the cheap tests first, for all; the alignment for the few left."""
     component, key = columns["component"].to_numpy(), columns["key"].to_numpy()
@@ -325,8 +341,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     split = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
     rest = members.join(split.select("key"), "key", "left_semi")
     rest = rest.join(sketched.withColumnRenamed("n", "length"), "row").join(sequences, "row")
-    bound = partial(linked_in_block, similarity=similarity)
-    more = stored(pairs_in_blocks(rest, ["key"], "row", bound), "other-links")
+    test, rough = (partial(f, similarity=similarity) for f in (linked_in_block, may_be_near))
+    more = stored(pairs_in_blocks(rest, ["key"], "row", test, rough, spanning=True), "other-links")
     if not more.isEmpty():
         # The other links join classes: components of the classes, then of the rows.
         for side in "ab":
