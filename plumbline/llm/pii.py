@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -91,6 +92,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> Iterator[tuple[str, str, str, int, int]]:
     """(value, context, term, start, end) of the words around each protected value, parts of values left out."""
+    begins, ends = [], []
+    for start, end, _ in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            begins.append(start)
+            ends.append(end)
+
+    def taken(start: int, end: int) -> bool:
+        i = bisect_left(begins, end) - 1
+        return i >= 0 and ends[i] > start
+
     for start, end, kind in spans:
         # Words are looked for near the value only: a window of characters that doubles until it holds enough.
         before, after = [], []
@@ -106,7 +119,7 @@ def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -
             if len(after) == reach:
                 break
         near = before[-reach:] + after
-        near = [m for m in near if not any(m.start() < b and a < m.end() for a, b, _ in spans)]
+        near = [m for m in near if not taken(m.start(), m.end())]
         value = f"{kind}:{text[start:end].lower()}"
         around = hashlib.md5(" ".join(m.group().lower() for m in near).encode()).hexdigest()
         for m in near:

@@ -159,8 +159,19 @@ n AS (SELECT *, passes + CASE WHEN used <= rest AND used - tokens < rest THEN 1
 SELECT doc_id, domain, lang, source, tokens, CAST(unnest(range(1, times + 1)) AS INT) AS epoch FROM n
 """
 
+_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id, vec_id AS reached FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reached = l.a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, min(reached) AS component_id, vec_id = min(reached) AS kept
+FROM r LEFT JOIN n USING (vec_id) GROUP BY vec_id, n_links
+"""
+
 ORACLES = {
     "op3_mixing": _MIXED,
     "op2_exact_dedup": _EXACT,
+    "op5_embedding_dedup": _VECTORS,
     "op8_substring_dedup": _REPEATS,
 }

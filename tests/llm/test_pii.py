@@ -123,6 +123,15 @@ def test_sanitised(telling):
     assert texts[4001] == "call [PHONE] or [IP]"
 
 
+def test_contexts_of_many_values_take_linear_time():
+    import time
+
+    text = "word a.b@c.de " * 20_000
+    begin = time.process_time()
+    assert len(list(contexts(text, base_spans(text)))) > 100_000
+    assert time.process_time() - begin < 20
+
+
 def test_contexts_leave_values_out():
     text = "alpha beta x.y@z.com gamma u.v@w.net delta"
     found_terms = [t for _, _, t, *_ in contexts(text, base_spans(text))]

@@ -15,7 +15,8 @@ from test_near_dedup import classes
 def test_query_equals_sql(spark, sf_dir, name):
     frame = QUERIES[name](spark, sf_dir)
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name_of in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {name_of} AS SELECT * FROM '{sf_dir}/{name_of}.parquet'")
     expected = duck.execute(f"SELECT {', '.join(sorted(frame.columns))} FROM ({ORACLES[name]})").fetchall()
     got = [tuple(r) for r in frame.select(*sorted(frame.columns)).collect()]
     assert sorted(got, key=str) == sorted(expected, key=str) and got
