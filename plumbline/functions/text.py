@@ -129,8 +129,8 @@ _DECOMPOSED = (
     range(0xFF01, 0xFF5F),
 )
 
-# Digraphs; letter-like signs, fractions and Roman numerals; squared units; ligatures.
-_COMPOSED = (range(0x01C4, 0x01F4), range(0x2100, 0x2190), range(0x3371, 0x3400), range(0xFB00, 0xFB07))
+# Digraphs, numero, fractions, ligatures and squared units that Unicode takes apart into ASCII characters.
+_COMPOSED = "ǄǅǆǇǈǉǊǋǌǱǲǳ№⅓⅔⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞ﬀﬁﬂﬃﬄﬅﬆ㎎㎏㎜㎝㎞"
 
 # Soft hyphen, combining marks, zero-width signs, dingbats, variation selectors, emoji planes.
 _DROPPED = (
@@ -155,20 +155,17 @@ def _single_letters() -> dict[str, str]:
     return {**table, **SINGLE}
 
 
-def _composed() -> dict[str, str]:
-    """Characters that Unicode takes apart into several ASCII ones."""
-    table = {}
-    for block in _COMPOSED:
-        for point in block:
-            parts = unicodedata.normalize("NFKD", chr(point)).translate({0x2044: "/", 0x2215: "/"})
-            plain = "".join(c for c in parts if not unicodedata.combining(c))
-            if len(plain) > 1 and plain.isascii() and chr(point) not in SPELLED_OUT:
-                table[chr(point)] = plain
+def _spellings() -> dict[str, str]:
+    """The one-to-many part of the fold: the table above, and composed characters taken apart."""
+    table = dict(SPELLED_OUT)
+    for letter in _COMPOSED:
+        parts = unicodedata.normalize("NFKD", letter).replace("\u2044", "/")
+        table[letter] = "".join(c for c in parts if not unicodedata.combining(c))
     return table
 
 
 _LETTERS = _single_letters()
-_PARTS = _composed()
+_SPELLINGS = _spellings()
 _GONE = "".join(chr(point) for block in _DROPPED for point in block)
 _FROM = "".join(_LETTERS) + _GONE
 _TO = "".join(_LETTERS.values())
@@ -180,17 +177,10 @@ def _is_ascii(text: Column) -> Column:
 
 def _spell_out(text: Column, letters: Iterable[str]) -> Column:
     for letter in letters:
-        text = F.replace(text, F.lit(letter), F.lit(SPELLED_OUT[letter]))
+        text = F.replace(text, F.lit(letter), F.lit(_SPELLINGS[letter]))
     return text
 
 
-def _take_apart(text: Column) -> Column:
-    """One look-up a character, for the few values that hold a composed one."""
-    table = F.create_map(*[F.lit(item) for pair in _PARTS.items() for item in pair])
-    spelled = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
-    return F.when(F.rlike(text, F.lit(f"[{''.join(_PARTS)}]")), F.array_join(spelled, "")).otherwise(text)
-
-
 def ascii_fold(text: Column) -> Column:
     """Fold ``text`` to ASCII; NULL stays NULL.
 
@@ -201,7 +191,7 @@ def ascii_fold(text: Column) -> Column:
     """
     text = text.cast("string")
     common = F.when(_is_ascii(text), text).otherwise(_spell_out(F.translate(text, _FROM, _TO), _COMMON))
-    return F.when(_is_ascii(common), common).otherwise(_take_apart(_spell_out(common, SPELLED_OUT)))
+    return F.when(_is_ascii(common), common).otherwise(_spell_out(common, _SPELLINGS))
 
 
 def normalized(text: Column) -> Column:
