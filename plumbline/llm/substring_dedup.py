@@ -167,9 +167,22 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCRE
     a null ``doc_id`` is a value like others, further columns are ignored, and
     an empty table gives no rows.
     """
-    marks = repeated_windows(docs, width, screen_bits)
+    marks = stored(repeated_windows(docs, width, screen_bits), "marks")
     keyed = docs.select("text", docs["doc_id"].cast("long").alias("doc_id"), *text_row_key())
-    joined = keyed.join(marks, ["_id", "_body"], "left")
+    keyed = keyed.withColumn("_key", F.xxhash64("_id", "_body"))
+    # Of the texts, only those with marks (and few others) move to be joined with them.
+    marked = screen_of(marks.select(F.xxhash64("_id", "_body").alias("key")), "key", screen_bits)
+    screen = docs.sparkSession.sparkContext.broadcast(marked)
+
+    def to_join(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(passes(screen.value, batch.column(4).to_numpy(), screen_bits))
+        yield batch.select([0, 1, 2, 3]).take(pa.array(at))
+
+    def whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(~passes(screen.value, batch.column(2).to_numpy(), screen_bits))
+        part = batch.select([0, 1]).take(pa.array(at))
+        none = pa.nulls(part.num_rows)
+        yield from cut(pa.RecordBatch.from_arrays([*part.columns, none], names=["text", "doc_id", "marks"]))
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         body, offsets = text_bytes(batch.column(0))
@@ -194,4 +207,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCRE
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     schema = "doc_id long, n_words long, n_removed long, intervals array<array<long>>, kept string, kept_sha256 string"
-    return map_batches(joined, ["text", "doc_id", "marks"], cut, schema)
+    joined = map_batches(
+        keyed, ["text", "doc_id", "_id", "_body", "_key"], to_join, "text string, doc_id long, _id string, _body long"
+    ).join(marks, ["_id", "_body"], "left")
+    with_marks = map_batches(joined, ["text", "doc_id", "marks"], cut, schema)
+    return map_batches(keyed, ["text", "doc_id", "_key"], whole, schema).unionByName(with_marks)
