@@ -9,10 +9,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import map_batches, map_in_arrow, slices, text_row_key
+from plumbline.llm.common import map_batches, map_in_arrow, passes, screen_of, slices, text_row_key
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -26,6 +27,8 @@ BITS = 6.0
 SUPPORT = 3
 # Terms this certain are removed; others are generalised.
 REMOVE_FROM = 0.9
+# Texts that may stand more than once are found by a screen of 2**SCREEN_BITS bits (4 MB) whatever the corpus.
+SCREEN_BITS = 25
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -159,10 +162,20 @@ def occurrences(docs: DataFrame, reach: int = REACH) -> DataFrame:
     return map_batches(docs, ["text", *text_row_key()], run, schema)
 
 
-def document_frequency(docs: DataFrame) -> DataFrame:
-    """``term``, ``df``: the documents of the whole corpus that hold each term, combined in each task first."""
+def document_frequency(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``term``, ``df``: the different texts of the whole corpus that hold each term; and how many texts there are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Terms are combined in each task first. Only texts that stand more than once
+    (and a few that a screen takes for such) move, one copy from each task.
+    """
+    copies = docs.select(text_row_key()[1]).groupBy("_body").agg(F.count("*").alias("n"))
+    total = copies.count()
+    screen = docs.sparkSession.sparkContext.broadcast(screen_of(copies.filter("n > 1"), "_body", SCREEN_BITS))
+
+    def copied(batch: pa.RecordBatch) -> pa.Array:
+        return pa.array(passes(screen.value, batch.column(1).to_numpy(), SCREEN_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[pa.RecordBatch]:
         def rows(counter: Counter) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64())], names=["term", "n"]
@@ -171,7 +184,8 @@ def document_frequency(docs: DataFrame) -> DataFrame:
         counter: Counter = Counter()
         for batch in batches:
             for piece in slices(batch):
-                for text in piece.column(0).to_pylist():
+                texts = piece.filter(pc.invert(copied(piece))) if once else piece
+                for text in texts.column(0).to_pylist():
                     if text:
                         counter.update(set(_WORD.findall(text.lower())))
                 if len(counter) > 400_000:
@@ -179,7 +193,13 @@ def document_frequency(docs: DataFrame) -> DataFrame:
                     counter = Counter()
         yield rows(counter)
 
-    return map_in_arrow(docs.select("text"), run, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    def suspects(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(copied(batch))
+
+    one_each = map_batches(docs, ["text", text_row_key()[1]], suspects, "text string, _body long").groupBy("_body").agg(F.first("text").alias("text"))
+    once = map_in_arrow(docs.select("text", text_row_key()[1]), lambda batches: run(batches, True), "term string, n long")
+    rest = map_in_arrow(one_each.select("text"), lambda batches: run(batches, False), "term string, n long")
+    return once.unionByName(rest).groupBy("term").agg(F.sum("n").alias("df")), total
 
 
 def disclosing_terms(
@@ -191,16 +211,16 @@ def disclosing_terms(
 ) -> DataFrame:
     """``value``, ``term``, ``p``, ``pmi``: terms that reveal a protected value.
 
-    A pair counts once for each different context, so copies of a passage do
-    not add up. ``p`` is the share of the documents with the term in which the
-    value stands near it, ``pmi`` how many bits that is above the value's share
-    of all documents.
+    Shares are of different texts, so copies of a text count as one wherever they
+    are counted: ``p`` is the share of the texts with the term in which the value
+    stands near it, ``pmi`` how many bits that is above the value's share of all
+    texts. Support is the number of different contexts, so copies of a passage
+    in different texts do not add up.
     """
-    pairs = near.groupBy("value", "term", "context").agg(F.lit(1).alias("one"))
-    pairs = pairs.groupBy("value", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= support)
-    values = near.groupBy("value", "context").agg(F.lit(1).alias("one")).groupBy("value").agg(F.count("*").alias("of_value"))
-    total = docs.count()
-    found = pairs.join(values, "value").join(document_frequency(docs), "term")
+    pairs = near.groupBy("value", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("_body").alias("n"))
+    values = near.groupBy("value").agg(F.count_distinct("_body").alias("of_value"))
+    frequency, total = document_frequency(docs)
+    found = pairs.filter(F.col("contexts") >= support).join(values, "value").join(frequency, "term")
     p = F.least(F.col("n") / F.col("df"), F.lit(1.0))
     found = found.withColumn("p", p).withColumn("pmi", F.log2(p * total / F.col("of_value")))
     return found.filter((F.col("p") >= disclosure) & (F.col("pmi") >= bits)).select("value", "term", "p", "pmi")

@@ -104,6 +104,17 @@ def test_terms(telling):
     assert row["p"] == pytest.approx(12 / 13)
 
 
+def test_copies_count_alike_above_and_below_the_line(spark, files):
+    """Three texts of ten copies each tell a word; so do they if the text that has the word alone is copied."""
+    texts = [" ".join([*words(i, 6), "zorbaxian", "q.w@mail.example", *words(50 + i, 6)]) for i in range(3)]
+    rows = [document(100 * i + j, text) for i, text in enumerate(texts) for j in range(10)]
+    rows += [document(1000 + j, "zorbaxian alone") for j in range(20)]
+    rows += [document(2000 + i, " ".join(words(100 + i, 20))) for i in range(1200)]
+    docs = files(table(spark, rows))
+    terms = {(r["value"], r["term"]): r["p"] for r in pii.disclosing_terms(docs, pii.occurrences(docs)).collect()}
+    assert terms == {("email:q.w@mail.example", "zorbaxian"): pytest.approx(3 / 4)}
+
+
 def test_digest(telling):
     rows = [(r["doc_id"], r["text"]) for r in telling.collect()]
     result = digest(personal_spans(telling))
