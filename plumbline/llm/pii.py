@@ -22,9 +22,11 @@ TERM = "term"
 REACH = 5
 # A term discloses a value if the value is at least this likely where the term stands, ...
 DISCLOSURE = 0.5
-# ... this many bits likelier than anywhere, and in this many different contexts.
+# ... this many bits likelier than anywhere, and in this many different contexts: most values stand in few,
+# and one word beside the same value twice is no chance at these shares. A single context shows nothing:
+# every word that stands once in the corpus would tell of the value it stands beside.
 BITS = 6.0
-SUPPORT = 3
+SUPPORT = 2
 # Terms this certain are removed; others are generalised.
 REMOVE_FROM = 0.9
 # Texts that may stand more than once are found by a screen of 2**SCREEN_BITS bits (4 MB) whatever the corpus.

@@ -1,11 +1,13 @@
 """Base patterns against Python's own engine, terms against plain counting."""
 
 import hashlib
+import os
 import re
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import document, table, words
 from plumbline.llm import pii
@@ -115,6 +117,21 @@ def test_copies_count_alike_above_and_below_the_line(spark, files):
     assert terms == {("email:q.w@mail.example", "zorbaxian"): pytest.approx(3 / 4)}
 
 
+def test_a_value_in_two_contexts_can_be_told(spark, files):
+    rows = [document(i, " ".join([*words(i, 6), "zorbaxian", "q.w@mail.example", *words(50 + i, 6)])) for i in range(2)]
+    rows += [document(10, " ".join([*words(30, 6), "vrakzenor", "r.s@mail.example", *words(80, 6)]))]
+    rows += [document(2000 + i, " ".join(words(100 + i, 20))) for i in range(1200)]
+    docs = files(table(spark, rows))
+    terms = {(r["value"], r["term"]) for r in pii.disclosing_terms(docs, pii.occurrences(docs)).collect()}
+    assert terms == {("email:q.w@mail.example", "zorbaxian")}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the tables of sf0.1")
+def test_given_tables_have_terms(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    assert personal_spans(docs).agg(F.sum(F.coalesce(F.size("terms"), F.lit(0)))).first()[0] > 0
+
+
 def test_digest(telling):
     rows = [(r["doc_id"], r["text"]) for r in telling.collect()]
     result = digest(personal_spans(telling))
