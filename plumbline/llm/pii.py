@@ -6,19 +6,20 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import map_batches, map_in_arrow, passes, screen_of, slices, text_row_key
+from plumbline.llm.common import map_batches, map_in_arrow, passes, screen_of, slices, stored, text_row_key
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-# Words on either side of a protected value that are its context.
+# Words on either side of a protected value that are its context; two letters of a script with spaces
+# are not counted among them, though they can be a term.
 REACH = 5
 # A term discloses a value if the value is at least this likely where the term stands, ...
 DISCLOSURE = 0.5
@@ -39,7 +40,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"[^\W\d_]{2,}")
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -95,8 +96,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda span: (span[0], KINDS.index(span[2])))
 
 
-def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> Iterator[tuple[str, str, str, int, int]]:
-    """(value, context, term, start, end) of the words around each protected value, parts of values left out."""
+def covered(spans: list[tuple[int, int, str]]) -> Callable[[int, int], bool]:
+    """Whether a stretch of the text shares a place with one of the spans (in order of their starts)."""
     begins, ends = [], []
     for start, end, _ in spans:
         if ends and start < ends[-1]:
@@ -109,6 +110,17 @@ def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -
         i = bisect_left(begins, end) - 1
         return i >= 0 and ends[i] > start
 
+    return taken
+
+
+def _counts(word: str) -> bool:
+    """Scripts from Thai on (CJK among them) are mostly written without spaces: two characters can be a name."""
+    return len(word) > 2 or word[0] >= "\u0e00"
+
+
+def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> Iterator[tuple[str, str, str, int, int]]:
+    """(value, context, term, start, end) of the words around each protected value, parts of values left out."""
+    taken = covered(spans)
     for start, end, kind in spans:
         # Words are looked for near the value only: a window of characters that doubles until it holds enough.
         before, after = [], []
@@ -116,17 +128,21 @@ def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -
         while True:
             low = max(0, start - width)
             before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0]
-            if len(before) >= reach or low == 0:
+            counted = [i for i, m in enumerate(before) if _counts(m.group())]
+            if len(counted) >= reach or low == 0:
                 break
             width *= 2
+        left = reach
         for match in _WORD.finditer(text, end):
             after.append(match)
-            if len(after) == reach:
+            left -= _counts(match.group())
+            if left == 0:
                 break
-        near = before[-reach:] + after
+        near = before[counted[-reach] if len(counted) >= reach else 0 :] + after
         near = [m for m in near if not taken(m.start(), m.end())]
         value = f"{kind}:{text[start:end].lower()}"
-        around = hashlib.md5(" ".join(m.group().lower() for m in near).encode()).hexdigest()
+        around = [m.group().lower() for m in near if _counts(m.group())] or [m.group().lower() for m in near]
+        around = hashlib.md5(" ".join(around).encode()).hexdigest()
         for m in near:
             yield value, around, m.group().lower(), m.start(), m.end()
 
@@ -164,6 +180,21 @@ def occurrences(docs: DataFrame, reach: int = REACH) -> DataFrame:
     return map_batches(docs, ["text", *text_row_key()], run, schema)
 
 
+def holders(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_body``, ``value``: the protected values of each document, with or without words near them."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for text, doc_id, body in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            values = {f"{kind}:{text[start:end].lower()}" for start, end, kind in base_spans(text or "")}
+            rows += [(doc_id, body, value) for value in sorted(values)]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+        kinds = [pa.string(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["_id", "_body", "value"])
+
+    return map_batches(docs, ["text", *text_row_key()], run, "_id string, _body long, value string")
+
+
 def document_frequency(docs: DataFrame) -> tuple[DataFrame, int]:
     """``term``, ``df``: the different texts of the whole corpus that hold each term; and how many texts there are.
 
@@ -228,23 +259,51 @@ def disclosing_terms(
     return found.filter((F.col("p") >= disclosure) & (F.col("pmi") >= bits)).select("value", "term", "p", "pmi")
 
 
+def told_spans(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """``_id``, ``_body``, ``terms``: all places of its terms in each document of ``told`` (``_id``, ``_body``, ``told``: term and ``p``).
+
+    Only these documents' texts move (and a few that a screen takes for them), equal rows as one.
+    """
+    screen = docs.sparkSession.sparkContext.broadcast(screen_of(told, "_body", SCREEN_BITS))
+
+    def held(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(passes(screen.value, batch.column(2).to_numpy(), SCREEN_BITS)))
+
+    texts = map_batches(docs, ["text", *text_row_key()], held, "text string, _id string, _body long")
+    texts = texts.groupBy("_id", "_body").agg(F.first("text").alias("text")).join(told, ["_id", "_body"])
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for text, told_here in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            share = {t["term"]: t["p"] for t in told_here}
+            taken = covered(base_spans(text))
+            words = ((m, share.get(m.group().lower())) for m in _WORD.finditer(text))
+            rows.append([{"start": m.start(), "end": m.end(), "p": p} for m, p in words if p is not None and not taken(*m.span())])
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
+        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(rows, kind)], names=["_id", "_body", "terms"])
+
+    schema = "_id string, _body long, terms array<struct<start: bigint, end: bigint, p: double>>"
+    return map_batches(texts, ["text", "_id", "_body", "told"], run, schema)
+
+
 def personal_spans(docs: DataFrame, carried: list[str | Column] | None = None, schema: str = "") -> DataFrame:
     """``carried`` columns of each document, its ``base`` spans, and the ``terms`` spans (with ``p``) near them.
 
     Base spans follow the patterns for email, ip, card and phone, leftmost and
-    non-overlapping for each kind. A word within ``REACH`` words of a value is
-    a term span if corpus co-occurrence says that it reveals this value. Null
-    is an empty text; rows that share a ``doc_id`` are told apart by their
-    text; equal rows get equal spans; an empty table gives no rows.
+    non-overlapping for each kind. A word that corpus co-occurrence (within
+    ``REACH`` words) says to reveal a value is a term span wherever it stands in
+    a document that holds the value. Null is an empty text; rows that share a
+    ``doc_id`` are told apart by their text; equal rows get equal spans; an
+    empty table gives no rows.
     """
     near = occurrences(docs)
-    told = near.join(disclosing_terms(docs, near), ["value", "term"]).select("_id", "_body", "start", "end", "p")
-    told = told.groupBy("_id", "_body", "start", "end").agg(F.max("p").alias("p"))
-    told = told.groupBy("_id", "_body").agg(F.array_sort(F.collect_list(F.struct("start", "end", "p"))).alias("terms"))
+    told = holders(docs).join(disclosing_terms(docs, near), "value")
+    told = told.groupBy("_id", "_body", "term").agg(F.max("p").alias("p"))
+    told = stored(told.groupBy("_id", "_body").agg(F.collect_list(F.struct("term", "p")).alias("told")), "told-terms")
     carried = ["doc_id"] if carried is None else carried
     schema = schema or "doc_id long"
     base = map_batches(docs, ["text", *carried, *text_row_key()], _base, f"{schema}, _id string, _body long, base {SPANS}")
-    return base.join(told, ["_id", "_body"], "left").drop("_id", "_body")
+    return base.join(told_spans(docs, told), ["_id", "_body"], "left").drop("_id", "_body")
 
 
 def sanitised(docs: DataFrame) -> DataFrame:

@@ -132,6 +132,22 @@ def test_given_tables_have_terms(spark):
     assert personal_spans(docs).agg(F.sum(F.coalesce(F.size("terms"), F.lit(0)))).first()[0] > 0
 
 
+def test_every_place_of_a_told_term(spark, files):
+    """Also far from the value, beside nothing but another value, and a name of two characters."""
+    rows = []
+    for i in range(4):
+        far = " ".join(words(90 + i, 12))
+        rows.append(document(i, " ".join([*words(i, 6), "zorbaxian 王明 q.w@mail.example", far, "Zorbaxian and 王明."])))
+    rows.append(document(10, " ".join(["q.w@mail.example", *words(200, 12), "zorbaxian"])))
+    rows += [document(2000 + i, " ".join(words(100 + i, 20))) for i in range(1200)]
+    docs = files(table(spark, rows))
+    spans = personal_spans(docs, ["doc_id", "text"], "doc_id long, text string").collect()
+    told = {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["terms"]] for r in spans if r["terms"]}
+    assert told == {**{i: ["zorbaxian", "王明", "Zorbaxian", "王明"] for i in range(4)}, 10: ["zorbaxian"]}
+    texts = {r["doc_id"]: r["text"].lower() for r in sanitised(docs).collect()}
+    assert not any("zorbaxian" in texts[i] for i in (0, 1, 2, 3, 10)) and "王明" not in texts[0]
+
+
 def test_digest(telling):
     rows = [(r["doc_id"], r["text"]) for r in telling.collect()]
     result = digest(personal_spans(telling))
@@ -160,6 +176,12 @@ def test_contexts_of_many_values_take_linear_time():
     assert time.process_time() - begin < 20
 
 
+def test_short_words_do_not_shorten_the_reach():
+    text = "one two three four five six as to a.b@c.de of in seven eight 王明 nine ten eleven"
+    found_terms = [t for _, _, t, *_ in contexts(text, base_spans(text))]
+    assert found_terms == "two three four five six as to of in seven eight 王明 nine ten".split()
+
+
 def test_contexts_leave_values_out():
     text = "alpha beta x.y@z.com gamma u.v@w.net delta"
     found_terms = [t for _, _, t, *_ in contexts(text, base_spans(text))]
