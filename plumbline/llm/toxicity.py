@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import map_batches, stored
 
 # Grams are of this many bytes; with 8 bytes at most, one is a number and its count exact.
-ORDER = 4
+ORDER = 5
 DISCOUNT = 0.75
 # Likelihoods are compared over the whole text and over its passages of this many bytes.
 PASSAGE = 24
-# The table of log ratios that tasks read has 2**SLOT_BITS places (16 MB) whatever the corpus:
-# grams that meet on a place share their mean, weighted by count.
-SLOT_BITS = 22
 # Bound of the sample that sets the threshold: about this many rows of each label.
 CALIBRATION_ROWS = 3000
 
@@ -133,27 +130,54 @@ def slots(keys: np.ndarray, bits: int) -> np.ndarray:
     return ((keys * np.uint64(_SPREAD)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _table(ratios: DataFrame, bits: int) -> np.ndarray:
-    """Log ratios by slot; NaN where no gram is. At most ``2**bits`` rows reach the driver."""
+def keyed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys and their values by slot, NaN where none is: at most half of the places are filled, the next free one is taken."""
+    bits = max(4, int(2 * len(keys) - 1).bit_length()) if len(keys) else 4
+    table, key_of = np.full(1 << bits, np.nan, np.float32), np.zeros(1 << bits, np.uint64)
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order].astype(np.float32)
+    at = slots(keys, bits)
+    while len(keys):
+        first = np.zeros(len(keys), bool)
+        first[np.unique(at, return_index=True)[1]] = True
+        first &= np.isnan(table[at])
+        table[at[first]], key_of[at[first]] = values[first], keys[first]
+        keys, values, at = keys[~first], values[~first], (at[~first] + 1) & ((1 << bits) - 1)
+    return table, key_of
+
+
+def look_up(keys: np.ndarray, table: np.ndarray, key_of: np.ndarray | None) -> np.ndarray:
+    """The value of each key, NaN for a key that is not there; without ``key_of`` a place answers for every key."""
+    bits = len(table).bit_length() - 1
+    at = slots(keys, bits)
+    out = table[at]
+    if key_of is None:
+        return out
+    open_ = np.flatnonzero((key_of[at] != keys) & ~np.isnan(out))
+    at = at[open_]
+    while len(open_):
+        at = (at + 1) & (len(table) - 1)
+        out[open_] = table[at]
+        further = (key_of[at] != keys[open_]) & ~np.isnan(out[open_])
+        open_, at = open_[further], at[further]
+    return out
 
-    def place(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = slots(batch.column(1).to_numpy().view(np.uint64), bits)
-        yield pa.RecordBatch.from_arrays([pa.array(found), *batch.columns[2:]], names=["slot", "value", "weight"])
 
-    rows = map_batches(ratios, [F.lit("").alias("text"), "key", "value", "weight"], place, "slot long, value double, weight long")
-    mean = (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).cast("float").alias("value")
-    found = rows.groupBy("slot").agg(mean).toArrow()
-    table = np.full(1 << bits, np.nan, np.float32)
-    table[found["slot"].to_numpy()] = found["value"].to_numpy()
-    return table
+def _table(ratios: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratios by slot, and the gram of each: exact, and as large as there are grams."""
+    found = ratios.select("key", F.col("value").cast("float")).toArrow()
+    return keyed(found["key"].to_numpy().view(np.uint64), found["value"].to_numpy())
 
 
 @dataclass
 class Model:
     order: int = ORDER
-    bits: int = SLOT_BITS
+    bits: int = 4
     seen: np.ndarray | None = None
     new: np.ndarray | None = None
+    # The gram, and the context, of each place.
+    seen_keys: np.ndarray | None = None
+    new_keys: np.ndarray | None = None
     # Of the mean log ratio over the text, over its best passage, and the constant.
     weights: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -30.0]))
 
@@ -162,18 +186,24 @@ class Model:
         state = dict(self.__dict__)
         for name in ("seen", "new"):
             if (table := state[name]) is not None:
-                filled = np.flatnonzero(~np.isnan(table)).astype(np.int32)
-                state[name] = (filled, table[filled])
+                filled = np.flatnonzero(~np.isnan(table))
+                keys = state[f"{name}_keys"]
+                state[f"{name}_keys"] = None
+                state[name] = (len(table), filled, table[filled], None if keys is None else keys[filled])
         return state
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         for name in ("seen", "new"):
             if state[name] is not None:
-                filled, values = state[name]
-                table = np.full(1 << self.bits, np.nan, np.float32)
+                size, filled, values, keys = state[name]
+                table = np.full(size, np.nan, np.float32)
                 table[filled] = values
                 setattr(self, name, table)
+                if keys is not None:
+                    key_of = np.zeros(size, np.uint64)
+                    key_of[filled] = keys
+                    setattr(self, f"{name}_keys", key_of)
 
     def features(self, column: pa.Array) -> np.ndarray:
         """For each text its mean log ratio a byte, and that of its most toxic passage."""
@@ -182,9 +212,9 @@ class Model:
         out = np.zeros((len(column), 2))
         if self.seen is None or not len(values):
             return out
-        ratio = self.seen[slots(values, self.bits)]
+        ratio = look_up(values, self.seen, self.seen_keys)
         missing = np.flatnonzero(np.isnan(ratio))
-        ratio[missing] = self.new[slots(values[missing] >> np.uint64(8), self.bits)]
+        ratio[missing] = look_up(values[missing] >> np.uint64(8), self.new, self.new_keys)
         ratio = np.where(inside, np.nan_to_num(ratio), 0.0)
         ratio = np.concatenate([ratio, np.zeros(self.order - 1)])  # as many places as bytes
         sums = np.concatenate([[0.0], np.cumsum(ratio)])
@@ -227,7 +257,7 @@ def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(known.hint("merge"), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, part: Column, order: int = ORDER, bits: int = SLOT_BITS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, part: Column, order: int = ORDER) -> Model:
     """A model from labelled documents; ``part`` numbers them 1 to 4 (learn) or otherwise (never looked at).
 
     Grams of all of parts 1 to 3 are counted in Spark. Part 4 gives a bounded
@@ -237,11 +267,13 @@ def fit(docs: DataFrame, labels: DataFrame, part: Column, order: int = ORDER, bi
     learn = with_labels(docs.filter(part.isin(1, 2, 3)), labels)
     counts = stored(gram_counts(learn, order), "gram-counts")
     totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).first()
-    model = Model(order, bits)
+    model = Model(order)
     if not totals["toxic"] or not totals["ordinary"]:
         return model
     seen, new = log_ratios(counts, order)
-    model.seen, model.new = _table(seen, bits), _table(new, bits)
+    model.seen, model.seen_keys = _table(seen)
+    model.new, model.new_keys = _table(new)
+    model.bits = len(model.seen).bit_length() - 1
 
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)

@@ -78,6 +78,32 @@ def test_features_do_not_depend_on_neighbours():
         assert model.features(pa.array([text], pa.string()))[0] == pytest.approx(together[i], abs=1e-9)
 
 
+def test_each_gram_has_its_own_ratio():
+    """However full the table; what is not in it is missing, also where other grams have its place."""
+    draw = np.random.default_rng(2)
+    for n in (0, 1, 7, 50_000):
+        keys = np.unique(draw.integers(0, 1 << 40, 2 * n, dtype=np.uint64))
+        known, other = keys[::2], keys[1::2]
+        values = draw.normal(size=len(known)).astype(np.float32)
+        table, key_of = toxicity.keyed(known, values)
+        assert np.array_equal(toxicity.look_up(known, table, key_of), values)
+        assert np.isnan(toxicity.look_up(other, table, key_of)).all()
+
+
+def test_model_holds_every_ratio(labelled):
+    import pickle
+
+    docs, labels = labelled
+    model = pickle.loads(pickle.dumps(fit(docs, labels, toxicity.learning_part())))
+    learn = toxicity.with_labels(docs.filter(toxicity.learning_part().isin(1, 2, 3)), labels)
+    seen, new = log_ratios(gram_counts(learn), toxicity.ORDER)[:2]
+    for ratios, table, key_of in ((seen, model.seen, model.seen_keys), (new, model.new, model.new_keys)):
+        found = ratios.toArrow()
+        keys, values = found["key"].to_numpy().view(np.uint64), found["value"].to_numpy()
+        assert toxicity.look_up(keys, table, key_of) == pytest.approx(values, abs=1e-5)
+        assert np.count_nonzero(~np.isnan(table)) == len(keys)
+
+
 @pytest.fixture()
 def labelled(spark, files):
     rows, labels = [], []
