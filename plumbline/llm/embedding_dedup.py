@@ -15,8 +15,10 @@ from plumbline.llm.graph import components
 
 THRESHOLD = 0.93
 # Bits of all rotations are cut into bands; vectors that agree on a band are candidates.
+# Shorter vectors are rotated more often, so that there are at least LEAST_BANDS bands.
 ROTATIONS = 5
 BAND_BITS = 12
+LEAST_BANDS = 26
 # Half width of the confidence interval of an estimate, in its standard scale.
 CONFIDENCE = 4.0
 SEED = 5
@@ -86,7 +88,7 @@ def linked_pairs(
                 begins = lists.offsets.to_numpy()[rows] - lists.offsets[0].as_py()
                 unit = flat[begins[:, None] + np.arange(dim)]
                 unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-                bits, factor, short, scale = coded(unit, rotations)
+                bits, factor, short, scale = coded(unit, max(rotations, -(-LEAST_BANDS * band_bits // dim)))
                 keys = bands(bits, min(band_bits, bits.shape[1]))
                 packed = np.packbits(bits[:, :dim], axis=1)
                 count = keys.shape[1]

@@ -98,6 +98,19 @@ def test_recall_at_the_threshold(spark, files):
     assert sum(r["n_links"] for r in result.collect()) >= 0.98 * 600
 
 
+def test_short_vectors_near_the_threshold_are_found(spark, files):
+    draw = np.random.default_rng(8)
+    rows, pairs = [], 200
+    for dim in (8, 16):
+        for k in range(pairs):
+            u, w = np.linalg.qr(draw.normal(size=(dim, 2)))[0].T
+            v = 0.935 * u + np.sqrt(1 - 0.935**2) * w
+            rows += [(len(rows), u.tolist(), k % 50 + dim * 100), (len(rows) + 1, v.tolist(), k % 50 + dim * 100)]
+    docs = files(spark.createDataFrame(rows, SCHEMA), "vectors")
+    linked = {r["vec_id"] for r in near_vectors(docs).collect() if r["n_links"]}
+    assert len(linked) >= 0.97 * len(rows)
+
+
 def test_rotations_are_orthogonal():
     for dim in (1, 2, 64):
         q = rotation(dim, 3)
