@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.storage import shared_folder
 
@@ -30,17 +31,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_in_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow``, with this library on the path of the Python workers."""
+def reach_workers(df: DataFrame) -> None:
+    """Put this library on the path of the Python workers that are started from now on."""
     environment = df.sparkSession.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def map_in_arrow(df: DataFrame, work: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow``, with this library on the path of the Python workers."""
+    reach_workers(df)
     return df.mapInArrow(work, schema)
 
 
-def map_batches(df: DataFrame, columns: list[str | Column], work: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, columns: list[str | Column], work: Callable, schema: str | StructType) -> DataFrame:
     """``work(batch) -> iterator of batches`` over slices of the given columns; the first is the text.
 
     Columns are projected by position, so clashing names in ``df`` do no harm.
@@ -81,11 +87,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
-def word_bounds(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each word in ``body``, and the number of words before each row (one more at the end)."""
+def word_bounds(
+    body: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word in ``body``, and the number of words before each row (one more at the end).
+
+    ``between`` says of each byte whether it stands between words.
+    """
     if not len(body):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~_IS_SPACE[body]
+    solid = ~between[body]
     edge = np.zeros(len(body) + 1, dtype=bool)
     edge[offsets] = True
     begin = solid.copy()
@@ -179,6 +190,12 @@ def passes(screen: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     return (screen[slot >> 6] >> (slot & 63)) & 1 == 1
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """``_k``, ``_l``: 128 bits that stand for a row's ``doc_id`` and text, whichever way the table is scanned."""
+    parts = [F.col(doc_id).cast("string"), F.coalesce(F.col(text), F.lit(""))]
+    return [F.xxhash64(*parts).alias("_k"), F.xxhash64(F.lit(1), *parts).alias("_l")]
+
+
 def text_row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Columns that tell rows of different text apart even if they share a ``doc_id``, or have none."""
     return [

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from plumbline.llm import pii, toxicity
 from plumbline.llm.embedding_dedup import near_vectors
 from plumbline.llm.exact_dedup import exact_duplicates
+from plumbline.llm.filter_audit import audit
 from plumbline.llm.language_id import fit, held_out, identify
+from plumbline.llm.line_dedup import without_repeated_lines
 from plumbline.llm.mixing import Level, by_choice, selection
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import pack
+from plumbline.llm.resampling import resampled
 from plumbline.llm.sharding import shard
 from plumbline.llm.substring_dedup import without_repeats
 
@@ -88,6 +91,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).drop("row")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_lines(documents(spark, sf_dir)).drop("kept")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("n_words")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -99,6 +114,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_near_dedup": op10_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_resampling": op13_resampling,
 }
 
 _EXACT = """
@@ -169,7 +187,43 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, min(reached) AS component_id, ve
 FROM r LEFT JOIN n USING (vec_id) GROUP BY vec_id, n_links
 """
 
+_AUDIT = """
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+f AS (SELECT doc_id, part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+  100 * len(regexp_extract_all(body, '[A-Z]')) > 10 * length(body), regexp_matches(body, '[#$%&*|]'),
+  doc_id > min(doc_id) OVER (PARTITION BY body)] AS fails FROM w),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+  FROM f LEFT JOIN labels USING (doc_id) GROUP BY part, fails),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT c1.x || c2.x || c3.x || c4.x || c5.x AS filter_order FROM c c1, c c2, c c3, c c4, c c5
+  WHERE len(list_distinct([c1.x, c2.x, c3.x, c4.x, c5.x])) = 5),
+s AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+x AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter, n, good, toxic,
+  fails[strpos('ABCDE', substr(filter_order, step, 1))] AS fail, len(list_filter(fails, lambda b: b)) = 1 AS single,
+  len(list_filter(range(1, step), lambda i: fails[strpos('ABCDE', substr(filter_order, i, 1))])) > 0 AS gone FROM m, s),
+r AS (SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT fail AND NOT gone), 0) AS kept,
+  coalesce(sum(n) FILTER (fail AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (fail AND gone), 0) AS redundant,
+  coalesce(sum(n) FILTER (fail AND single), 0) AS unique_fails, coalesce(sum(good) FILTER (fail AND NOT gone), 0) AS good_lost,
+  coalesce(sum(toxic) FILTER (fail AND NOT gone), 0) AS toxic_lost FROM x GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r
+"""
+
+_LINES = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p FROM d),
+k AS (SELECT *, translate(trim(line, E' \\t\\n\\x0B\\f\\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id <> keeper) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
+FROM k LEFT JOIN r USING (key) GROUP BY doc_id
+"""
+
 ORACLES = {
+    "op11_filter_audit": _AUDIT,
+    "op12_line_dedup": _LINES,
     "op3_mixing": _MIXED,
     "op2_exact_dedup": _EXACT,
     "op5_embedding_dedup": _VECTORS,
