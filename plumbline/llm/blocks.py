@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,62 @@ def _roots(parent: np.ndarray) -> np.ndarray:
     return parent
 
 
+class Pairs:
+    """Pairs of a task's rows for which ``test(columns, i, j)`` holds.
+
+    With ``spanning``, pairs are needed for what they connect only, and those
+    that found pairs connect already are not tested.
+    """
+
+    SCHEMA = "a long, b long"
+
+    def __init__(self, columns: dict, identity: str, test: Callable, spanning: bool = False) -> None:
+        self.columns, self.test, self.spanning = columns, test, spanning
+        self.ids = columns[identity].to_numpy()
+        self.forest = Forest(self.ids)
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def take(self, i: np.ndarray, j: np.ndarray) -> None:
+        if self.spanning:
+            apart = self.forest.apart(i, j)
+            i, j = i[apart], j[apart]
+        keep = self.test(self.columns, i, j)
+        i, j = i[keep], j[keep]
+        self.found.append((self.ids[i], self.ids[j]))
+        if self.spanning:
+            self.forest.join(i, j)
+
+    def result(self) -> pa.RecordBatch | None:
+        if not self.found:
+            return None
+        a, b = (np.concatenate(side) for side in zip(*self.found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+class Forest:
+    """What the pairs of a task connect so far."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        different, self.number = np.unique(ids, return_inverse=True)
+        self.parent = np.arange(len(different))
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        self.parent = _roots(self.parent)
+        return self.parent[self.number[i]] != self.parent[self.number[j]]
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Joins the pairs in order; says which of them connected something."""
+        new, parent = np.zeros(len(i), bool), self.parent
+        for place, (x, y) in enumerate(zip(self.number[i].tolist(), self.number[j].tolist(), strict=True)):
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            new[place] = x != y
+            parent[max(x, y)] = min(x, y)
+        return new
+
+
 def pairs_in_blocks(
     rows: DataFrame,
     keys: list[str],
@@ -63,14 +120,26 @@ def pairs_in_blocks(
     spanning: bool = False,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Pairs ``a`` < ``b`` (of ``identity``) of a bucket's members for which ``test(columns, i, j)`` holds.
+    """Pairs ``a`` < ``b`` (of ``identity``) of a bucket's members for which ``test(columns, i, j)`` holds (:class:`Pairs`)."""
+    sink = partial(Pairs, identity=identity, test=test, spanning=spanning)
+    return folded_in_blocks(rows, keys, identity, sink, Pairs.SCHEMA, rough, block)
 
-    ``columns`` holds the rows' columns as Arrow arrays, ``i`` and ``j`` places
-    in them; the test gets some pairs at a time and returns a mask.
-    ``rough(columns, left, right)`` is a quick test that holds for every pair
-    that ``test`` does: a matrix for two ranges of places, used in large groups.
-    With ``spanning``, pairs are needed for what they connect only, and those
-    that found pairs of the same task connect already are not tested.
+
+def folded_in_blocks(
+    rows: DataFrame,
+    keys: list[str],
+    identity: str,
+    sink: Callable,
+    schema: str,
+    rough: Callable | None = None,
+    block: int = BLOCK,
+) -> DataFrame:
+    """What ``sink(columns)`` makes of the pairs of a bucket's members: it takes places of them and gives one batch.
+
+    ``columns`` holds the rows' columns as Arrow arrays, places are numbers in
+    them; ``take(i, j)`` gets some pairs at a time, each with the smaller
+    ``identity`` first. ``rough(columns, left, right)`` is a quick test that
+    holds for every pair that matters: a matrix for two ranges of places, used in large groups.
 
     A task reads its groups one after the other in sorted order and keeps one
     block pair, at most about twice ``block`` rows.
@@ -99,28 +168,12 @@ def pairs_in_blocks(
         opens[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in names])
         s, t = columns["_s"].to_numpy(), columns["_t"].to_numpy()
         own, ids = columns["_own"].to_numpy(), columns[identity].to_numpy()
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        different, number = np.unique(ids, return_inverse=True)
-        parent = np.arange(len(different))
+        taker = sink(columns)
 
-        def tested(i: np.ndarray, j: np.ndarray) -> None:
+        def take(pairs: list[tuple[np.ndarray, np.ndarray]]) -> None:
+            i, j = (np.concatenate(side) for side in zip(*pairs, strict=True))
             for at in range(0, len(i), TILE):
-                a, b = i[at : at + TILE], j[at : at + TILE]
-                if spanning:
-                    top = _roots(parent)
-                    parent[:] = top
-                    apart = top[number[a]] != top[number[b]]
-                    a, b = a[apart], b[apart]
-                keep = test(columns, a, b)
-                a, b = a[keep], b[keep]
-                found.append((ids[a], ids[b]))
-                if spanning:
-                    for x, y in zip(number[a].tolist(), number[b].tolist(), strict=True):
-                        while parent[x] != x:
-                            x = parent[x]
-                        while parent[y] != y:
-                            y = parent[y]
-                        parent[max(x, y)] = min(x, y)
+                taker.take(i[at : at + TILE], j[at : at + TILE])
 
         held, waiting = [], 0
         for i, j in candidates(columns, np.flatnonzero(opens), total):
@@ -130,14 +183,11 @@ def pairs_in_blocks(
             held.append((np.where(swap, j, i), np.where(swap, i, j)))
             waiting += len(i)
             if waiting >= TILE:
-                tested(*(np.concatenate(side) for side in zip(*held, strict=True)))
+                take(held)
                 held, waiting = [], 0
         if held:
-            tested(*(np.concatenate(side) for side in zip(*held, strict=True)))
-        if not found:
-            return None
-        a, b = (np.concatenate(side) for side in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            take(held)
+        return taker.result()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -159,4 +209,4 @@ def pairs_in_blocks(
             if result is not None:
                 yield result
 
-    return map_in_arrow(prepared, run, "a long, b long")
+    return map_in_arrow(prepared, run, schema)

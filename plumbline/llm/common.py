@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,14 +162,13 @@ def binary_rows(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``row``, as :func:`monotonically_increasing_id` numbers the scan, and the whole row as ``document``.
+def whole_row(docs: DataFrame) -> Column:
+    """The whole row as ``document``: columns of any name are out of the way in it."""
+    return F.struct(*[F.col(quoted(name)) for name in docs.columns]).alias("document")
 
-    The struct keeps columns of any name out of the way. The numbers are the
-    same in every scan of the same files; a stage's input is stored, so it is files.
-    """
-    whole = F.struct(*[docs[name] for name in docs.columns]).alias("document")
-    return docs.select(F.monotonically_increasing_id().alias("row"), whole)
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def screen_of(values: DataFrame, value: str, bits: int) -> np.ndarray:
@@ -196,6 +196,50 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.xxhash64(*parts).alias("_k"), F.xxhash64(F.lit(1), *parts).alias("_l")]
 
 
+def in_screen(df: DataFrame, screen: np.ndarray, value: Column, bits: int) -> Column:
+    """Whether the screen lets ``value`` through. Python sees that column of ``df`` alone."""
+    reach_workers(df)
+    shared = df.sparkSession.sparkContext.broadcast(screen)
+
+    @F.pandas_udf("boolean")
+    def inside(values: pd.Series) -> pd.Series:
+        return pd.Series(passes(shared.value, values.to_numpy(), bits))
+
+    return inside(value)
+
+
+# The screen of rows that are dropped, or repeated, is this many bits (as a power of two), whatever the data: 16 MB.
+ROW_SCREEN_BITS = 27
+
+
+def one_of_each(docs: DataFrame, keys: DataFrame, screen_bits: int = ROW_SCREEN_BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose key may be in ``keys`` (``_k``, ``_l``), one for each key, and all other rows.
+
+    Both as ``document``, ``_k``, ``_l``. Of rows that share ``doc_id`` and text the one whose other columns have the
+    smallest hash is taken: each task hands on one at most. A screen of fixed size tells the rows
+    apart, so only rows with a key, and few others, move.
+    """
+    keyed = docs.select(whole_row(docs), *row_key())
+    seen = in_screen(docs, screen_of(keys, "_k", screen_bits), F.col("_k"), screen_bits)
+    plain = [F.col("document").getField(f.name) for f in docs.schema if "map" not in f.dataType.simpleString()]
+    few = keyed.filter(seen).groupBy("_k", "_l").agg(F.min_by("document", F.xxhash64(*plain)).alias("document"))
+    return few.select("document", "_k", "_l"), keyed.filter(~seen)
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, by ``decided``: ``_k``, ``_l`` and ``kept`` for each row.
+
+    Rows are known by their content, so the two scans need not agree on splits
+    or order. If only some of the rows that share ``doc_id`` and text are kept,
+    one is.
+    """
+    sums = decided.groupBy("_k", "_l").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).filter("kept < n")
+    dropped = stored(sums.select("_k", "_l", (F.col("kept") > 0).alias("once")), "dropped-rows")
+    few, others = one_of_each(docs, dropped)
+    few = few.join(dropped, ["_k", "_l"], "left").filter("coalesce(once, true)")
+    return others.select("document.*").unionByName(few.select("document.*"))
+
+
 def text_row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Columns that tell rows of different text apart even if they share a ``doc_id``, or have none."""
     return [

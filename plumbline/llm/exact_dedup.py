@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import binary_rows, map_batches, mixed, numbered, powers, stored, text_bytes, word_bounds
+from plumbline.llm.common import binary_rows, keep_rows, map_batches, mixed, powers, row_key, stored, text_bytes, word_bounds
 
 # A chunk ends where the low bits of a hash of the last GEAR bytes are zero: after 2**CUT_BITS bytes on average.
 GEAR = 32
@@ -95,12 +95,11 @@ def _recipes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     digests = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
     yield pa.RecordBatch.from_arrays(
         [
-            batch.column(1),
-            batch.column(2),
+            *batch.columns[1:],
             pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes)),
             pa.array(digests),
         ],
-        names=["doc_id", "row", "recipe", "text_sha256"],
+        names=["doc_id", "_k", "_l", "recipe", "text_sha256"],
     )
 
 
@@ -122,15 +121,16 @@ def verified(docs: DataFrame) -> DataFrame:
 
 
 def recipes(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``row``, ``recipe`` (its chunks' identifiers in order), ``text_sha256``, ``ranks``.
+    """One row per document: ``doc_id``, ``_k``, ``_l``, ``row``, ``recipe`` (its chunks' identifiers in order), ``text_sha256``, ``ranks``.
 
     ``ranks`` holds the ranks of chunks whose hash other chunks share; it is
-    null for all others, which is nearly always every document.
+    null for all others, which is nearly always every document. ``row`` tells
+    repeated rows apart; it belongs to the stored table, another scan of the documents has none of it.
     """
-    rows = docs.select("text", docs["doc_id"].cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select("text", docs["doc_id"].cast("long").alias("doc_id"), *row_key())
     table = map_batches(
-        rows, ["text", "doc_id", "row"], _recipes, "doc_id long, row long, recipe array<long>, text_sha256 string"
-    )
+        rows, ["text", "doc_id", "_k", "_l"], _recipes, "doc_id long, _k long, _l long, recipe array<long>, text_sha256 string"
+    ).withColumn("row", F.monotonically_increasing_id())
     clashes = verified(docs)
     if clashes.isEmpty():
         return stored(table.withColumn("ranks", F.lit(None).cast("array<int>")), "recipes")
@@ -147,24 +147,20 @@ def recipes(docs: DataFrame) -> DataFrame:
                 pa.array(hashes),
                 binary_rows(body, np.concatenate([[0], ends])),
             ],
-            names=["key", "place", "hash", "chunk"],
+            names=["text_sha256", "place", "hash", "chunk"],
         )
 
     # Rows of one text have one rank list, so the text's own digest serves as their key.
-    key = F.md5(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    found = map_batches(
-        docs.select("text", key.alias("key")), ["text", "key"], occurrences, "key string, place long, hash long, chunk binary"
-    )
-    found = found.join(clashes, ["hash", "chunk"]).select("key", "place", "rank").distinct()
-    found = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "rank"))).getField("rank").alias("ranks"))
-    keyed = docs.select(
-        F.monotonically_increasing_id().alias("row"), key.alias("key")
-    )
-    return stored(table.join(keyed.join(found, "key"), "row", "left").select(*table.columns, "ranks"), "recipes")
+    digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    found = map_batches(docs, ["text", digest], occurrences, "text_sha256 string, place long, hash long, chunk binary")
+    found = found.join(clashes, ["hash", "chunk"]).select("text_sha256", "place", "rank").distinct()
+    ranks = F.array_sort(F.collect_list(F.struct("place", "rank"))).getField("rank").alias("ranks")
+    found = found.groupBy("text_sha256").agg(ranks)
+    return stored(table.join(found, "text_sha256", "left").select(*table.columns, "ranks"), "recipes")
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``row``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+    """One row per document: ``doc_id``, ``_k``, ``_l``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Texts are equal when they are identical after each run of space, tab or
     line ends is one space. Two texts are equal exactly if the ordered lists
@@ -173,10 +169,11 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     those lists, combined on the map side; long texts are not moved again.
 
     Of equal texts the smallest ``doc_id`` stays; of repeated rows with that
-    ``doc_id``, the first read. A null ``doc_id`` comes after all others (and
+    ``doc_id``, one. A null ``doc_id`` comes after all others (and
     stays, with a null ``keep_id``, if the group has no other). Null is an
-    empty text. An empty table gives no rows; further columns are ignored.
-    ``row`` numbers the input rows as they are scanned.
+    empty text. Very long texts are cut into chunks like others. An empty table
+    gives no rows; further columns are ignored. ``_k`` and ``_l`` are the row's
+    key by content (:func:`plumbline.llm.common.row_key`).
     """
     table = recipes(docs)
     identity = ["recipe", "ranks"]
@@ -186,7 +183,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     joined = table.join(groups, same).select(table["*"], "first", "group_size")
     return joined.select(
         "doc_id",
-        "row",
+        "_k",
+        "_l",
         F.col("first.doc_id").alias("keep_id"),
         "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
@@ -195,6 +193,5 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_duplicates(docs).filter("kept").select("row")
-    return numbered(docs).join(kept, "row", "left_semi").select("document.*")
+    """The documents that stay, with all their columns, whatever their names; odd rows as in :func:`exact_duplicates`."""
+    return keep_rows(docs, exact_duplicates(docs).select("_k", "_l", "kept"))

@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from plumbline.llm.common import map_batches, text_bytes
+from plumbline.llm.common import map_batches, text_bytes, whole_row
 
 # Width of the recurrent state in each direction.
 HIDDEN = 8
@@ -28,10 +29,16 @@ STEPS = 375
 BATCH = 256
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+# What may be a letter: signs such as ² and Ⅷ are among these, too.
+_MAY_BE_LETTER = re.compile(r"[^\W\d_]")
 PAD = 0
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is of a Unicode letter class (Lu, Ll, Lt, Lm, Lo)."""
+    return any(found.group().isalpha() for found in _MAY_BE_LETTER.finditer(text))
+
+
 @dataclass
 class Network:
     """Weights by name: ``x`` the input tables (256 x 3H), ``u`` the recurrent ones (H x 3H), ``b`` of the
@@ -239,10 +246,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, network: Network, carried: list[str | Column] | None = None, schema: str = "") -> DataFrame:
-    """``carried`` columns of each document with ``lang_pred`` and ``score``, the pooled probability of that language.
+def identify(
+    docs: DataFrame, network: Network, carried: list[str | Column] | None = None, schema: str | StructType = "doc_id long"
+) -> DataFrame:
+    """``carried`` columns (of ``schema``) of each document with ``lang_pred`` and ``score``, the pooled probability of that language.
 
-    Every byte of a text is labelled, and the labels' probabilities are
+    Every byte of a text is labelled, of very long texts as well, and the labels' probabilities are
     averaged. ``und`` with score 0 if the text is null or has no letter, or if
     there was nothing to learn from. Of languages with equal probability the
     first in the alphabet is taken. An empty table gives no rows; equal texts
@@ -253,7 +262,7 @@ def identify(docs: DataFrame, network: Network, carried: list[str | Column] | No
         body, offsets = text_bytes(batch.column(0))
         view = body.tobytes()
         letters = [
-            _LETTER.search(view[a:b].decode()) is not None
+            has_letter(view[a:b].decode())
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
         ]
         known = np.array(letters, dtype=bool) & bool(network.languages)
@@ -270,5 +279,27 @@ def identify(docs: DataFrame, network: Network, carried: list[str | Column] | No
         )
 
     carried = ["doc_id"] if carried is None else carried
-    schema = schema or "doc_id long"
-    return map_batches(docs, ["text", *carried], run, f"{schema}, lang_pred string, score double")
+    fields = StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+    told = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    return map_batches(docs, ["text", *carried], run, StructType([*fields, *told]))
+
+
+def confident(score: Column, languages: int, share: float) -> Column:
+    """Scores that are at least ``share`` of the way from chance (all languages alike) to certainty."""
+    return score >= (1 + share * (languages - 1)) / max(1, languages)
+
+
+def with_predicted_language(docs: DataFrame, network: Network, share: float) -> DataFrame:
+    """The documents whose language is told, with all their columns; ``lang`` is the predicted one.
+
+    Documents without a letter go, and those whose best language is hardly
+    likelier than chance (:func:`confident`). Columns of any name, ``lang_pred``
+    and ``score`` too, come back as they are. An empty table gives no rows.
+    """
+    whole = whole_row(docs)
+    told = identify(docs, network, [whole], docs.select(whole).schema)
+    sure = (F.col("lang_pred") != UNKNOWN) & confident(F.col("score"), len(network.languages), share)
+    language = F.col("lang_pred").alias("lang")
+    return told.filter(sure).select(
+        *[language if name == "lang" else F.col("document").getField(name).alias(name) for name in docs.columns]
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import numbered, stored
+from plumbline.llm.common import one_of_each, row_key, stored, whole_row
 
 # A leaf is repeated at most this often.
 MAX_EPOCHS = 3
@@ -75,7 +75,7 @@ def budgets(leaves: DataFrame, levels: Sequence[Level], total: float, max_epochs
     return leaves.join(given, names).withColumn("budget", F.floor(F.col("budget") + 1e-6).cast("long"))
 
 
-def selection(
+def decisions(
     docs: DataFrame,
     levels: Sequence[Level],
     fraction: float = 1.0,
@@ -83,23 +83,16 @@ def selection(
     seed: int = SEED,
     tokens: Column | None = None,
 ) -> DataFrame:
-    """The selected documents: ``row``, ``doc_id``, the levels' keys, ``tokens`` and ``epoch``, a row for each time one is taken.
+    """Every document that a leaf has tokens for, with ``times``, how often it is taken; as :func:`selection` says.
 
-    ``fraction`` of all tokens is budgeted down the tree of ``levels``. A leaf
-    gives whole passes over its documents and then a prefix of one more, in the
-    order of a hash of seed, epoch and ``doc_id``: the documents that begin
-    before the budget is spent and end within it. The prefix is found from sums
-    over hash buckets; only the bucket where the budget ends is put in order.
-
-    A null key is a leaf of its own, ``(none)``. Null and empty texts count no
-    tokens. Documents whose order ties (repeated rows) fall by scan order. An
-    empty table, or one without tokens, gives no rows. Other columns are
-    ignored.
+    ``doc_id``, ``_k``, ``_l`` (its key by content), the levels' keys, ``tokens``, ``times``.
     """
     names = [level.name for level in levels]
     keys = [F.coalesce(level.key.cast("string"), F.lit(NO_VALUE)).alias(level.name) for level in levels]
     count = (word_count() if tokens is None else tokens).cast("long").alias("tokens")
-    table = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), *keys, count)
+    # Numbers of rows are those of the stored table, and break ties in it alone.
+    row = F.monotonically_increasing_id().alias("row")
+    table = docs.select(row, docs["doc_id"].cast("long").alias("doc_id"), *row_key(), *keys, count)
     table = stored(table, "leaf-tokens")
 
     leaves = table.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
@@ -123,16 +116,46 @@ def selection(
     cut = rows.filter("_where = 'cut'").withColumn("_end", F.col("_begin") + F.sum("tokens").over(up_to))
     cut = cut.withColumn("_last", (F.col("_end") <= F.col("rest")) & (F.col("_end") - F.col("tokens") < F.col("rest"))).drop("_end")
     others = rows.filter("_where != 'cut'").withColumn("_last", F.col("_where") == "all")
-    decided = cut.unionByName(others)
-    times = F.col("passes") + F.col("_last").cast("int")
-    taken = decided.filter(times > 0).withColumn("epoch", F.explode(F.sequence(F.lit(1), times)))
-    return taken.select("row", "doc_id", *names, "tokens", "epoch")
+    times = (F.col("passes") + F.col("_last").cast("int")).alias("times")
+    return cut.unionByName(others).select("doc_id", "_k", "_l", *names, "tokens", times)
+
+
+def selection(docs: DataFrame, levels: Sequence[Level], **settings) -> DataFrame:
+    """The selected documents: ``doc_id``, the levels' keys, ``tokens`` and ``epoch``, a row for each time one is taken.
+
+    ``fraction`` of all tokens is budgeted down the tree of ``levels``. A leaf
+    gives whole passes over its documents and then a prefix of one more, in the
+    order of a hash of seed, epoch and ``doc_id``: the documents that begin
+    before the budget is spent and end within it. The prefix is found from sums
+    over hash buckets; only the bucket where the budget ends is put in order.
+    Further ``settings`` are those of :func:`decisions`.
+
+    A null key is a leaf of its own, ``(none)``. Null and empty texts count no
+    tokens, very long texts count whole. Of documents whose order ties (repeated
+    rows) any may be the last that is taken. An empty table, or one without
+    tokens, gives no rows. Other columns are ignored.
+    """
+    taken = decisions(docs, levels, **settings).filter("times > 0")
+    names = [level.name for level in levels]
+    return taken.select("doc_id", *names, "tokens", F.explode(F.sequence(F.lit(1), "times")).alias("epoch"))
 
 
 def mixed_documents(docs: DataFrame, levels: Sequence[Level], **settings) -> DataFrame:
-    """The documents with all their columns, each as often as it is selected."""
-    chosen = selection(docs, levels, **settings).select("row", "epoch")
-    return numbered(docs).join(chosen, "row").select("document.*")
+    """The documents with all their columns, whatever their names, each as often as it is selected.
+
+    Documents are found again by their content. Rows that share ``doc_id`` and
+    text are one here: one of them comes as often as all of them are selected.
+    """
+    chosen = decisions(docs, levels, **settings).groupBy("_k", "_l").agg(F.count("*").alias("n"), F.sum("times").cast("int").alias("times"))
+    chosen = stored(chosen.filter("times > 0"), "chosen")
+    again = F.explode(F.sequence(F.lit(1), "times"))
+    keys = ["_k", "_l"]
+    single = docs.select(whole_row(docs), *row_key()).join(chosen.filter("n = 1"), keys)
+    taken = single.select("document", again)
+    repeated = chosen.filter("n > 1")
+    if not repeated.isEmpty():
+        taken = taken.unionByName(one_of_each(docs, repeated)[0].join(repeated, keys).select("document", again))
+    return taken.select("document.*")
 
 
 def by_choice(name: str, weights: dict[str, float], other: float = 1.0) -> Column:

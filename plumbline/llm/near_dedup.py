@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.blocks import pairs_in_blocks
 from plumbline.llm.common import (
+    keep_rows,
     map_batches,
     map_in_arrow,
     mixed,
-    numbered,
     passes,
     powers,
+    row_key,
     screen_of,
     stored,
     text_bytes,
@@ -33,8 +34,8 @@ SIMILARITY = 0.8
 # Texts of similarity 0.8 share a sketch with probability about 0.8**LENGTH.
 SKETCHES = 16
 LENGTH = 3
-# Texts that are no sketch bucket's first compare only if they share this many sketches.
-SHARED = 2
+# An alignment that this many places off the diagonal do not decide is made over all places, a row of bits at a time.
+WIDE = 128
 # The screen of documents that are aligned is this many bits (as a power of two), whatever the data: 16 MB.
 SCREEN_BITS = 27
 
@@ -105,7 +106,7 @@ def sketches(labelled: np.ndarray, offsets: np.ndarray, count: int = SKETCHES, l
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``one``, ``two``, ``n`` (hashes and number of the shingles in order), ``sketch`` (null without words)."""
+    """``doc_id``, ``_k``, ``_l``, ``one``, ``two``, ``n`` (hashes and number of the shingles in order), ``sketch`` (null without words)."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         shingles, offsets = shingle_hashes(*text_bytes(batch.column(0)))
@@ -122,13 +123,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             pa.array(np.arange(len(counts) + 1, dtype=np.int32) * SKETCHES), pa.array(found.ravel())
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), batch.column(2), *map(pa.array, digests), pa.array(counts), whole],
-            names=["row", "doc_id", "one", "two", "n", "sketch"],
+            [*batch.columns[1:], *map(pa.array, digests), pa.array(counts), whole],
+            names=["doc_id", "_k", "_l", "one", "two", "n", "sketch"],
         )
 
-    rows = docs.select("text", F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"))
-    schema = "row long, doc_id long, one long, two long, n long, sketch array<long>"
-    return map_batches(rows, ["text", "row", "doc_id"], run, schema)
+    rows = docs.select("text", docs["doc_id"].cast("long").alias("doc_id"), *row_key())
+    schema = "doc_id long, _k long, _l long, one long, two long, n long, sketch array<long>"
+    return map_batches(rows, ["text", "doc_id", "_k", "_l"], run, schema)
 
 
 def longest_common(a: np.ndarray, b: np.ndarray, half: int) -> np.ndarray:
@@ -147,13 +148,50 @@ def longest_common(a: np.ndarray, b: np.ndarray, half: int) -> np.ndarray:
     return best[:, :-1].max(axis=1)
 
 
+def longest_common_bits(a: np.ndarray, b: np.ndarray) -> int:
+    """The longest common subsequence over all alignments, with a row of the table as one long number.
+
+    A zero bit of the row is a step up; a symbol of ``a`` moves, in each
+    stretch between two steps, the step to the first place where ``b`` has the symbol.
+    """
+    same = min(len(a), len(b))
+    differs = np.flatnonzero(a[:same] != b[:same])
+    ahead = int(differs[0]) if len(differs) else same
+    a, b = a[ahead:], b[ahead:]
+    same = min(len(a), len(b))
+    differs = np.flatnonzero(a[::-1][:same] != b[::-1][:same])
+    behind = int(differs[0]) if len(differs) else same
+    a, b = a[: len(a) - behind], b[: len(b) - behind]
+    places: dict[int, list[int]] = {}
+    for place, symbol in enumerate(b.tolist()):
+        places.setdefault(symbol, []).append(place)
+    frequent = {symbol: _bits_at(at) for symbol, at in places.items() if len(at) > 512}
+    full = (1 << len(b)) - 1
+    row = full
+    for symbol in a.tolist():
+        if symbol in places:
+            at = frequent[symbol] if symbol in frequent else _bits_at(places[symbol])
+            hit = row & at
+            row = ((row + hit) | (row - hit)) & full
+    return ahead + behind + len(b) - row.bit_count()
+
+
+def _bits_at(places: list[int]) -> int:
+    if len(places) < 64:
+        return sum(1 << place for place in places)
+    bits = np.zeros(places[-1] + 1, bool)
+    bits[places] = True
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
 def similar(left: list[np.ndarray], right: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
     """Which pairs align well: common shingles, in order, over all shingles of the two at least ``similarity``.
 
     Shared shingles in any order bound the common ones from above and reject
     most false candidates. For the others a band about the diagonal is doubled
     until the alignment in it reaches the similarity, or until the band is so
-    wide that every alignment that does lies in it.
+    wide that every alignment that does lies in it; from ``WIDE`` places on, all
+    places are aligned at once.
     """
     keep = np.zeros(len(left), bool)
     open_pairs: dict[int, list[int]] = {}
@@ -170,6 +208,11 @@ def similar(left: list[np.ndarray], right: list[np.ndarray], similarity: float =
             open_pairs.setdefault(8 + 2 * abs(len(a) - len(b)), []).append(k)
     while open_pairs:
         half = min(open_pairs)
+        if half > WIDE:
+            for k in open_pairs.pop(half):
+                total = len(left[k]) + len(right[k])
+                keep[k] = longest_common_bits(left[k], right[k]) >= similarity * total / (1 + similarity) - 1e-9
+            continue
         waiting = sorted(open_pairs.pop(half), key=lambda k: len(left[k]))
         while waiting:
             widest = len(left[waiting[-1]]) + len(right[waiting[-1]])
@@ -215,25 +258,26 @@ def verified(pairs: DataFrame, sequences: DataFrame, similarity: float = SIMILAR
     return map_in_arrow(joined, run, "a long, b long")
 
 
-def sequences_of(docs: DataFrame, rows: DataFrame, screen_bits: int = SCREEN_BITS) -> DataFrame:
-    """``row`` and ``shingles`` of the documents whose ``row`` is in ``rows``, and of few others.
+def sequences_of(docs: DataFrame, wanted: DataFrame, screen_bits: int = SCREEN_BITS) -> DataFrame:
+    """``row`` and ``shingles`` of the documents in ``wanted`` (``row`` and the document's ``_k`` and ``_l``).
 
     A screen of fixed size goes to the tasks that read the texts; the texts of other documents move nowhere.
     """
-    wanted = screen_of(rows.select(F.xxhash64("row").alias("hash")), "hash", screen_bits)
-    screen = docs.sparkSession.sparkContext.broadcast(wanted)
+    screen = docs.sparkSession.sparkContext.broadcast(screen_of(wanted, "_k", screen_bits))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        batch = batch.take(pa.array(np.flatnonzero(passes(screen.value, batch.column(2).to_numpy(), screen_bits))))
+        batch = batch.filter(pa.array(passes(screen.value, batch.column(1).to_numpy(), screen_bits)))
         shingles, offsets = shingle_hashes(*text_bytes(batch.column(0)))
         short = (shingles >> np.uint64(32)).astype("<u4")
         cut = pa.Array.from_buffers(
             pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64) * 4), pa.py_buffer(short)]
         ).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(1), cut], names=["row", "shingles"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], cut], names=["_k", "_l", "shingles"])
 
-    rows_of = docs.select("text", F.monotonically_increasing_id().alias("row"))
-    return map_batches(rows_of, ["text", "row", F.xxhash64("row")], run, "row long, shingles binary")
+    found = map_batches(docs, ["text", *row_key()], run, "_k long, _l long, shingles binary")
+    # Repeated rows are one.
+    found = found.groupBy("_k", "_l").agg(F.first("shingles").alias("shingles"))
+    return found.join(wanted, ["_k", "_l"]).select("row", "shingles")
 
 
 def _shingles(value: pa.Scalar) -> np.ndarray:
@@ -241,18 +285,18 @@ def _shingles(value: pa.Scalar) -> np.ndarray:
 
 
 def may_be_near(columns: dict, left: slice, right: slice, similarity: float = SIMILARITY) -> np.ndarray:
-    """Pairs of different classes, of like length, that share ``SHARED`` sketches or more: a matrix."""
+    """Pairs of different classes, of like length, that share a sketch: a matrix."""
     if "_short" not in columns:
         # Sixteen bits of a sketch: a few more pairs pass, none is held back.
         flat = columns["sketch"].flatten().to_numpy().reshape(-1, SKETCHES)
         columns["_short"] = np.ascontiguousarray((flat.view(np.uint64) >> np.uint64(48)).astype(np.uint16).T)
     short = columns["_short"]
-    equal = np.zeros((left.stop - left.start, right.stop - right.start), np.uint8)
+    equal = np.zeros((left.stop - left.start, right.stop - right.start), bool)
     for sketch in short:
-        equal += sketch[left][:, None] == sketch[right][None, :]
+        equal |= sketch[left][:, None] == sketch[right][None, :]
     component, lengths = columns["component"].to_numpy(), columns["length"].to_numpy()
     a, b = lengths[left][:, None], lengths[right][None, :]
-    near = (equal >= SHARED) & (component[left][:, None] != component[right][None, :])
+    near = equal & (component[left][:, None] != component[right][None, :])
     return near & (np.minimum(a, b) >= similarity * np.maximum(a, b))
 
 
@@ -271,7 +315,7 @@ def linked_in_block(columns: dict, i: np.ndarray, j: np.ndarray, similarity: flo
     equal = x == y
     # A pair is taken in the first bucket the two share.
     lead = x[np.arange(len(x)), equal.argmax(axis=1)] == key[i[places]]
-    places = places[lead & (equal.sum(axis=1) >= SHARED)]
+    places = places[lead]
     texts = columns.setdefault("_texts", {})
 
     def text(place: int) -> tuple[np.ndarray, Counter | set]:
@@ -299,31 +343,34 @@ def linked_in_block(columns: dict, i: np.ndarray, j: np.ndarray, similarity: flo
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: ``row``, ``doc_id``, ``class_id``, ``kept``.
+    """One row per document: ``doc_id``, ``_k``, ``_l``, ``class_id``, ``kept``.
 
     Two texts are near when their shingles of five words, aligned in order,
     have at least ``similarity`` in common (common ones over all of both). A
     class is what is connected by near texts; ``class_id`` is its smallest
-    ``doc_id``, and the first row with it is kept.
+    ``doc_id``, and one row with it is kept. ``_k`` and ``_l`` are the row's
+    key by content (:func:`plumbline.llm.common.row_key`).
 
     1. Texts with the same shingles in the same order are one from here on.
     2. Texts that share a sketch meet in its bucket. Each is first aligned with
        the bucket's first text.
     3. Where a bucket still holds several classes, the members of different
-       classes meet in blocks: those that share ``SHARED`` sketches, and enough
-       shingles, are aligned there, and only links leave the block. So a text in
+       classes meet in blocks: those that share enough
+       shingles are aligned there, and only links leave the block. So a text in
        the middle of a bucket loses no neighbour, and a bucket of copies is not
        compared pair by pair.
 
-    Texts of fewer than five words have one shingle, all their words. Null and
+    Texts of fewer than five words have one shingle, all their words. Very long
+    texts are sketched and aligned whole. Null and
     empty texts, and texts of white space, are near each other and nothing
     else. A null ``doc_id`` comes after all others. Repeated rows are copies.
     An empty table gives no rows; further columns are ignored.
     """
-    prints = stored(fingerprints(docs), "fingerprints")
+    # Numbers of rows are those of the stored table; texts are found again by their content.
+    prints = stored(fingerprints(docs).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     same = ["one", "two", "n"]
     # Equal texts have equal sketches, so the sketch takes no part in which row is first.
-    ahead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "sketch")).alias("first")
+    ahead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "sketch", "_k", "_l")).alias("first")
     groups = stored(prints.groupBy(*same).agg(ahead), "equal-texts")
     sketched = groups.filter("n > 0").select(F.col("first.row").alias("row"), F.col("first.sketch").alias("sketch"), "n")
 
@@ -332,7 +379,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     first = stored(first, "buckets")
     stars = buckets.join(first, "key").filter("row != b").select(F.col("row").alias("a"), "b").distinct()
     stars = stored(stars, "star-pairs")
-    sequences = stored(sequences_of(docs, stars.select(F.explode(F.array("a", "b")).alias("row"))), "sequences")
+    wanted = groups.select("first.row", "first._k", "first._l")
+    wanted = wanted.join(stars.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "row")
+    sequences = stored(sequences_of(docs, stored(wanted, "aligned")), "sequences")
     links = stored(verified(stars, sequences, similarity), "star-links")
     classes = stored(components(links).withColumnsRenamed({"node": "row"}), "classes")
 
@@ -358,11 +407,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     lowest = classed.groupBy("component").agg(F.min("first").alias("lead"))
     classed = classed.join(lowest, "component").select(*same, "lead")
     return prints.join(classed, same).select(
-        "row", "doc_id", F.col("lead.doc_id").alias("class_id"), (F.col("row") == F.col("lead.row")).alias("kept")
+        "doc_id", "_k", "_l", F.col("lead.doc_id").alias("class_id"), (F.col("row") == F.col("lead.row")).alias("kept")
     )
 
 
 def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, with all its columns."""
-    kept = near_duplicates(docs, similarity).filter("kept").select("row")
-    return numbered(docs).join(kept, "row", "left_semi").select("document.*")
+    """One document of each class, with all its columns, whatever their names; odd rows as in :func:`near_duplicates`."""
+    return keep_rows(docs, near_duplicates(docs, similarity).select("_k", "_l", "kept"))

@@ -20,6 +20,9 @@ WINDOW = 2048
 PIECE = 512
 # Windows that are filled together. Bounds the memory of a task and the length of a differencing step.
 GROUP_WINDOWS = 256
+# Small pieces are laid into windows in lots of at most this many tokens, so that a group holds a bounded number of lots:
+# two neighbours have more than this together.
+LOT = 128
 END_ID = 1
 # The pattern of byte-level vocabularies (fixed value).
 BYTE_LEVEL = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -38,8 +41,9 @@ class Encoder:
     The ids are those of ``tokenizers`` (``add_special_tokens=False``). Texts
     go through ``tiktoken``, built from the same file and several times as
     fast; a text that holds the string of a special token goes through
-    ``tokenizers`` itself. Only a file whose ids are its merge order can be
-    read as ranks; for any other, ``tokenizers`` does all.
+    ``tokenizers`` itself, and so does one that the splitting of ``tiktoken``
+    gives up on (a million spaces in a row). Only a file whose ids are its merge
+    order can be read as ranks; for any other, ``tokenizers`` does all.
     """
 
     def __init__(self, path: str) -> None:
@@ -70,9 +74,12 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as little-endian unsigned 32-bit numbers."""
-        if self.fast is None or self.special.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        if self.fast is not None and not self.special.search(text):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            except ValueError:  # the pattern's backtracking is bounded
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 @cache
@@ -142,6 +149,17 @@ def windows(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
         ways += 1
 
 
+def lots(sizes: np.ndarray, most: int) -> np.ndarray:
+    """The lot of each size, in order from 0: neighbours are put together as long as they have ``most`` together."""
+    lot, filled, out = -1, most, np.zeros(len(sizes), np.int64)
+    for i, size in enumerate(sizes.tolist()):
+        if filled + size > most:
+            lot, filled = lot + 1, 0
+        filled += size
+        out[i] = lot
+    return out
+
+
 SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_length long, ids binary"
 )
@@ -164,7 +182,8 @@ def pack(
     Each task cuts its documents into pieces of at most ``piece`` ids as they
     stream past, and fills ``group_windows`` windows at a time: nothing is
     shuffled, a long document spans as many windows as it needs, and a task
-    holds one group. A retried task reads the same split and so repeats its
+    holds one group. Neighbouring small pieces are one until they are laid, so
+    that very many of them need no more memory than few. A retried task reads the same split and so repeats its
     sequences.
 
     Null and empty texts are one piece, the end id alone. A null ``doc_id`` and
@@ -185,7 +204,9 @@ def pack(
         def flush() -> pa.RecordBatch:
             nonlocal held, sequence, total
             sizes = np.array([row[2] for row in held], dtype=np.int64)
-            part, ways = windows(sizes, window)
+            lot = lots(sizes, min(LOT, piece))
+            part, ways = windows(np.bincount(lot, sizes).astype(np.int64), window)
+            part = part[lot]
             order = np.argsort(part, kind="stable")
             filled = np.bincount(part, sizes, ways).astype(np.int64)
             before = np.cumsum(sizes[order]) - sizes[order]

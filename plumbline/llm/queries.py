@@ -37,7 +37,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(documents(spark, sf_dir)).drop("row")
+    return exact_duplicates(documents(spark, sf_dir)).drop("_k", "_l")
 
 
 def mixture() -> list[Level]:
@@ -55,7 +55,7 @@ MIX_FRACTION = 0.8
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection(documents(spark, sf_dir), mixture(), fraction=MIX_FRACTION).drop("row")
+    return selection(documents(spark, sf_dir), mixture(), fraction=MIX_FRACTION)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).drop("row")
+    return near_duplicates(documents(spark, sf_dir)).drop("_k", "_l")
 
 
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

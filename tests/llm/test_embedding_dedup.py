@@ -2,8 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from plumbline.llm.embedding_dedup import coded, near_vectors, rotation
+from plumbline.llm import embedding_dedup
+from plumbline.llm.common import stored
+from plumbline.llm.embedding_dedup import band_bits, band_count, coded, coded_rows, near_vectors, rotation
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -111,6 +114,83 @@ def test_short_vectors_near_the_threshold_are_found(spark, files):
     assert len(linked) >= 0.97 * len(rows)
 
 
+def vectors(spark, draw, n, dim, labels=1):
+    rows = [(i, draw.normal(size=dim).astype(np.float32).tolist(), i % labels) for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def distinct(frame):
+    wide = F.col("embedding").cast("array<double>").alias("embedding")
+    return frame.select(F.col("vec_id").alias("rep"), F.lit(1).cast("long").alias("n"), "label", wide)
+
+
+def test_bands_follow_the_size():
+    assert [band_bits(n) for n in (0, 1, 16, 17, 1000, 10**6, 10**12)] == [0, 0, 0, 1, 6, 16, 30]
+    assert band_count(0) == 1
+    angle = np.arccos(0.93) / np.pi
+    for bits in (1, 6, 12, 16, 24):
+        assert (1 - (1 - angle) ** bits) ** band_count(bits) <= 0.002
+
+
+@pytest.mark.parametrize("dim", [64, 384, 768])
+def test_codes_are_a_few_times_the_vectors(spark, dim):
+    rows = coded_rows(distinct(vectors(spark, np.random.default_rng(dim), 1000, dim)))
+    size = sum((F.octet_length(name) for name in ("code", "short", "keys")), F.lit(80))
+    total, count = rows.agg(F.sum(size), F.count("*")).first()
+    assert count == 1000 * band_count(6)
+    assert total <= 10 * 1000 * 4 * dim or dim == 64 and total <= 14 * 1000 * 4 * dim
+
+
+def test_no_table_of_pairs(spark, files, monkeypatch):
+    """Where all vectors of a group are linked, what is stored grows with the vectors."""
+    draw = np.random.default_rng(9)
+    centre = draw.normal(size=64)
+    tables = {}
+
+    def watched(df, label):
+        tables[label] = stored(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(embedding_dedup, "stored", watched)
+    for n in (300, 900):
+        rows = [(i, (centre + draw.normal(size=64) * 0.1).astype(np.float32).tolist(), 1) for i in range(n)]
+        result = near_vectors(files(spark.createDataFrame(rows, SCHEMA), f"dense-{n}")).collect()
+        assert {r["n_links"] for r in result} == {n - 1} and {r["component_id"] for r in result} == {0}
+        assert tables["links"].count() <= 30 * n and tables["open-links"].count() <= n
+
+
+def test_pairs_at_the_threshold_are_left_open(spark, files, monkeypatch):
+    """Cosines within rounding of the threshold are decided by the vectors themselves."""
+    opened = []
+
+    def watched(df, label):
+        out = stored(df, label)
+        if label == "links":
+            opened.append(out.filter("near IS NULL").count())
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "stored", watched)
+    draw, rows = np.random.default_rng(10), []
+    for k in range(40):
+        u, w = np.linalg.qr(draw.normal(size=(16, 2)))[0].T
+        c = 0.93 + (1e-12 if k % 2 else -1e-12)
+        rows += [(2 * k, u.tolist(), k), (2 * k + 1, (c * u + np.sqrt(1 - c * c) * w).tolist(), k)]
+    frame = files(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), "edge")
+    assert found(near_vectors(frame)) == brute_force(rows)
+    assert opened == [40]
+
+
+def test_recall_in_a_large_label(spark, files):
+    """Bands of several bits: pairs just above the threshold among many others."""
+    draw = np.random.default_rng(11)
+    rows = [(10**6 + i, draw.normal(size=48).tolist(), 0) for i in range(3000)]
+    for i in range(250):
+        u, w = np.linalg.qr(draw.normal(size=(48, 2)))[0].T
+        rows += [(2 * i, u.tolist(), 0), (2 * i + 1, (0.9301 * u + np.sqrt(1 - 0.9301**2) * w).tolist(), 0)]
+    result = near_vectors(files(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), "many"))
+    assert sum(r["n_links"] for r in result.filter("vec_id < 1000000").collect()) >= 0.98 * 500
+
+
 def test_rotations_are_orthogonal():
     for dim in (1, 2, 64):
         q = rotation(dim, 3)

@@ -1,11 +1,13 @@
 """The network: gradients, determinism, held-out accuracy."""
 
+import math
+
 import numpy as np
 import pytest
 
 from helpers import document, table
 from plumbline.llm import language_id
-from plumbline.llm.language_id import Network, _gradients, fit, held_out, identify, pooled, train
+from plumbline.llm.language_id import Network, _gradients, fit, has_letter, held_out, identify, pooled, train
 from plumbline.llm.queries import QUERIES
 
 
@@ -28,6 +30,51 @@ def test_gradients_are_the_slopes():
             assert (losses[0] - losses[1]) / 2e-2 == pytest.approx(float(found[name].flat[place]), abs=2e-3)
 
 
+def textbook(w, way, sequence):
+    """States of a gated recurrent unit, one byte and one number at a time."""
+    hidden = w["u" + way].shape[0]
+    state, states = [0.0] * hidden, []
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    for byte in sequence if way == "f" else reversed(sequence):
+        entered = w["x" + way][byte]
+        recalled = [sum(state[i] * w["u" + way][i][k] for i in range(hidden)) for k in range(3 * hidden)]
+        update = [sigmoid(entered[k] + recalled[k]) for k in range(hidden)]
+        reset = [sigmoid(entered[hidden + k] + recalled[hidden + k]) for k in range(hidden)]
+        candidate = [
+            math.tanh(entered[2 * hidden + k] + reset[k] * (recalled[2 * hidden + k] + w["b" + way][k])) for k in range(hidden)
+        ]
+        state = [update[k] * state[k] + (1 - update[k]) * candidate[k] for k in range(hidden)]
+        states.append(state)
+    return states if way == "f" else states[::-1]
+
+
+def test_the_forward_pass_is_the_textbook_one():
+    network = Network.fresh(["a", "b", "c"], 5, 7)
+    for name in ("bf", "bb", "c"):
+        network.weights[name][:] = np.random.default_rng(1).normal(0, 0.5, network.weights[name].shape)
+    w, text = network.weights, "Übung, the text".encode()
+    ahead, back = (textbook(w, way, text) for way in "fb")
+    expected = np.zeros(3)
+    for one, two in zip(ahead, back, strict=True):
+        scores = np.array(one) @ w["vf"] + np.array(two) @ w["vb"] + w["c"]
+        expected += np.exp(scores) / np.exp(scores).sum() / len(text)
+    found = pooled(network, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert found[0] == pytest.approx(expected, abs=1e-5)
+
+
+def test_letters_are_those_of_unicode(spark, files):
+    for text in ("½ ②", "²", "Ⅷ", "", "1_2", "٣"):
+        assert not has_letter(text)
+    for text in ("½a", "漢", "_é", "ª", "ß1"):
+        assert has_letter(text)
+    docs = files(table(spark, [document(1, "½ ② Ⅷ³"), document(2, "½ a")]))
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(docs, Network.fresh(["en", "fr"], 8, 1)).collect()}
+    assert found[1] == ("und", 0.0) and found[2][0] != "und"
+
+
 def test_training_separates_two_alphabets():
     draw = np.random.default_rng(3)
     stretches = np.concatenate([draw.integers(97, 105, (150, 64)), draw.integers(103, 112, (150, 64))]).astype(np.uint8)

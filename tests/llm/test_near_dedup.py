@@ -1,6 +1,7 @@
 """Near duplicates against all pairs; the alignment against the textbook recursion."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,6 +16,7 @@ from plumbline.llm.common import text_bytes
 from plumbline.llm.graph import components
 from plumbline.llm.near_dedup import (
     longest_common,
+    longest_common_bits,
     near_duplicates,
     occurrence_labelled,
     shingle_hashes,
@@ -44,6 +46,37 @@ def test_alignment(a, b):
         assert similar([np.array(a)], [np.array(b)], similarity)[0] == (s >= similarity - 1e-9)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=40), st.lists(st.integers(0, 4), max_size=40))
+def test_alignment_by_bits(a, b):
+    assert longest_common_bits(np.array(a, np.int64), np.array(b, np.int64)) == lcs(a, b)
+
+
+def test_very_long_reordered_texts():
+    """Halves swapped, every shingle common: what the band does not decide, the bits do, in seconds."""
+    a = np.random.default_rng(2).permutation(200_000)
+    swapped = np.concatenate([a[100_000:], a[:100_000]])
+    moved = np.concatenate([a[5_000:], a[:5_000]])
+    began = time.process_time()
+    assert similar([a, a, a], [swapped, moved, a]).tolist() == [False, True, True]
+    assert time.process_time() - began < 60
+    # Few symbols, each at very many places.
+    a = np.random.default_rng(3).integers(0, 3, 3000)
+    b = np.roll(a, 400)
+    assert longest_common_bits(a, b) == lcs(a.tolist(), b.tolist())
+
+
+def test_short_texts_that_share_one_sketch_only(spark, files):
+    """Texts of four and five shingles, four in common: as hard to find as any, and all links count."""
+    rows, expected = [], 400
+    for k in range(expected):
+        text = words(k, 9, 10**9)
+        rows += [document(2 * k, " ".join(text[:8])), document(2 * k + 1, " ".join(text))]
+    result = near_duplicates(files(table(spark, rows)))
+    linked = sum(r["doc_id"] != r["class_id"] for r in result.collect())
+    assert linked >= 0.99 * expected
+
+
 def test_alignment_of_long_texts():
     draw = random.Random(1)
     left, right, expected = [], [], []

@@ -8,10 +8,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helpers import document, table, words
-from plumbline.llm.packing import Encoder, difference, pack, windows
+from plumbline.llm.packing import Encoder, difference, lots, pack, windows
 from plumbline.llm.queries import QUERIES, tokenizer_path
 
 
@@ -77,6 +78,51 @@ def test_odd_documents(crowded, odd):
     assert {row["length"] for row in rows if row["doc_id"] in (1, 2)} == {1}
 
 
+def test_long_white_space(spark, files):
+    """Runs that one library's pattern gives up on are read by the other."""
+    texts = {1: " " * 3_000_000, 2: "a" + "\n \t" * 700_000 + "b", 3: "plain"}
+    rows = pack(files(table(spark, [document(i, text) for i, text in texts.items()])), tokenizer_path()).collect()
+    pieces, _ = check(rows)
+    assert {i: joined(part) for i, part in pieces.items()} == dict(zip(texts, expected_ids(texts.values()), strict=True))
+
+
+def test_very_many_empty_texts(spark):
+    """One task, one group: neighbours are put together before they are laid, and every text keeps its piece."""
+    docs = spark.range(600_000).coalesce(1).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text")
+    found = pack(docs, tokenizer_path()).groupBy("sequence_id", "sequence_length")
+    found = found.agg(F.count("*").alias("n"), F.sum("offset").alias("offsets"), F.count_distinct("doc_id").alias("ids")).collect()
+    assert sum(r["n"] for r in found) == sum(r["ids"] for r in found) == 600_000
+    assert all(r["n"] == r["sequence_length"] <= 2048 and r["offsets"] == r["n"] * (r["n"] - 1) // 2 for r in found)
+    assert len(found) <= 1.03 * 600_000 / 2048
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(1, 512), min_size=1, max_size=300))
+def test_lots_are_bounded(sizes):
+    lot = lots(np.array(sizes), 128)
+    filled = np.bincount(lot, sizes)
+    assert (np.diff(lot) >= 0).all() and set(lot.tolist()) == set(range(lot.max() + 1))
+    assert all(n <= 128 or (lot == i).sum() == 1 for i, n in enumerate(filled))
+    assert (filled[1:] + filled[:-1] > 128).all()
+
+
+def plain_differencing(sizes, ways):
+    """Partial partitions as sorted tuples, merged two at a time, those of the widest gap first."""
+    partial = [((size, *[0] * (ways - 1)), -i) for i, size in enumerate(sizes)]
+    while len(partial) > 1:
+        partial.sort(key=lambda entry: entry[0][-1] - entry[0][0])
+        a, b = partial.pop(0)[0], partial.pop(0)[0]
+        partial.append((tuple(sorted((x + y for x, y in zip(a, reversed(b), strict=True)), reverse=True)), 1))
+    return sorted(partial[0][0])
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 10**6), min_size=1, max_size=9, unique=True), st.integers(2, 4))
+def test_differencing_is_the_textbook_one(sizes, ways):
+    found = np.bincount(difference(np.array(sizes), ways), sizes, ways)
+    assert found.max() - found.min() == plain_differencing(sizes, ways)[-1] - plain_differencing(sizes, ways)[0]
+
+
 def test_no_documents(none):
     assert pack(none, tokenizer_path()).count() == 0
 
