@@ -3,43 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumbline.llm.common import stored
 from plumbline.llm.exact_dedup import without_duplicates
-from plumbline.llm.language_id import UNKNOWN, fit, held_out, identify
+from plumbline.llm.language_id import fit, held_out, with_predicted_language
 from plumbline.llm.mixing import mixed_documents
 from plumbline.llm.near_dedup import without_near_duplicates
 from plumbline.llm.packing import pack
 from plumbline.llm.queries import mixture, tokenizer_path
 
-# Documents of no language, or of none with at least this probability, are rejected.
-# Texts of one language score far above, texts of two about a half.
-LEAST_SCORE = 0.3
+# Documents without a letter are rejected, and those whose language is told with no more than this share of the way
+# from chance to certainty. Texts of one language score far above, texts of two about half way.
+LEAST_CONFIDENCE = 0.07
 # The mixture takes as many tokens as there are, so that sources below their share are repeated.
 MIX_FRACTION = 1.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    network = fit(docs, ~held_out())
-    whole = F.struct(*[docs[name] for name in docs.columns]).alias("document")
-    told = identify(docs, network, [whole], f"document {docs.select(whole).schema[0].dataType.simpleString()}")
-    return told.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("document.*")
+    """Documents whose language the network tells, with that language as their ``lang``: the later stages go by it.
+
+    Texts that are null, empty or without a letter go; very long ones are read
+    whole. Repeated rows all stay. Columns may have any name.
+    """
+    return with_predicted_language(docs, fit(docs, ~held_out()), LEAST_CONFIDENCE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, the row with the smallest ``doc_id``; of repeated rows, one.
+
+    Null counts as empty, a null ``doc_id`` comes after all others. Columns may have any name.
+    """
     return without_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that near ones connect, the row with the smallest ``doc_id``; of repeated rows, one.
+
+    Null, empty and white texts are one class. A null ``doc_id`` comes after all others. Columns may have any name.
+    """
     return without_near_duplicates(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the mixture of domains, (predicted) languages and sources; some go, some come several times.
+
+    Null keys are leaves of their own; texts without words count no tokens.
+    Repeated rows are taken as often as all of them are selected. Columns may have any name.
+    """
     return mixed_documents(docs, mixture(), fraction=MIX_FRACTION)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of training windows (:func:`plumbline.llm.packing.pack`), null texts as their end id."""
     return pack(docs, tokenizer_path())
 
 
@@ -56,7 +71,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over ``documents``; each result is stored before the next stage reads it."""
+    """The stages one after the other over ``documents``; each result is stored before the next stage reads it.
+
+    An empty table gives no rows in any stage.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
