@@ -122,15 +122,16 @@ def interactions(counts: DataFrame, letters: Sequence[str]) -> DataFrame:
 
     The 32 masks of a part at most are all that is multiplied by the orders.
     """
-    steps = []
-    for order in permutations(sorted(letters)):
-        before = 0
-        for step, letter in enumerate(order, 1):
-            bit = 1 << list(letters).index(letter)
-            values = {"filter_order": "".join(order), "step": step, "bit": bit, "before": before}
-            steps.append(F.struct(*[F.lit(value).alias(name) for name, value in values.items()]))
-            before |= bit
-    rows = counts.select("*", F.inline(F.array(*steps)))
+    letters = "".join(letters)
+    orders = ",".join("".join(order) for order in permutations(sorted(letters)))
+
+    def bit(step: int | str) -> Column:
+        return F.expr(f"shiftleft(1, locate(substr(filter_order, {step}, 1), '{letters}') - 1)")
+
+    before = sum((F.when(F.col("step") > k, bit(k)).otherwise(F.lit(0)) for k in range(1, len(letters))), F.lit(0))
+    rows = counts.select("*", F.explode(F.split(F.lit(orders), ",")).alias("filter_order"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(len(letters)))).alias("step"))
+    rows = rows.withColumns({"bit": bit("step"), "before": before})
     fails = F.col("mask").bitwiseAND(F.col("bit")) != 0
     gone = F.col("mask").bitwiseAND(F.col("before")) != 0
 
