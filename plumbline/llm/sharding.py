@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,114 +10,156 @@ from plumbline.llm.common import stored
 
 SHARDS = 8
 ROUNDS = 6
-# Ranks are counted by buckets of hash prefixes: of groups, and of the rows within a group.
-GROUP_BUCKETS = 4096
-ROW_BUCKETS = 4096
+# Ranks are counted by so many bits of the hashes of groups, and of the rows within a group.
+GROUP_BITS = 12
+ROW_BITS = 12
+# Places in the order of admission, over all pairs of shards.
+ADMISSION_BUCKETS = 1 << 16
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``size``, ``text_crc32``, ``text_key`` of each document; one pass over the texts."""
+    """``row``, ``doc_id``, ``size``, ``text_crc32``, ``group`` (a hash of the text) of each document; one pass over the texts."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         F.monotonically_increasing_id().alias("row"),
         docs["doc_id"].cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("text_key"),
+        F.xxhash64(text).alias("group"),
     )
 
 
-def equal_text_links(table: DataFrame) -> DataFrame:
-    """``src``, ``dst``: each row of a group of equal texts with the group's first row, both ways."""
-    groups = table.groupBy("text_key").agg(F.min("row").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    star = table.join(groups, "text_key").filter("row != hub")
-    return star.select(F.explode(F.array(
-        F.struct(F.col("row").alias("src"), F.col("hub").alias("dst")),
-        F.struct(F.col("hub").alias("src"), F.col("row").alias("dst")),
-    )).alias("link")).select("link.*")
+def merged(table: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """``group``, ``label``, ``n``: the rows of a group that begin under a label (by a hash of the row) are one node."""
+    label = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("label")
+    return table.select("group", label).groupBy("group", "label").agg(F.count("*").alias("n"))
 
 
-def _draw(*parts) -> Column:
-    """A number in [0, 1) from a hash."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / float(1 << 30)
+def group_links(table: DataFrame, links: DataFrame) -> DataFrame:
+    """``src``, ``dst``, ``n``, both ways: the links (``a``, ``b``: ``doc_id``) between different groups."""
+    known = table.filter("doc_id IS NOT NULL").groupBy("doc_id", "group").agg(F.lit(1).alias("one")).drop("one")
+    ends = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    for side, name in (("a", "src"), ("b", "dst")):
+        ends = ends.join(known.withColumnsRenamed({"doc_id": side, "group": name}), side)
+    ends = ends.filter("src != dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
+    return ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagated(table: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``row``, ``label``: rows after ``rounds`` of moves towards the shard where most neighbours are.
+def wants(state: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``group``, ``at``, ``to``, ``n``: the nodes that are not where most of their neighbours are.
 
-    In a round, half of the rows (by hash, so that linked rows do not trade
-    places for ever) may move. Of the rows that want from shard a to b, as many
-    go as come back, and the room that b has below its quota. The counts that
-    decide are ``shards`` squared numbers; the rows never leave the executors.
+    The rows of a group are neighbours of each other; a linked group adds its
+    links, dealt by where its rows are. Of labels with equally many, the lowest.
     """
-    labels = stored(table.select("row", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("label")), "labels")
-    quota = -(-labels.count() // shards)
-    for number in range(rounds):
-        votes = links.join(labels.withColumnRenamed("row", "dst"), "dst").groupBy("src", "label").agg(F.count("*").alias("n"))
-        near = labels.select(F.col("row").alias("src"), F.col("label").alias("at"))
-        # Most votes; then where the row is; then the lowest number.
-        votes = votes.join(near, "src").groupBy("src").agg(
-            F.max(F.struct("n", (F.col("label") == F.col("at")).alias("stays"), (-F.col("label")).alias("low"))).alias("best"),
-            F.max("at").alias("at"),
-        )
-        wants = votes.select(F.col("src").alias("row"), "at", (-F.col("best.low")).alias("to"))
-        wants = wants.filter((F.col("at") != F.col("to")) & (_draw(F.col("row"), F.lit(number)) < 0.5))
-        wants = stored(wants, "wants")
-        asked = {(r["at"], r["to"]): r["n"] for r in wants.groupBy("at", "to").agg(F.count("*").alias("n")).collect()}
-        if not asked:
+    votes = state.select("group", "label", F.col("n").cast("double").alias("votes"))
+    if links is not None:
+        total = Window.partitionBy("group")
+        shares = state.select(F.col("group").alias("dst"), "label", (F.col("n") / F.sum("n").over(total)).alias("share"))
+        near = links.join(shares, "dst").select(F.col("src").alias("group"), "label", (F.col("n") * F.col("share")).alias("votes"))
+        votes = votes.unionByName(near).groupBy("group", "label").agg(F.sum("votes").alias("votes"))
+    best = votes.groupBy("group").agg(F.max_by("label", F.struct("votes", -F.col("label"))).alias("to"))
+    return state.join(best, "group").filter("label != to").select("group", F.col("label").alias("at"), "to", "n")
+
+
+def admitted(asked: DataFrame, loads: dict[int, int], quota: int, shards: int) -> DataFrame:
+    """The moves (as of :func:`wants`) that go, ``n`` rows of each, so that no shard grows beyond ``quota``.
+
+    From one shard to another go as many rows as come back, and an equal part
+    of the room there. They go in the order of their groups, found from prefix
+    sums of their sizes; the last one goes in part.
+    """
+    buckets = max(1, ADMISSION_BUCKETS // (shards * shards))
+    asked = asked.withColumn("bucket", F.pmod("group", F.lit(buckets)).cast("int"))
+    sums = stored(asked.groupBy("at", "to", "bucket").agg(F.sum("n").alias("n")), "asked")
+    flows = sums.groupBy("at", "to").agg(F.sum("n").alias("n"))
+    back = flows.select(F.col("at").alias("to"), F.col("to").alias("at"), F.col("n").alias("back"))
+    room = F.element_at(F.array(*[F.lit(max(0, quota - loads.get(k, 0)) // max(1, shards - 1)) for k in range(shards)]), F.col("to") + 1)
+    allowed = F.least("n", F.coalesce("back", F.lit(0)) + room).alias("allowed")
+    flows = flows.join(back, ["at", "to"], "left").select("at", "to", allowed)
+    before = Window.partitionBy("at", "to").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("at", "to", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("at", "to", "bucket").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    placed = asked.join(sums.join(flows, ["at", "to"]), ["at", "to", "bucket"])
+    placed = placed.withColumn("n", F.least("n", F.col("allowed") - ahead))
+    return placed.filter("n > 0").select("group", "at", "to", "n")
+
+
+def _loads(state: DataFrame) -> dict[int, int]:
+    return {r["label"]: r["n"] for r in state.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+
+
+def propagated(state: DataFrame, links: DataFrame | None = None, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """``group``, ``label``, ``n`` after ``rounds`` of moves towards the shard where most neighbours are.
+
+    Nodes are the rows of a group under one label, so a group of very many
+    copies is at most ``shards`` rows here. Groups that nothing draws anywhere are
+    left out of the rounds and count in the quotas only.
+    """
+    loads = _loads(state)
+    quota = -(-sum(loads.values()) // shards)
+    drawn = state.groupBy("group").agg(F.count("*").alias("labels")).filter("labels > 1").select("group")
+    if links is not None:
+        drawn = drawn.union(links.select("src")).distinct()
+    moving = stored(state.join(drawn, "group", "left_semi"), "moving")
+    for _ in range(rounds):
+        moves = stored(admitted(stored(wants(moving, links), "wants"), loads, quota, shards), "moves")
+        if moves.isEmpty():
             break
-        loads = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
-        room = {b: max(0, quota - loads.get(b, 0)) for b in range(shards)}
-        admitted = F.lit(0.0)
-        for (a, b), n in asked.items():
-            share = (asked.get((b, a), 0) + room[b] / max(1, shards - 1)) / n
-            admitted = F.when((F.col("at") == a) & (F.col("to") == b), F.lit(min(1.0, share))).otherwise(admitted)
-        moves = wants.filter(_draw(F.col("row"), F.lit(number), F.lit("go")) < admitted).select("row", "to")
-        labels = labels.join(moves, "row", "left").select("row", F.coalesce("to", "label").alias("label"))
-        labels = stored(labels, "labels")
-    return labels
+        gone = moves.select("group", F.col("at").alias("label"), (-F.col("n")).alias("n"))
+        come = moves.select("group", F.col("to").alias("label"), "n")
+        changes = gone.unionByName(come)
+        for label, n in _loads(changes).items():
+            loads[label] = loads.get(label, 0) + n
+        moving = moving.unionByName(changes).groupBy("group", "label").agg(F.sum("n").alias("n")).filter("n > 0")
+        moving = stored(moving, "moving")
+    return state.join(drawn, "group", "left_anti").unionByName(moving)
 
 
-def ranked(table: DataFrame) -> DataFrame:
-    """``rank`` (gapless from 0) by ``label``, then ``group``, then a hash of ``row``.
+def ranked(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rank`` (gapless from 0) by ``label`` (of a ``group``), then group, then a hash of ``row``.
 
     Counted in three steps, so that no task sees more than a bucket: counts of
-    group buckets are summed up over at most ``shards * GROUP_BUCKETS`` rows;
-    within one, counts of groups' row buckets; within one of those, rows.
+    group buckets are summed up over at most ``shards << GROUP_BITS`` rows;
+    within one, counts of the groups' row buckets; within one of those, rows. A group
+    meets its label as such counts, and its rows meet them by row bucket: a
+    group of a third of all rows is spread over ``1 << ROW_BITS`` keys.
     """
-    table = table.withColumn("gh", F.xxhash64("group")).withColumn("rh", F.xxhash64("row"))
-    table = table.withColumn("gb", F.shiftright("gh", 52).cast("int")).withColumn("rb", F.shiftright("rh", 52).cast("int"))
-    fine = table.groupBy("label", "gb", "gh", "rb").agg(F.count("*").alias("n"))
+    table = table.withColumn("rh", F.xxhash64("row")).withColumn("rb", F.shiftrightunsigned("rh", 64 - ROW_BITS).cast("int"))
+    fine = table.groupBy("group", "rb").agg(F.count("*").alias("n")).join(labels, "group")
+    fine = fine.withColumn("gb", F.shiftrightunsigned("group", 64 - GROUP_BITS).cast("int"))
     coarse = fine.groupBy("label", "gb").agg(F.sum("n").alias("n"))
     before = Window.orderBy("label", "gb").rowsBetween(Window.unboundedPreceding, -1)
     coarse = coarse.select("label", "gb", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("label", "gb").orderBy("gh", "rb").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("label", "gb").orderBy("group", "rb").rowsBetween(Window.unboundedPreceding, -1)
     fine = fine.withColumn("above", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    fine = fine.join(coarse, ["label", "gb"]).select("label", "gb", "gh", "rb", (F.col("base") + F.col("above")).alias("first"))
-    order = Window.partitionBy("label", "gb", "gh", "rb").orderBy("rh", "row")
+    fine = fine.join(coarse, ["label", "gb"]).select("group", "rb", (F.col("base") + F.col("above")).alias("first"))
+    order = Window.partitionBy("group", "rb").orderBy("rh", "row")
     numbered = table.withColumn("place", F.row_number().over(order) - 1)
-    return numbered.join(fine, ["label", "gb", "gh", "rb"]).withColumn("rank", F.col("first") + F.col("place"))
+    return numbered.join(fine, ["group", "rb"]).withColumn("rank", F.col("first") + F.col("place"))
 
 
 def shard(docs: DataFrame, links: DataFrame | None = None, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
-    The law is ``rows``: shard sizes differ by one row at most. Linked rows
-    (``links`` of ``row`` numbers; by default equal texts) are drawn together
-    by label propagation. The labels' order, and within a label the groups of
-    equal texts, then put every row at a rank, and shards are equal stretches
-    of ranks: a group that ended under one label is cut only where a stretch
-    ends, and one larger than a shard has to be.
-
-    Null is an empty text (size 1). Null and repeated ``doc_id`` and repeated
-    rows are separate rows, ties between them fall by scan order. An empty
-    table gives no rows. Further columns are ignored.
+    The law is ``rows``: shard sizes differ by one row at most. Documents of
+    equal text are linked, and so are those that ``links`` (``a``, ``b``:
+    ``doc_id``) names. Label propagation draws them together under quotas; a
+    group of equal texts that ends under several labels takes the one of most of
+    its rows. The labels' order, and within a label the groups, then put every
+    row at a rank, and shards are equal stretches of ranks: a group is cut only
+    where a stretch ends, and one larger than a shard has to be.
+
+    Null is an empty text (size 1), very long texts are hashed whole. Null and
+    repeated ``doc_id`` and repeated rows are separate rows, the order of equal
+    rows is arbitrary. An empty table gives no rows. Further columns, of any name, are ignored.
     """
     table = stored(nodes(docs), "nodes")
-    links = stored(equal_text_links(table), "links") if links is None else links
-    labels = propagated(table, links, shards, rounds)
+    between = None if links is None else stored(group_links(table, links), "links")
+    state = propagated(stored(merged(table, shards), "merged"), between, shards, rounds)
+    labels = state.groupBy("group").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("label"))
     total = table.count()
-    placed = ranked(table.withColumnRenamed("text_key", "group").join(labels, "row"))
+    placed = ranked(table, labels)
     # Shard s holds the ranks from floor(s * total / shards) on.
     number = F.expr(f"((rank + 1) * {shards} - 1) DIV {max(1, total)}")
     placed = placed.withColumn("shard", number.cast("int"))

@@ -6,7 +6,8 @@ from collections import Counter, defaultdict
 import pytest
 
 from helpers import document, table, words
-from plumbline.llm.sharding import equal_text_links, nodes, propagated, shard
+from plumbline.llm.queries import QUERIES
+from plumbline.llm.sharding import group_links, merged, nodes, propagated, shard
 
 
 def check_law(rows, docs, shards=8):
@@ -33,36 +34,101 @@ def grouped(spark, files):
     return files(table(spark, rows, 6))
 
 
-def test_law_and_cut(grouped):
-    rows = shard(grouped).collect()
-    check_law(rows, grouped)
-    places = defaultdict(set)
-    sizes = Counter()
+def check_cut(rows):
+    """A group lies in neighbouring shards, fills those between, and no boundary cuts two groups."""
+    places, sizes = defaultdict(Counter), Counter()
     for r in rows:
-        key = (r["size"], r["text_crc32"])
-        places[key].add(r["shard"])
-        sizes[key] += 1
-    groups = {k: len(p) for k, p in places.items() if 1 < sizes[k] < 100}
-    # Labels at random would leave nearly every pair, and every group of ten, in several shards.
-    assert sum(n > 1 for n in groups.values()) <= 0.15 * len(groups)
-    assert max(len(p) for k, p in places.items() if sizes[k] == 400) <= 8
-
-
-def test_propagation_lowers_the_cut(grouped):
-    stored_nodes = nodes(grouped)
-    links = equal_text_links(stored_nodes)
+        places[r["size"], r["text_crc32"]][r["shard"]] += 1
+        sizes[r["shard"]] += 1
+    cut = Counter()
+    for found in places.values():
+        low, high = min(found), max(found)
+        assert all(found[k] == sizes[k] for k in range(low + 1, high))
+        cut.update(range(low, high))
+    assert max(cut.values(), default=0) <= 1
 
-    def cut(rounds):
-        labels = propagated(stored_nodes, links, rounds=rounds)
-        ends = links.join(labels.withColumnsRenamed({"row": "src", "label": "x"}), "src").join(
-            labels.withColumnsRenamed({"row": "dst", "label": "y"}), "dst"
-        )
-        loads = [r["n"] for r in labels.groupBy("label").count().withColumnRenamed("count", "n").collect()]
-        return ends.filter("x != y").count(), max(loads) / (sum(loads) / 8)
 
-    (before, _), (after, crowded) = cut(0), cut(6)
-    assert after < 0.7 * before
-    assert crowded < 1.5
+def test_law_and_cut(grouped):
+    rows = shard(grouped).collect()
+    check_law(rows, grouped)
+    check_cut(rows)
+
+
+def test_only_boundaries_cut_groups(spark, sf_dir):
+    rows = QUERIES["op9_sharding"](spark, sf_dir).collect()
+    check_law(rows, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    check_cut(rows)
+
+
+def plain_propagation(state, links, shards, rounds):
+    """The same moves with dictionaries: votes, exchanges and room for each two shards, groups in order."""
+    state, buckets = dict(state), max(1, (1 << 16) // shards**2)
+    quota = -(-sum(state.values()) // shards)
+    for _ in range(rounds):
+        loads, votes, total = Counter(), defaultdict(Counter), Counter()
+        for (group, label), n in state.items():
+            loads[label] += n
+            total[group] += n
+            votes[group][label] += n
+        own = {group: dict(found) for group, found in votes.items()}
+        for (src, dst), n in links.items():
+            for label, m in own[dst].items():
+                votes[src][label] += n * (m / total[dst])
+        asked = defaultdict(list)
+        for (group, label), n in state.items():
+            to = min(votes[group], key=lambda k: (-votes[group][k], k))
+            if to != label:
+                asked[label, to].append((group % buckets, group, n))
+        flow = {key: sum(n for *_, n in moves) for key, moves in asked.items()}
+        changed = False
+        for (at, to), moves in asked.items():
+            left = min(flow[at, to], flow.get((to, at), 0) + max(0, quota - loads[to]) // (shards - 1))
+            for _, group, n in sorted(moves):
+                go = min(n, left)
+                left -= go
+                changed |= go > 0
+                state[group, at] -= go
+                state[group, to] = state.get((group, to), 0) + go
+        state = {key: n for key, n in state.items() if n}
+        if not changed:
+            break
+    return state
+
+
+def as_dict(state):
+    return {(r["group"], r["label"]): r["n"] for r in state.collect()}
+
+
+@pytest.mark.parametrize("linked", [False, True])
+def test_propagation_is_the_plain_one(spark, files, grouped, linked):
+    stored_nodes = files(nodes(grouped), "nodes")
+    links = None
+    if linked:
+        pairs = [(1000 + i, 1300 - i) for i in range(1, 200, 3)] + [(0, 3000 + i) for i in range(150)]
+        links = files(group_links(stored_nodes, spark.createDataFrame(pairs, "a long, b long")), "links")
+    known = {} if links is None else {(r["src"], r["dst"]): r["n"] for r in links.collect()}
+    state = files(merged(stored_nodes), "merged")
+    for rounds in (0, 1, 4):
+        found = as_dict(propagated(state, links, rounds=rounds))
+        assert found == plain_propagation(as_dict(state), known, 8, rounds)
+
+
+def test_quotas_hold_and_the_cut_falls(spark, files, grouped):
+    state = files(merged(files(nodes(grouped), "nodes")), "merged")
+    quota = -(-1201 // 8)
+    before, after = as_dict(state), as_dict(propagated(state))
+
+    def loads(found):
+        out = Counter()
+        for (_, label), n in found.items():
+            out[label] += n
+        return out
+
+    def labels(found):
+        return len(found) - len({group for group, _ in found})
+
+    assert all(n <= max(quota, loads(before)[label]) for label, n in loads(after).items())
+    assert labels(after) < 0.6 * labels(before)
 
 
 def test_odd_documents(odd, crowded, none):
@@ -71,9 +137,19 @@ def test_odd_documents(odd, crowded, none):
     assert shard(none).count() == 0
 
 
-def test_given_links(grouped):
-    rows = nodes(grouped).filter("row % 2 = 0").selectExpr("row AS src", "row AS dst")
-    check_law(shard(grouped, links=rows, rounds=1).collect(), grouped)
+def test_given_links(spark, grouped):
+    """Chains of linked documents of different text end together more often than without links."""
+    pairs = [(3000 + i, 3001 + i) for i in range(200) if i % 10 != 9] + [(None, 3000), (3000, 3000), (5, 99999)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+
+    def apart(rows):
+        place = {r["doc_id"]: r["shard"] for r in rows}
+        return sum(place[a] != place[b] for a, b in pairs if a is not None and b in place)
+
+    plain, linked = (shard(grouped, links=given).collect() for given in (None, links))
+    check_law(linked, grouped)
+    check_cut(linked)
+    assert apart(linked) < 0.75 * apart(plain)
 
 
 def test_no_python_in_the_plan(spark, sf_dir):
