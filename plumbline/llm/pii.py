@@ -28,8 +28,22 @@ DISCLOSURE = 0.5
 # every word that stands once in the corpus would tell of the value it stands beside.
 BITS = 6.0
 SUPPORT = 2
-# Terms this certain are removed; others are generalised.
+# A term that goes with a value, or with the broader entity it belongs to, anywhere in a document is told too if chance
+# makes any such pair of the corpus with a probability of one in two to this power at most. Shares are smoothed by one
+# text of the entity's own share, so that a rare value needs more than one text.
+CHANCE_BITS = 7.0
+# Far from a value only words of this many letters are terms (two in scripts without spaces): shorter ones are mostly
+# particles, which a name beside the value can do without.
+FAR_LETTERS = 4
+SMOOTHING = 1.0
+# Terms this certain are removed; others are generalised to what they tell of.
 REMOVE_FROM = 0.9
+# The broader entity of a value, and the words that stand for a term that tells of either.
+BROADER = {"email": "domain", "ip": "network", "card": "issuer", "phone": "exchange"}
+GENERAL = {
+    "email": "[PERSON]", "phone": "[PERSON]", "card": "[ACCOUNT HOLDER]", "ip": "[MACHINE]",
+    "domain": "[ORGANISATION]", "network": "[NETWORK]", "issuer": "[BANK]", "exchange": "[PLACE]",
+}
 # Texts that may stand more than once are found by a screen of 2**SCREEN_BITS bits (4 MB) whatever the corpus.
 SCREEN_BITS = 25
 
@@ -113,13 +127,26 @@ def covered(spans: list[tuple[int, int, str]]) -> Callable[[int, int], bool]:
     return taken
 
 
-def _counts(word: str) -> bool:
+def _counts(word: str, letters: int = 3) -> bool:
     """Scripts from Thai on (CJK among them) are mostly written without spaces: two characters can be a name."""
-    return len(word) > 2 or word[0] >= "\u0e00"
+    return len(word) >= letters or word[0] >= "\u0e00"
 
 
-def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> Iterator[tuple[str, str, str, int, int]]:
-    """(value, context, term, start, end) of the words around each protected value, parts of values left out."""
+def broader(kind: str, value: str) -> str:
+    """The entity a value belongs to: an address's domain, the first three numbers, the issuer's digits, all but the last four digits."""
+    if kind == "email":
+        part = value.rsplit("@", 1)[1].lower()
+    elif kind == "ip":
+        part = value.rsplit(".", 1)[0]
+    else:
+        part = _digits(value)[:6] if kind == "card" else _digits(value)[:-4]
+    return f"{BROADER[kind]}:{part}"
+
+
+def surroundings(
+    text: str, spans: list[tuple[int, int, str]], reach: int = REACH
+) -> Iterator[tuple[str, str, str, list[re.Match]]]:
+    """(value, broader entity, context, the words near it) of each protected value, parts of values left out."""
     taken = covered(spans)
     for start, end, kind in spans:
         # Words are looked for near the value only: a window of characters that doubles until it holds enough.
@@ -140,9 +167,14 @@ def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -
                 break
         near = before[counted[-reach] if len(counted) >= reach else 0 :] + after
         near = [m for m in near if not taken(m.start(), m.end())]
-        value = f"{kind}:{text[start:end].lower()}"
         around = [m.group().lower() for m in near if _counts(m.group())] or [m.group().lower() for m in near]
         around = hashlib.md5(" ".join(around).encode()).hexdigest()
+        yield f"{kind}:{text[start:end].lower()}", broader(kind, text[start:end]), around, near
+
+
+def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> Iterator[tuple[str, str, str, int, int]]:
+    """(value, context, term, start, end) of the words around each protected value."""
+    for value, _, around, near in surroundings(text, spans, reach):
         for m in near:
             yield value, around, m.group().lower(), m.start(), m.end()
 
@@ -151,48 +183,55 @@ def joined_spans(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def _base(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    rows = []
-    for text in batch.column(0).to_pylist():
-        spans = base_spans(text or "")
-        rows.append([{"start": a, "end": b, "kind": k} for a, b, k in spans])
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
-    yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, kind)], names=[*batch.schema.names[1:], "base"])
-
-
 SPANS = "array<struct<start: bigint, end: bigint, kind: string>>"
+ENTITIES = "array<struct<value: string, broad: string, context: string>>"
+EVIDENCE = f"_id string, _body long, base {SPANS}, entities {ENTITIES}, near array<struct<value: string, context: string, term: string>>, words array<string>"
 
 
-def occurrences(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """Words near protected values: ``_id``, ``_body``, ``value``, ``context``, ``term``, ``start``, ``end``."""
+def evidence(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """Of each document with protected values: its key (``_id``, ``_body``), the ``base`` spans, the ``entities`` (value,
+    broader entity, context), the words ``near`` each value, and its different longer ``words`` outside of values.
+
+    The only pass that looks for values in all texts.
+    """
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
         for text, doc_id, body in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             spans = base_spans(text or "")
-            rows += [(doc_id, body, *found) for found in contexts(text, spans, reach)] if spans else []
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        names = ["_id", "_body", "value", "context", "term", "start", "end"]
+            if not spans:
+                continue
+            found = list(surroundings(text, spans, reach))
+            entities = {(value, broad, around) for value, broad, around, _ in found}
+            near = [{"value": v, "context": c, "term": m.group().lower()} for v, _, c, words in found for m in words]
+            taken = covered(spans)
+            words = {m.group().lower() for m in _WORD.finditer(text) if _counts(m.group(), FAR_LETTERS) and not taken(*m.span())}
+            rows.append(
+                (
+                    doc_id,
+                    body,
+                    [{"start": a, "end": b, "kind": k} for a, b, k in spans],
+                    [{"value": v, "broad": b, "context": c} for v, b, c in sorted(entities)],
+                    near,
+                    sorted(words),
+                )
+            )
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        text_fields = [pa.list_(pa.struct([(name, pa.string()) for name in names])) for names in (("value", "broad", "context"), ("value", "context", "term"))]
+        base = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
+        kinds = [pa.string(), pa.int64(), base, *text_fields, pa.list_(pa.string())]
+        names = ["_id", "_body", "base", "entities", "near", "words"]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    schema = "_id string, _body long, value string, context string, term string, start long, end long"
-    return map_batches(docs, ["text", *text_row_key()], run, schema)
-
-
-def holders(docs: DataFrame) -> DataFrame:
-    """``_id``, ``_body``, ``value``: the protected values of each document, with or without words near them."""
+    found = map_batches(docs, ["text", *text_row_key()], run, EVIDENCE)
+    # Repeated rows are one.
+    first = F.first(F.struct("base", "entities", "near", "words")).alias("found")
+    return found.groupBy("_id", "_body").agg(first).select("_id", "_body", "found.*")
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for text, doc_id, body in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            values = {f"{kind}:{text[start:end].lower()}" for start, end, kind in base_spans(text or "")}
-            rows += [(doc_id, body, value) for value in sorted(values)]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
-        kinds = [pa.string(), pa.int64(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["_id", "_body", "value"])
 
-    return map_batches(docs, ["text", *text_row_key()], run, "_id string, _body long, value string")
+def occurrences(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """Words near protected values: ``_id``, ``_body``, ``value``, ``context``, ``term``."""
+    return evidence(docs, reach).select("_id", "_body", F.inline("near"))
 
 
 def document_frequency(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -241,6 +280,7 @@ def disclosing_terms(
     disclosure: float = DISCLOSURE,
     bits: float = BITS,
     support: int = SUPPORT,
+    frequency: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """``value``, ``term``, ``p``, ``pmi``: terms that reveal a protected value.
 
@@ -252,15 +292,58 @@ def disclosing_terms(
     """
     pairs = near.groupBy("value", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("_body").alias("n"))
     values = near.groupBy("value").agg(F.count_distinct("_body").alias("of_value"))
-    frequency, total = document_frequency(docs)
+    frequency, total = document_frequency(docs) if frequency is None else frequency
     found = pairs.filter(F.col("contexts") >= support).join(values, "value").join(frequency, "term")
     p = F.least(F.col("n") / F.col("df"), F.lit(1.0))
     found = found.withColumn("p", p).withColumn("pmi", F.log2(p * total / F.col("of_value")))
     return found.filter((F.col("p") >= disclosure) & (F.col("pmi") >= bits)).select("value", "term", "p", "pmi")
 
 
+def disclosing_words(
+    found: DataFrame, frequency: DataFrame, total: int, disclosure: float = DISCLOSURE, support: int = SUPPORT, chance_bits: float = CHANCE_BITS
+) -> DataFrame:
+    """``entity``, ``term``, ``p``: words anywhere in a document that reveal a value of it, or the broader entity of one.
+
+    ``found`` is what :func:`evidence` gives. Texts are counted once, however
+    often they are copied. ``p`` is the share of the texts with the term that
+    hold the entity, smoothed towards the entity's share of all texts. A pair
+    counts only if chance is no explanation: the probability that so many of
+    the term's texts hold the entity by chance (a bound of the binomial tail by
+    relative entropy), times the number of pairs looked at. Texts with the
+    same context of the entity weigh as one in that bound, so copies of a
+    passage, and texts edited elsewhere, add nothing.
+    """
+    texts = stored(found.groupBy("_body").agg(F.first("entities").alias("entities"), F.first("words").alias("words")), "told-texts")
+    entity = F.explode(F.array("entity.value", "entity.broad")).alias("entity")
+    held = texts.select("_body", F.explode("entities").alias("entity")).select("_body", "entity.context", entity).distinct()
+    held = stored(held, "entities")
+    frequent = held.groupBy("entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("_body").alias("m"))
+    # An entity that is nearly everywhere is told by nothing.
+    held = held.join(frequent.filter((F.col("contexts") >= support) & (F.col("m") < total)).drop("contexts"), "entity")
+    most = held.groupBy("_body").agg(F.max("m").alias("most"))
+    # A term of which half the texts hold an entity of m texts is in twice as many at most; one text shows nothing.
+    bound = F.ceil(F.col("m") / disclosure)
+    words = texts.join(most, "_body").select("_body", "most", F.explode("words").alias("term"))
+    words = words.join(frequency.filter("df > 1"), "term").filter(F.col("df") <= F.ceil(F.col("most") / disclosure)).drop("most")
+    pairs = words.join(held, "_body").filter(F.col("df") <= bound).groupBy("entity", "term").agg(
+        F.count_distinct("_body").alias("n"), F.count_distinct("context").alias("contexts"), F.first("df").alias("df"), F.first("m").alias("m")
+    )
+    pairs = stored(pairs, "told-pairs")
+    looked_at = pairs.count()
+    base = F.col("m") / float(max(1, total))
+    share = F.least(F.col("n") / F.col("df"), F.lit(1.0))
+    away = F.when(share >= 1, F.lit(0.0)).otherwise((1 - share) * F.log2((1 - share) / (1 - base)))
+    surprise = F.col("df") * F.least(F.col("contexts") / F.col("n"), F.lit(1.0)) * (share * F.log2(share / base) + away)
+    p = (F.col("n") + SMOOTHING * base) / (F.col("df") + SMOOTHING)
+    sure = surprise >= F.log2(F.lit(float(max(1, looked_at)))) + chance_bits
+    return pairs.withColumn("p", p).filter((F.col("contexts") >= support) & (share > base) & (F.col("p") >= disclosure) & sure).select("entity", "term", "p")
+
+
+TERMS = "array<struct<start: bigint, end: bigint, p: double, about: string>>"
+
+
 def told_spans(docs: DataFrame, told: DataFrame) -> DataFrame:
-    """``_id``, ``_body``, ``terms``: all places of its terms in each document of ``told`` (``_id``, ``_body``, ``told``: term and ``p``).
+    """``_id``, ``_body``, ``terms``: all places of its terms in each document of ``told`` (``_id``, ``_body``, ``told``: term, ``p``, ``about``).
 
     Only these documents' texts move (and a few that a screen takes for them), equal rows as one.
     """
@@ -275,46 +358,65 @@ def told_spans(docs: DataFrame, told: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
         for text, told_here in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            share = {t["term"]: t["p"] for t in told_here}
+            share = {t["term"]: t for t in told_here}
             taken = covered(base_spans(text))
             words = ((m, share.get(m.group().lower())) for m in _WORD.finditer(text))
-            rows.append([{"start": m.start(), "end": m.end(), "p": p} for m, p in words if p is not None and not taken(*m.span())])
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
+            rows.append(
+                [
+                    {"start": m.start(), "end": m.end(), "p": told["p"], "about": told["about"]}
+                    for m, told in words
+                    if told is not None and not taken(*m.span())
+                ]
+            )
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64()), ("about", pa.string())]))
         yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(rows, kind)], names=["_id", "_body", "terms"])
 
-    schema = "_id string, _body long, terms array<struct<start: bigint, end: bigint, p: double>>"
+    schema = f"_id string, _body long, terms {TERMS}"
     return map_batches(texts, ["text", "_id", "_body", "told"], run, schema)
 
 
-def personal_spans(docs: DataFrame, carried: list[str | Column] | None = None, schema: str = "") -> DataFrame:
-    """``carried`` columns of each document, its ``base`` spans, and the ``terms`` spans (with ``p``) near them.
+def personal_spans(docs: DataFrame, carried: list[str | Column] | None = None) -> DataFrame:
+    """``carried`` columns of each document, its ``base`` spans, and the ``terms`` spans (with ``p``, and what they tell of).
 
     Base spans follow the patterns for email, ip, card and phone, leftmost and
-    non-overlapping for each kind. A word that corpus co-occurrence (within
-    ``REACH`` words) says to reveal a value is a term span wherever it stands in
-    a document that holds the value. Null is an empty text; rows that share a
-    ``doc_id`` are told apart by their text; equal rows get equal spans; an
-    empty table gives no rows.
+    non-overlapping for each kind. A word that corpus co-occurrence says to
+    reveal a value, near it (:func:`disclosing_terms`) or anywhere in the
+    document (:func:`disclosing_words`, also for the value's domain, network,
+    issuer or exchange), is a term span wherever it stands in a document that
+    holds the value. Null is an empty text, very long texts are read whole;
+    rows that share a ``doc_id`` are told apart by their text; equal rows get
+    equal spans; an empty table gives no rows.
     """
-    near = occurrences(docs)
-    told = holders(docs).join(disclosing_terms(docs, near), "value")
-    told = told.groupBy("_id", "_body", "term").agg(F.max("p").alias("p"))
-    told = stored(told.groupBy("_id", "_body").agg(F.collect_list(F.struct("term", "p")).alias("told")), "told-terms")
+    found = stored(evidence(docs), "evidence")
+    frequency, total = document_frequency(docs)
+    frequency = stored(frequency, "term-frequency")
+    near = found.select("_id", "_body", F.inline("near"))
+    told = disclosing_terms(docs, near, frequency=(frequency, total)).select(F.col("value").alias("entity"), "term", "p")
+    told = told.unionByName(disclosing_words(found, frequency, total))
+    told = stored(told.groupBy("entity", "term").agg(F.max("p").alias("p")), "disclosing-terms")
+    entity = F.explode(F.array_union(F.transform("entities", lambda e: e["value"]), F.transform("entities", lambda e: e["broad"])))
+    told = found.select("_id", "_body", entity.alias("entity")).join(told, "entity")
+    # What a term tells of most surely, a value before a broader entity.
+    about = F.max_by(F.substring_index("entity", ":", 1), F.struct("p", F.substring_index("entity", ":", 1).isin(*KINDS), "entity")).alias("about")
+    told = told.groupBy("_id", "_body", "term").agg(F.max("p").alias("p"), about)
+    told = stored(told.groupBy("_id", "_body").agg(F.collect_list(F.struct("term", "p", "about")).alias("told")), "told-terms")
+    spans = found.select("_id", "_body", "base").join(told_spans(docs, told), ["_id", "_body"], "left")
     carried = ["doc_id"] if carried is None else carried
-    schema = schema or "doc_id long"
-    base = map_batches(docs, ["text", *carried, *text_row_key()], _base, f"{schema}, _id string, _body long, base {SPANS}")
-    return base.join(told_spans(docs, told), ["_id", "_body"], "left").drop("_id", "_body")
+    keyed = docs.select(*carried, *text_row_key()).join(spans, ["_id", "_body"], "left")
+    none = F.array().cast(SPANS)
+    return keyed.withColumn("base", F.coalesce("base", none)).drop("_id", "_body")
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` with base values generalised to ``[KIND]``, revealing terms generalised or removed."""
-    spans = personal_spans(docs, ["doc_id", "text"], "doc_id long, text string")
+    """``doc_id`` and ``text`` with base values generalised to ``[KIND]``; revealing terms are removed or, if they are less
+    certain, generalised to what they tell of (``[PERSON]``, ``[ORGANISATION]``)."""
+    spans = personal_spans(docs, ["doc_id", "text"])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = []
         for text, base, terms in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
             marks = [(s["start"], s["end"], f"[{s['kind'].upper()}]") for s in base or ()]
-            marks += [(s["start"], s["end"], "" if s["p"] >= REMOVE_FROM else "[TERM]") for s in terms or ()]
+            marks += [(s["start"], s["end"], "" if s["p"] >= REMOVE_FROM else GENERAL[s["about"]]) for s in terms or ()]
             out, at = [], 0
             for start, end, sign in sorted(marks):
                 if end > at:
@@ -335,7 +437,7 @@ def digest(spans: DataFrame) -> DataFrame:
         entries = F.concat(
             F.transform(base, lambda s: F.struct(s["start"], F.array_position(ranks, s["kind"]), s["end"], s["kind"].alias("kind"))),
             F.transform(
-                F.coalesce(terms, F.array().cast("array<struct<start: bigint, end: bigint, p: double>>")),
+                F.coalesce(terms, F.array().cast(TERMS)),
                 lambda s: F.struct(s["start"], F.lit(len(KINDS) + 1).cast("bigint"), s["end"], F.lit(TERM).alias("kind")),
             ),
         )

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 
 import pytest
@@ -96,7 +97,7 @@ def telling(spark, files):
 
 
 def test_terms(telling):
-    spans = personal_spans(telling, ["doc_id", "text"], "doc_id long, text string").collect()
+    spans = personal_spans(telling, ["doc_id", "text"]).collect()
     told = {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["terms"] or ()] for r in spans}
     assert {i: t for i, t in told.items() if t} == {i: ["zorbaxian"] for i in range(12)}
     near = pii.occurrences(telling)
@@ -141,13 +142,91 @@ def test_every_place_of_a_told_term(spark, files):
     rows.append(document(10, " ".join(["q.w@mail.example", *words(200, 12), "zorbaxian"])))
     rows += [document(2000 + i, " ".join(words(100 + i, 20))) for i in range(1200)]
     docs = files(table(spark, rows))
-    spans = personal_spans(docs, ["doc_id", "text"], "doc_id long, text string").collect()
+    spans = personal_spans(docs, ["doc_id", "text"]).collect()
     told = {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["terms"]] for r in spans if r["terms"]}
     assert told == {**{i: ["zorbaxian", "王明", "Zorbaxian", "王明"] for i in range(4)}, 10: ["zorbaxian"]}
     texts = {r["doc_id"]: r["text"].lower() for r in sanitised(docs).collect()}
     assert not any("zorbaxian" in texts[i] for i in (0, 1, 2, 3, 10)) and "王明" not in texts[0]
 
 
+def lettered(number, stem):
+    return stem + "".join("bdfgklmnprstvz"[int(c)] + "aeiou"[int(c) % 5] for c in f"{number:03d}")
+
+
+@pytest.fixture()
+def planted(spark, files):
+    """Addresses in three texts each with a code word far from them, domains with a project word, and chance words everywhere.
+
+    A code word stands in no other text; a project word in all texts of its domain and some others. Every text has
+    chance words of a pool in which a word stands in two or three texts.
+    """
+    draw = random.Random(17)
+    rows, telling = [], set()
+    for person in range(40):
+        domain = person % 8
+        value, code, project = f"{lettered(person, 'u')}@{lettered(domain, 'd')}.example", lettered(person, "code"), lettered(domain, "project")
+        telling |= {(f"email:{value}", code), (f"domain:{lettered(domain, 'd')}.example", project)}
+        for _ in range(3):
+            text = words(len(rows), 30)
+            text[3:3] = [value]
+            text[16:16] = [code]
+            text[25:25] = [project]
+            rows.append(text)
+    for domain in range(8):
+        rows += [[*words(len(rows) + k, 20), lettered(domain, "project")] for k in range(5)]
+    rows += [words(5000 + k, 30) for k in range(1200)]
+    # One address in two texts that share a passage, and its copies: nothing is told by them.
+    passage = words(9999, 30)
+    rows += [[*passage, "solo@one.example", *passage[:8], lettered(k, "x")] for k in range(2)] * 3
+    for row in rows:
+        for _ in range(2):
+            row.insert(draw.randrange(len(row)), lettered(draw.randrange(999), "chance"))
+    return files(table(spark, [document(i, " ".join(row)) for i, row in enumerate(rows)], 4)), telling
+
+
+def told_pairs(docs):
+    frequency = pii.document_frequency(docs)
+    rows = pii.disclosing_words(pii.evidence(docs), *frequency).collect()
+    return {(r["entity"], r["term"]): r["p"] for r in rows}
+
+
+def test_planted_words_are_told_and_chance_is_not(planted):
+    docs, telling = planted
+    told = told_pairs(docs)
+    right = {pair for pair in told if pair in telling}
+    # A code word also tells of the domain of its one value, and a project word of it may.
+    beside = {(e, t) for e, t in told if e.startswith("domain:") and t.startswith("code")}
+    assert len(right) / len(telling) >= 0.9
+    assert len(right) / max(1, len(set(told) - beside)) >= 0.95
+    assert not any(t.startswith(("chance", "x")) or "solo@" in e for e, t in told)
+
+
+def test_terms_are_generalised_to_what_they_tell_of(planted):
+    docs, _ = planted
+    before = {r["doc_id"]: r["text"] for r in docs.collect()}
+    after = {r["doc_id"]: r["text"] for r in sanitised(docs).collect()}
+    first = [i for i, text in before.items() if lettered(0, "code") in text]
+    assert len(first) == 3
+    for i in first:
+        assert lettered(0, "code") not in after[i] and "[EMAIL]" in after[i]
+        assert lettered(0, "project") not in after[i] and "[ORGANISATION]" in after[i]
+    # Where no address of the domain stands, the word tells nothing.
+    alone = [i for i, text in before.items() if lettered(0, "project") in text and "@" not in text]
+    assert alone and all(lettered(0, "project") in after[i] for i in alone)
+
+
+def test_broader_entities():
+    assert pii.broader("email", "A.b@Mail.Example") == "domain:mail.example"
+    assert pii.broader("ip", "10.20.30.40") == "network:10.20.30"
+    assert pii.broader("card", "4111 1111-1111 1111") == "issuer:411111"
+    assert pii.broader("phone", "+49 30 1234567") == "exchange:4930123"
+
+
+def test_a_value_in_every_text_is_told_by_nothing(spark, files):
+    docs = files(table(spark, [document(i, " ".join([*words(i, 12), "a@b.example"])) for i in range(40)]))
+    assert told_pairs(docs) == {}
+
+
 def test_digest(telling):
     rows = [(r["doc_id"], r["text"]) for r in telling.collect()]
     result = digest(personal_spans(telling))
