@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.storage import shared_folder
+from plumbline.storage import delete_folder, shared_folder
 
 # White space as the contracts have it: space, and tab to carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -25,13 +27,47 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+# Folders of stored tables, by scope; those of no scope go when the driver's process ends.
+_SCOPES: list[list[str]] = [[]]
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage and survives lost executors."""
+    """``df`` written to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The table lives as long as the innermost :func:`temporary_tables`, or else as the driver's process.
+    """
     path = shared_folder(df.sparkSession, label)
+    _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables stored inside are deleted at the end, also after a failure; but for those that are taken off the list."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def outlives(path: str) -> None:
+    """From now on the folder belongs to the scope that is open here, or to the driver's process."""
+    _SCOPES[-1].append(path)
+
+
+@atexit.register
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        for path in _SCOPES[0]:
+            delete_folder(spark, path)
+
+
 def reach_workers(df: DataFrame) -> None:
     """Put this library on the path of the Python workers that are started from now on."""
     environment = df.sparkSession.sparkContext.environment
@@ -208,6 +244,37 @@ def in_screen(df: DataFrame, screen: np.ndarray, value: Column, bits: int) -> Co
     return inside(value)
 
 
+# A key is hot in a join if it has more rows than this and than one in HOT_SHARE of all; there are at most HOT_SHARE such keys.
+HOT_ROWS = 256
+HOT_SHARE = 2000
+MOST_SALTS = 256
+
+
+def joined_to_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str, salt: Column) -> DataFrame:
+    """``rows`` with the other columns of ``groups``, which has one row for each ``key`` and its number of rows as ``size``.
+
+    The counts are known, so hot keys are cut before the join: their rows by
+    a hash of ``salt``, and their group comes once for each salt. Null keys meet. ``groups`` should be stored: it is
+    asked for its largest keys first, of which a bounded number of hashes reaches the driver.
+    """
+    total, most = groups.agg(F.sum(size), F.max(size)).first()
+    least = max(HOT_ROWS, (total or 0) // HOT_SHARE)
+    others = [name for name in groups.columns if name not in key]
+    named = {name: f"_g_{name}" for name in groups.columns}
+    salts = 0 if (most or 0) <= least else min(MOST_SALTS, -(-most // least))
+    if salts:
+        hot = [r["hash"] for r in groups.filter(F.col(size) > least).select(F.xxhash64(*key).alias("hash")).collect()]
+        is_hot = F.xxhash64(*key).isin(hot)
+        rows = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(salt), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        groups = groups.withColumn("_salt", F.explode(every))
+        key, named = [*key, "_salt"], named | {"_salt": "_g__salt"}
+    right = groups.withColumnsRenamed(named)
+    same = [rows[name].eqNullSafe(right[named[name]]) for name in key]
+    joined = rows.join(right, same)
+    return joined.select(*[rows[name] for name in rows.columns if name != "_salt"], *[right[named[name]].alias(name) for name in others])
+
+
 # The screen of rows that are dropped, or repeated, is this many bits (as a power of two), whatever the data: 16 MB.
 ROW_SCREEN_BITS = 27
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.blocks import Forest, folded_in_blocks
-from plumbline.llm.common import map_in_arrow, stored
+from plumbline.llm.common import joined_to_groups, map_in_arrow, stored
 from plumbline.llm.graph import components
 
 THRESHOLD = 0.93
@@ -283,7 +283,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
         F.coalesce("component", "rep_id").alias("component_id"),
     )
-    members = good.join(distinct, ["label", "embedding"]).select("vec_id", "rep").join(found, "rep")
+    found = distinct.select("label", "embedding", "n", "rep").join(found, "rep").select("label", "embedding", "n", "n_links", "component_id")
+    members = joined_to_groups(good, stored(found, "classed"), ["label", "embedding"], "n", F.monotonically_increasing_id())
     members = members.select("vec_id", "n_links", "component_id")
     alone = vectors.filter(~can_link()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return members.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -10,7 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import binary_rows, keep_rows, map_batches, mixed, powers, row_key, stored, text_bytes, word_bounds
+from plumbline.llm.common import (
+    binary_rows,
+    joined_to_groups,
+    keep_rows,
+    map_batches,
+    mixed,
+    powers,
+    row_key,
+    stored,
+    text_bytes,
+    word_bounds,
+)
 
 # A chunk ends where the low bits of a hash of the last GEAR bytes are zero: after 2**CUT_BITS bytes on average.
 GEAR = 32
@@ -178,9 +189,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     table = recipes(docs)
     identity = ["recipe", "ranks"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    groups = table.groupBy(*identity).agg(first.alias("first"), F.count("*").alias("group_size"))
-    same = table["recipe"].eqNullSafe(groups["recipe"]) & table["ranks"].eqNullSafe(groups["ranks"])
-    joined = table.join(groups, same).select(table["*"], "first", "group_size")
+    groups = stored(table.groupBy(*identity).agg(first.alias("first"), F.count("*").alias("group_size")), "equal-texts")
+    joined = joined_to_groups(table, groups, identity, "group_size", F.col("row"))
     return joined.select(
         "doc_id",
         "_k",

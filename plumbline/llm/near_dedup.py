@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.blocks import pairs_in_blocks
 from plumbline.llm.common import (
+    joined_to_groups,
     keep_rows,
     map_batches,
     map_in_arrow,
@@ -371,13 +372,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     same = ["one", "two", "n"]
     # Equal texts have equal sketches, so the sketch takes no part in which row is first.
     ahead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "sketch", "_k", "_l")).alias("first")
-    groups = stored(prints.groupBy(*same).agg(ahead), "equal-texts")
+    groups = stored(prints.groupBy(*same).agg(ahead, F.count("*").alias("copies")), "equal-texts")
     sketched = groups.filter("n > 0").select(F.col("first.row").alias("row"), F.col("first.sketch").alias("sketch"), "n")
 
     buckets = sketched.select("row", F.explode("sketch").alias("key"))
-    first = buckets.groupBy("key").agg(F.min("row").alias("b"), F.count("*").alias("size")).filter("size > 1").drop("size")
+    first = buckets.groupBy("key").agg(F.min("row").alias("b"), F.count("*").alias("size")).filter("size > 1")
     first = stored(first, "buckets")
-    stars = buckets.join(first, "key").filter("row != b").select(F.col("row").alias("a"), "b").distinct()
+    stars = joined_to_groups(buckets, first, ["key"], "size", F.col("row")).filter("row != b").select(F.col("row").alias("a"), "b").distinct()
     stars = stored(stars, "star-pairs")
     wanted = groups.select("first.row", "first._k", "first._l")
     wanted = wanted.join(stars.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "row")
@@ -385,7 +386,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = stored(verified(stars, sequences, similarity), "star-links")
     classes = stored(components(links).withColumnsRenamed({"node": "row"}), "classes")
 
-    members = buckets.join(first.select("key"), "key").join(classes, "row", "left")
+    members = joined_to_groups(buckets, first, ["key"], "size", F.col("row")).select("row", "key").join(classes, "row", "left")
     members = members.withColumn("component", F.coalesce("component", "row"))
     split = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
     rest = members.join(split.select("key"), "key", "left_semi")
@@ -402,11 +403,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         classes = classes.unionByName(lone).join(above, "component", "left")
         classes = stored(classes.select("row", F.coalesce("above", "component").alias("component")), "classes")
 
-    heads = groups.select(*same, F.col("first.row").alias("row"), F.struct("first.none", "first.doc_id", "first.row").alias("first"))
+    heads = groups.select(*same, "copies", F.col("first.row").alias("row"), F.struct("first.none", "first.doc_id", "first.row").alias("first"))
     classed = heads.join(classes, "row", "left").withColumn("component", F.coalesce("component", "row"))
     lowest = classed.groupBy("component").agg(F.min("first").alias("lead"))
-    classed = classed.join(lowest, "component").select(*same, "lead")
-    return prints.join(classed, same).select(
+    classed = stored(classed.join(lowest, "component").select(*same, "copies", "lead"), "classed")
+    return joined_to_groups(prints, classed, same, "copies", F.col("row")).select(
         "doc_id", "_k", "_l", F.col("lead.doc_id").alias("class_id"), (F.col("row") == F.col("lead.row")).alias("kept")
     )
 

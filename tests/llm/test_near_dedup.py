@@ -56,9 +56,10 @@ def test_very_long_reordered_texts():
     """Halves swapped, every shingle common: what the band does not decide, the bits do, in seconds."""
     a = np.random.default_rng(2).permutation(200_000)
     swapped = np.concatenate([a[100_000:], a[:100_000]])
-    moved = np.concatenate([a[5_000:], a[:5_000]])
+    few = a[:40_000]
+    moved = np.concatenate([few[1_000:], few[:1_000]])
     began = time.process_time()
-    assert similar([a, a, a], [swapped, moved, a]).tolist() == [False, True, True]
+    assert similar([a, few, a], [swapped, moved, a]).tolist() == [False, True, True]
     assert time.process_time() - began < 60
     # Few symbols, each at very many places.
     a = np.random.default_rng(3).integers(0, 3, 3000)

@@ -3,6 +3,7 @@
 import itertools
 import re
 import zlib
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from helpers import ODD, document, table
-from plumbline.llm.common import stored
+from plumbline.llm.common import stored, temporary_tables
 from plumbline.llm.language_id import Network, with_predicted_language
 from plumbline.llm.queries import ORACLES, QUERIES
 from test_near_dedup import classes
@@ -175,5 +176,23 @@ def test_repeated_rows_with_other_columns(spark, files):
     assert sorted(r["doc_id"] for r in mixed_documents(docs, mixture(), fraction=3.0).collect()) == [7] * 120 + [8] * 3
 
 
-def test_run(spark, sf_dir):
-    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+def test_run_leaves_nothing_behind(spark, sf_dir, monkeypatch):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    folder.mkdir(parents=True, exist_ok=True)
+    before = {path.name for path in folder.iterdir()}
+
+    def left():
+        return [path.name.split("-")[1] for path in folder.iterdir() if path.name not in before]
+
+    with temporary_tables(spark):
+        assert corpus_pipeline.run(spark, sf_dir).count() > 0
+        assert left() == ["mixing"]
+    assert not left()
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:1], ("exact_dedup", fails), *corpus_pipeline.STAGES[2:]])
+    with pytest.raises(RuntimeError, match="lost"):
+        corpus_pipeline.run(spark, sf_dir)
+    assert not left()
