@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm.common import stored
+from plumbline.llm.common import outlives, stored, temporary_tables
 from plumbline.llm.exact_dedup import without_duplicates
 from plumbline.llm.language_id import fit, held_out, with_predicted_language
 from plumbline.llm.mixing import mixed_documents
@@ -73,9 +73,17 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over ``documents``; each result is stored before the next stage reads it.
 
-    An empty table gives no rows in any stage.
+    A stage's own tables, and the result it read, are deleted when its result
+    is stored, or when it fails. The result that the last stage reads lives as
+    long as a surrounding :func:`plumbline.llm.common.temporary_tables`, or else
+    as the driver's process. An empty table gives no rows in any stage.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, copy = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        with temporary_tables(spark) as tables:
+            if copy is not None:
+                tables.append(copy)
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+            copy = tables.pop()
+    outlives(copy)
     return STAGES[-1][1](spark, docs, sf_dir)
