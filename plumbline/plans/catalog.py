@@ -173,7 +173,8 @@ def stage_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stage_report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
-        stage_reports(spark, sf_dir).write.parquet(path)
+        # Several files, so that reading them is not one task.
+        stage_reports(spark, sf_dir).write.option("maxRecordsPerFile", 10_000).parquet(path)
 
     return parse_stage_report(spark.read.parquet(_once(spark, sf_dir, "stage-reports", write)))
 

@@ -123,6 +123,7 @@ WHERE timestamp >= '2024-01-30T00:00:00'""",
     )
     + ") WHERE null_count > 0",
     "type_check": f"WITH {_REVIEWS} SELECT {_COLUMNS} FROM reviews WHERE ({_int('rating')}) IS NULL",
+    # The names, codes and messages of the checks.
     "quality_report": f"""WITH {_PROFILE}
 SELECT 'duplicate_check' AS "check", n_groups = 0 AS status,
   CAST(CASE WHEN n_groups > 0 THEN 409 ELSE 200 END AS INTEGER) AS code,
