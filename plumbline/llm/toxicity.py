@@ -10,17 +10,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import map_batches, stored
+from plumbline.llm.common import map_batches, stored, word_bounds
 
 # Grams are of this many bytes; with 8 bytes at most, one is a number and its count exact.
 ORDER = 5
 DISCOUNT = 0.75
-# Likelihoods are compared over the whole text and over its passages of this many bytes.
+# Likelihoods are compared over the whole text, over its passages of this many bytes, and over its words, of which the
+# so many most toxic count: a single rare expression vanishes in a mean.
 PASSAGE = 24
+TOP_WORDS = 3
+FEATURES = 2 + 2 * TOP_WORDS
 # Bound of the sample that sets the threshold: about this many rows of each label.
 CALIBRATION_ROWS = 3000
 
 _SPREAD = 0x9E3779B97F4A7C15
+# All of ASCII but small letters (texts are lower-case).
+_NO_LETTER = np.ones(256, dtype=bool)
+_NO_LETTER[0x61:0x7B] = _NO_LETTER[0x80:] = False
 
 
 def framed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -178,8 +184,8 @@ class Model:
     # The gram, and the context, of each place.
     seen_keys: np.ndarray | None = None
     new_keys: np.ndarray | None = None
-    # Of the mean log ratio over the text, over its best passage, and the constant.
-    weights: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -30.0]))
+    # Of the features, and the constant.
+    weights: np.ndarray = field(default_factory=lambda: np.array([*[0.0] * FEATURES, -30.0]))
 
     def __getstate__(self) -> dict:
         """Travels as the places that are filled, at most as much as the tables themselves."""
@@ -206,10 +212,11 @@ class Model:
                     setattr(self, f"{name}_keys", key_of)
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """For each text its mean log ratio a byte, and that of its most toxic passage."""
+        """For each text its mean log ratio a byte, that of its most toxic passage, and the log ratios of its most toxic
+        words, once whole and once a byte (0 where there are fewer words)."""
         body, offsets = framed(column)
         values, inside = grams(body, offsets, self.order)
-        out = np.zeros((len(column), 2))
+        out = np.zeros((len(column), FEATURES))
         if self.seen is None or not len(values):
             return out
         ratio = look_up(values, self.seen, self.seen_keys)
@@ -227,13 +234,30 @@ class Model:
         ends = np.repeat(offsets[1:], lengths)
         passages = np.where(reach <= ends, padded[PASSAGE : PASSAGE + len(body)], last) - sums[:-1]
         out[:, 1] = np.maximum.reduceat(passages, offsets[:-1]) / PASSAGE
+        begins, ends, first_word = word_bounds(body, offsets, _NO_LETTER)
+        if len(begins):
+            # The grams that end in a word or right after it.
+            totals = sums[np.maximum(0, ends + 2 - self.order)] - sums[np.maximum(0, begins + 1 - self.order)]
+            text = np.repeat(np.arange(len(column)), np.diff(first_word))
+            out[:, 2 : 2 + TOP_WORDS] = _largest(totals, text, first_word)
+            out[:, 2 + TOP_WORDS :] = _largest(totals / (ends - begins + 1), text, first_word)
         return out
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        x = self.features(column) @ self.weights[:2] + self.weights[2]
+        x = self.features(column) @ self.weights[:-1] + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _largest(values: np.ndarray, text: np.ndarray, first: np.ndarray, count: int = TOP_WORDS) -> np.ndarray:
+    """The largest values of each text, in falling order; 0 where it has fewer."""
+    order = np.lexsort((-values, text))
+    out = np.zeros((len(first) - 1, count))
+    for place in range(count):
+        some = np.flatnonzero(np.diff(first) > place)
+        out[some, place] = values[order[first[some] + place]]
+    return out
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-3) -> np.ndarray:
     """Weights and constant of a logistic regression (Newton steps)."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -288,16 +312,16 @@ def fit(docs: DataFrame, labels: DataFrame, part: Column, order: int = ORDER) ->
 
     def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = shared.value.features(batch.column(0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found[:, 0]), pa.array(found[:, 1]), batch.column(1)], names=["whole", "passage", "toxic"]
-        )
+        lists = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * FEATURES, found.ravel())
+        yield pa.RecordBatch.from_arrays([lists, batch.column(1)], names=["features", "toxic"])
 
-    rows = map_batches(sample, ["text", F.col("toxic").cast("int")], measure, "whole double, passage double, toxic int").toArrow()
+    rows = map_batches(sample, ["text", F.col("toxic").cast("int")], measure, "features array<double>, toxic int").toArrow()
     y = rows["toxic"].to_numpy()
     if len(set(y.tolist())) == 2:
-        order_of = np.lexsort((rows["passage"].to_numpy(), rows["whole"].to_numpy(), y))
-        x = np.column_stack([rows["whole"].to_numpy(), rows["passage"].to_numpy()])[order_of]
-        model.weights = _logistic(x, y[order_of])
+        x = rows["features"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
+        # Sums depend on the order of the rows; theirs is that of their values.
+        order_of = np.lexsort((*x.T, y))
+        model.weights = _logistic(x[order_of], y[order_of])
     return model
 
 
@@ -305,7 +329,7 @@ def score(docs: DataFrame, model: Model, carried: list[str | Column] | None = No
     """``carried`` columns of each document with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
 
     The score compares the two models' log-likelihoods a byte, over the whole
-    text and over its most toxic passage. Null and empty texts are scored as a
+    text, over its most toxic passage and over its most toxic words. Null and empty texts are scored as a
     text without grams; equal texts get equal scores; an empty table gives no
     rows. Very long texts are scored whole.
     """

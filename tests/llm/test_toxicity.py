@@ -1,6 +1,7 @@
 """Kneser-Ney models against a plain computation; held-out accuracy."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -78,6 +79,27 @@ def test_features_do_not_depend_on_neighbours():
         assert model.features(pa.array([text], pa.string()))[0] == pytest.approx(together[i], abs=1e-9)
 
 
+def test_word_features_are_the_plain_sums():
+    draw = np.random.default_rng(5)
+    text = "the worst réeux-word, a12b und x"
+    body = f"\0{text}\0".encode()
+    keys = np.array([int.from_bytes(body[i : i + 5], "big") for i in range(len(body) - 4)], np.uint64)
+    ratios = dict(zip(keys.tolist(), draw.normal(size=len(keys)).astype(np.float32).tolist(), strict=True))
+    seen, seen_keys = toxicity.keyed(np.array(list(ratios), np.uint64), np.array(list(ratios.values())))
+    new, new_keys = toxicity.keyed(np.zeros(0, np.uint64), np.zeros(0))
+    model = Model(5, 4, seen, new, seen_keys, new_keys)
+    whole, share = [], []
+    for found in re.finditer(rb"[a-z\x80-\xff]+", body):
+        # A gram belongs to the byte it ends with.
+        ends = range(max(4, found.start()), found.end() + 1)
+        total = sum(ratios[int.from_bytes(body[i - 4 : i + 1], "big")] for i in ends)
+        whole.append(total)
+        share.append(total / (found.end() - found.start() + 1))
+    expected = [*sorted(whole)[:-4:-1], *sorted(share)[:-4:-1]]
+    assert model.features(pa.array([text, "12", None]))[0, 2:] == pytest.approx(expected, abs=1e-5)
+    assert not model.features(pa.array([text, "12", None]))[1:, 2:].any()
+
+
 def test_each_gram_has_its_own_ratio():
     """However full the table; what is not in it is missing, also where other grams have its place."""
     draw = np.random.default_rng(2)
