@@ -162,8 +162,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, screen_bits: int = SCRE
     somewhere else, in the same document or another, copies of the whole text
     included; ``intervals`` are the maximal stretches removed (first word, word
     after the last). ``kept`` joins the other words by one space. Windows are
-    judged on the input. Texts shorter than a window lose nothing; null is a
-    text without words. Rows with one ``doc_id`` are told apart by their text,
+    judged on the input. Texts shorter than a window lose nothing, very long
+    ones are read whole; null is a text without words. Rows with one ``doc_id`` are told apart by their text,
     a null ``doc_id`` is a value like others, further columns are ignored, and
     an empty table gives no rows.
     """
