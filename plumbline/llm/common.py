@@ -279,6 +279,11 @@ def joined_to_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: s
 ROW_SCREEN_BITS = 27
 
 
+def row_order(docs: DataFrame) -> Column:
+    """A hash of all columns of a ``document``, by which one of several rows with a key is chosen (maps take no part)."""
+    return F.xxhash64(*[F.col("document").getField(f.name) for f in docs.schema if "map" not in f.dataType.simpleString()])
+
+
 def one_of_each(docs: DataFrame, keys: DataFrame, screen_bits: int = ROW_SCREEN_BITS) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` whose key may be in ``keys`` (``_k``, ``_l``), one for each key, and all other rows.
 
@@ -288,8 +293,7 @@ def one_of_each(docs: DataFrame, keys: DataFrame, screen_bits: int = ROW_SCREEN_
     """
     keyed = docs.select(whole_row(docs), *row_key())
     seen = in_screen(docs, screen_of(keys, "_k", screen_bits), F.col("_k"), screen_bits)
-    plain = [F.col("document").getField(f.name) for f in docs.schema if "map" not in f.dataType.simpleString()]
-    few = keyed.filter(seen).groupBy("_k", "_l").agg(F.min_by("document", F.xxhash64(*plain)).alias("document"))
+    few = keyed.filter(seen).groupBy("_k", "_l").agg(F.min_by("document", row_order(docs)).alias("document"))
     return few.select("document", "_k", "_l"), keyed.filter(~seen)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import one_of_each, row_key, stored, whole_row
+from plumbline.llm.common import joined_to_groups, row_key, row_order, stored, whole_row
 
 # A leaf is repeated at most this often.
 MAX_EPOCHS = 3
@@ -150,11 +150,14 @@ def mixed_documents(docs: DataFrame, levels: Sequence[Level], **settings) -> Dat
     chosen = stored(chosen.filter("times > 0"), "chosen")
     again = F.explode(F.sequence(F.lit(1), "times"))
     keys = ["_k", "_l"]
-    single = docs.select(whole_row(docs), *row_key()).join(chosen.filter("n = 1"), keys)
-    taken = single.select("document", again)
+    keyed = docs.select(whole_row(docs), *row_key())
+    taken = keyed.join(chosen.filter("n = 1"), keys).select("document", again)
     repeated = chosen.filter("n > 1")
     if not repeated.isEmpty():
-        taken = taken.unionByName(one_of_each(docs, repeated)[0].join(repeated, keys).select("document", again))
+        # Very many rows of one key are cut before the join, and one of each task's goes on.
+        rows = joined_to_groups(keyed, repeated, keys, "n", F.monotonically_increasing_id())
+        rows = rows.groupBy(*keys).agg(F.min_by("document", row_order(docs)).alias("document"), F.max("times").alias("times"))
+        taken = taken.unionByName(rows.select("document", again))
     return taken.select("document.*")
 
 
