@@ -5,12 +5,13 @@ from __future__ import annotations
 import atexit
 import os
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -62,9 +63,10 @@ def outlives(path: str) -> None:
 
 @atexit.register
 def _at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext._jsc is not None:
-        for path in _SCOPES[0]:
+    # Where the session has ended before, its folders are left to the checkpoint folder's own housekeeping.
+    with suppress(Py4JError, Py4JNetworkError, AttributeError):
+        spark = SparkSession.getActiveSession()
+        for path in _SCOPES[0] if spark is not None else ():
             delete_folder(spark, path)
 
 
