@@ -10,6 +10,8 @@ from plumbline.llm.common import stored
 
 SHARDS = 8
 ROUNDS = 6
+# Links that a linked group looks along for the one it begins with.
+GATHER_STEPS = 4
 # Ranks are counted by so many bits of the hashes of groups, and of the rows within a group.
 GROUP_BITS = 12
 ROW_BITS = 12
@@ -89,19 +91,68 @@ def _loads(state: DataFrame) -> dict[int, int]:
     return {r["label"]: r["n"] for r in state.groupBy("label").agg(F.sum("n").alias("n")).collect()}
 
 
+def _ahead(table: DataFrame, key: str) -> DataFrame:
+    """With ``ahead``: the sum of ``n`` of all rows before one, in the order of buckets of ``key``, then of ``key``."""
+    table = table.withColumn("bucket", F.pmod(key, F.lit(ADMISSION_BUCKETS)).cast("int"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = table.groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = sums.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    table = table.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return table.join(sums, "bucket").withColumn("ahead", F.col("before") + F.col("inside")).drop("bucket", "before", "inside")
+
+
+def gathered(state: DataFrame, links: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """``group``, ``label``, ``n``: as ``state``, but groups that links bring near begin together.
+
+    A group's leader is the smallest one within ``GATHER_STEPS`` links. Groups of
+    one leader are one node, of the sum of their rows, and nodes are dealt to the shards by
+    prefix sums of their sizes. Nodes larger than a quarter of a shard, around hubs, are
+    left as they begin: the rounds draw on them under quotas.
+    """
+    least = -(-(state.agg(F.sum("n")).first()[0] or 0) // (4 * shards))
+    led = state.groupBy("group").agg(F.sum("n").alias("n")).join(links.select(F.col("src").alias("group")), "group", "left_semi")
+    led = led.withColumn("leader", F.col("group"))
+    for _ in range(GATHER_STEPS):
+        near = links.join(led.select(F.col("group").alias("dst"), "leader"), "dst")
+        near = near.groupBy(F.col("src").alias("group")).agg(F.min("leader").alias("near"))
+        led = stored(led.join(near, "group", "left").select("group", "n", F.least("leader", "near").alias("leader")), "led")
+    clusters = stored(led.groupBy("leader").agg(F.sum("n").alias("n")).filter(F.col("n") <= least), "clusters")
+    total = clusters.agg(F.sum("n")).first()[0] or 1
+    label = F.expr(f"CAST(ahead * {shards} DIV {total} AS INT)").alias("label")
+    begin = stored(led.join(_ahead(clusters, "leader").select("leader", label), "leader").select("group", "label", "n"), "gathered")
+    return state.join(begin, "group", "left_anti").unionByName(begin)
+
+
+def filled(free: DataFrame, loads: dict[int, int], quota: int, shards: int) -> DataFrame:
+    """``group``, ``label``, ``n``: single rows that nothing draws, put where the others leave room below ``quota``.
+
+    In the order of their groups, found from prefix sums over buckets, they fill one shard after the other.
+    """
+    ends, end = [], 0
+    for k in range(shards - 1):
+        end += max(0, quota - loads.get(k, 0))
+        ends.append(F.lit(end).cast("long"))
+    full = F.size(F.filter(F.array(*ends).cast("array<bigint>"), lambda e: e <= F.col("ahead")))
+    return _ahead(free, "group").select("group", full.cast("int").alias("label"), "n")
+
+
 def propagated(state: DataFrame, links: DataFrame | None = None, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """``group``, ``label``, ``n`` after ``rounds`` of moves towards the shard where most neighbours are.
 
     Nodes are the rows of a group under one label, so a group of very many
     copies is at most ``shards`` rows here. Groups that nothing draws anywhere are
-    left out of the rounds and count in the quotas only.
+    left out of the rounds; those of several rows keep their label and count in the
+    quotas, single rows fill in the end what the others leave (:func:`filled`).
     """
-    loads = _loads(state)
-    quota = -(-sum(loads.values()) // shards)
+    quota = -(-sum(_loads(state).values()) // shards)
     drawn = state.groupBy("group").agg(F.count("*").alias("labels")).filter("labels > 1").select("group")
     if links is not None:
         drawn = drawn.union(links.select("src")).distinct()
     moving = stored(state.join(drawn, "group", "left_semi"), "moving")
+    still = state.join(drawn, "group", "left_anti")
+    staying = still.filter("n > 1")
+    loads = _loads(staying.unionByName(moving))
     for _ in range(rounds):
         moves = stored(admitted(stored(wants(moving, links), "wants"), loads, quota, shards), "moves")
         if moves.isEmpty():
@@ -113,7 +164,7 @@ def propagated(state: DataFrame, links: DataFrame | None = None, shards: int = S
             loads[label] = loads.get(label, 0) + n
         moving = moving.unionByName(changes).groupBy("group", "label").agg(F.sum("n").alias("n")).filter("n > 0")
         moving = stored(moving, "moving")
-    return state.join(drawn, "group", "left_anti").unionByName(moving)
+    return staying.unionByName(moving).unionByName(filled(still.filter("n = 1"), loads, quota, shards))
 
 
 def ranked(table: DataFrame, labels: DataFrame) -> DataFrame:
@@ -144,8 +195,8 @@ def shard(docs: DataFrame, links: DataFrame | None = None, shards: int = SHARDS,
 
     The law is ``rows``: shard sizes differ by one row at most. Documents of
     equal text are linked, and so are those that ``links`` (``a``, ``b``:
-    ``doc_id``) names. Label propagation draws them together under quotas; a
-    group of equal texts that ends under several labels takes the one of most of
+    ``doc_id``) names; the latter begin together in nodes of near ones. Label
+    propagation draws them together under quotas; a group of equal texts that ends under several labels takes the one of most of
     its rows. The labels' order, and within a label the groups, then put every
     row at a rank, and shards are equal stretches of ranks: a group is cut only
     where a stretch ends, and one larger than a shard has to be.
@@ -156,7 +207,10 @@ def shard(docs: DataFrame, links: DataFrame | None = None, shards: int = SHARDS,
     """
     table = stored(nodes(docs), "nodes")
     between = None if links is None else stored(group_links(table, links), "links")
-    state = propagated(stored(merged(table, shards), "merged"), between, shards, rounds)
+    state = stored(merged(table, shards), "merged")
+    if between is not None:
+        state = stored(gathered(state, between, shards), "begin")
+    state = propagated(state, between, shards, rounds)
     labels = state.groupBy("group").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("label"))
     total = table.count()
     placed = ranked(table, labels)
