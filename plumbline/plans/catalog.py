@@ -33,7 +33,7 @@ from plumbline.schema import COLUMNS, TARGET
 from plumbline.sinks import append_failure, append_success, land, read_run_log
 from plumbline.sources import Collection, day_mark, load_collection, read_landed, since
 from plumbline.sources.review_events import review_documents
-from plumbline.storage import shared_folder
+from plumbline.storage import shared_folder, store
 
 APP = "app-x"
 MARK = "2024-01-30T00:00:00"
@@ -54,7 +54,7 @@ def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
 
 
 def review_collection(spark: SparkSession, sf_dir: str) -> Collection:
-    path = _once(spark, sf_dir, "reviews", lambda p: review_documents(spark, sf_dir).write.parquet(p))
+    path = _once(spark, sf_dir, "reviews", lambda p: store(review_documents(spark, sf_dir), p))
     return Collection(APP, options={"path": path})
 
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# A text that many rows hold is written once per row group, not once per row. The default of 1 MB holds a few hundred
+# long texts; a column without repeats leaves its dictionary after the first page, whatever the limit.
+REPEATED_TEXT = {"parquet.dictionary.page.size": str(16 << 20)}
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -42,3 +46,8 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="plumbline-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, path: str) -> None:
+    """Write a table of :func:`shared_folder`: repeated texts once, the rest packed well."""
+    df.write.mode("overwrite").options(compression="zstd", **REPEATED_TEXT).parquet(path)
