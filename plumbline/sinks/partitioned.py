@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from plumbline.operators.conform import conform
 from plumbline.schema import PARTITION_COLUMN
+from plumbline.storage import REPEATED_TEXT
 
 
 def land(
@@ -37,7 +38,7 @@ def land(
         observed.withColumn(partition_column, F.lit(load_date))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression)
+        .options(compression=compression, **REPEATED_TEXT)
         .partitionBy(partition_column)
         .parquet(path)
     )
