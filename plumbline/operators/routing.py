@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -35,6 +36,8 @@ _SALTS = "_salts"
 _SHARED = "_shared"
 _WORD = "_word"
 _BITS = "_bits"
+_OTHERS = "_others"
+_DISPUTED = "_disputed"
 
 
 def valid_records(records: DataFrame) -> DataFrame:
@@ -63,9 +66,9 @@ def _salts_per_slot(groups: DataFrame, hot_rows: int) -> DataFrame:
 
 
 def _salted(
-    records: DataFrame, groups: DataFrame, hot_rows: int, strategy: str | None
+    records: DataFrame, groups: DataFrame, hot_rows: int, strategy: str | None, columns: Sequence[str] = COLUMNS
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows and group keys, both with the salt they are to be joined on.
+    """Rows (``columns`` of them) and group keys, both with the salt they are to be joined on.
 
     Both sides look the number of salts up by key hash, so keys on one place
     cost a few repeated groups and never a row. A row's salt comes from its id
@@ -76,7 +79,7 @@ def _salted(
     groups = groups.filter(_keyed())
     salts = F.broadcast(_salts_per_slot(groups, hot_rows))
 
-    rows = records.select(*COLUMNS, _slot()).join(salts, _SLOT, "left")
+    rows = records.select(*columns, _slot()).join(salts, _SLOT, "left")
     choices = F.when(_keyed(), F.coalesce(_SALTS, F.lit(1))).otherwise(F.lit(LOOSE_SALTS))
     rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.spark_partition_id(), F.col("id")), choices).cast("int"))
 
@@ -86,22 +89,58 @@ def _salted(
     return rows.drop(_SLOT, _SALTS), keys.hint(strategy) if strategy else keys
 
 
+def _place() -> tuple[Column, Column]:
+    """Where a key stands on the screen: the number of its word, and its bit there."""
+    slot = F.shiftrightunsigned(F.xxhash64(*DUPLICATE_KEY), 64 - SCREEN_BITS)
+    return F.shiftright(slot, 6), slot.bitwiseAND(63).cast("int")
+
+
+def _mask(when: Column) -> Column:
+    """The bits of one word of the screen, of the rows where ``when`` holds."""
+    return F.bit_or(F.when(when, F.call_function("shiftleft", F.lit(1).cast("bigint"), _place()[1])))
+
+
+def _on(name: str) -> Column:
+    """True where the bit of the row's key is set in its word, never NULL."""
+    return F.coalesce(F.bit_get(name, _place()[1]) == 1, F.lit(False))
+
+
 def _screened(records: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows with a NULL, and rows that may share their key: all that do, and a few that do not.
 
     The share of other rows that slip through is at most the number of groups
     over ``2**SCREEN_BITS``; the join that follows sorts them out.
     """
-    slot = F.shiftrightunsigned(F.xxhash64(*DUPLICATE_KEY), 64 - SCREEN_BITS)
-    word, bit = F.shiftright(slot, 6).alias(_WORD), slot.bitwiseAND(63).cast("int")
-    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias(_BITS)
-    words = groups.filter(_keyed()).groupBy(word).agg(bits)
+    word = _place()[0].alias(_WORD)
+    words = groups.filter(_keyed()).groupBy(word).agg(_mask(F.lit(True)).alias(_BITS))
     looked_up = records.select(*COLUMNS, word).join(F.broadcast(words), _WORD, "left")
-    return looked_up.filter(has_null() | (F.bit_get(_BITS, bit) == 1)).select(*COLUMNS)
+    return looked_up.filter(has_null() | _on(_BITS)).select(*COLUMNS)
+
+
+def _told(records: DataFrame, groups: DataFrame, hot_rows: int, strategy: str | None) -> DataFrame:
+    """Every row, with what a screen says of it: ``_SHARED`` and ``_DISPUTED``, never both.
+
+    Keys alone are joined with the groups. The screen, a table of fixed size,
+    has two bits for each place: one if keys that match fall on it, one if others
+    do. Rows on a place of matching keys only share their key; rows on a place
+    with both bits are disputed, and all others are alone with their key.
+    """
+    word = _place()[0].alias(_WORD)
+    rows, keys = _salted(records.filter(_keyed()), groups, hot_rows, strategy, [*DUPLICATE_KEY, "id"])
+    matched = rows.join(keys.withColumn(_SHARED, F.lit(True)), [*DUPLICATE_KEY, _SALT], "left")
+    shared = F.col(_SHARED).isNotNull()
+    screen = matched.groupBy(word).agg(_mask(shared).alias(_BITS), _mask(~shared).alias(_OTHERS))
+    looked_up = records.select(*COLUMNS, word).join(F.broadcast(screen), _WORD, "left")
+    said = {_SHARED: _keyed() & _on(_BITS) & ~_on(_OTHERS), _DISPUTED: _keyed() & _on(_BITS) & _on(_OTHERS)}
+    return looked_up.withColumns(said).select(*COLUMNS, *said)
 
 
 def duplicate_rows(
-    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, strategy: str | None = None
+    records: DataFrame,
+    groups: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    strategy: str | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Every row whose key another row shares. Rows with a NULL in the key never match.
 
@@ -112,26 +151,51 @@ def duplicate_rows(
     ``hot_rows`` rows is cut into salts: its rows are spread over them, its
     group is repeated once per salt. ``strategy`` is a join hint for the groups,
     such as ``merge``.
+
+    ``in_place`` moves keys in place of rows: rows stay in the task that read them,
+    in the order of the source, and only disputed ones (:func:`_told`) are shuffled.
+    For the price of two more scans, one of them of the key, the texts shuffled do
+    not grow with the duplicates; ``records`` must be the same each time they are read.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    rows, keys = _salted(_screened(records.filter(_keyed()), groups), groups, hot_rows, strategy)
-    return rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi").select(*COLUMNS)
+    if not in_place:
+        rows, keys = _salted(_screened(records.filter(_keyed()), groups), groups, hot_rows, strategy)
+        return rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi").select(*COLUMNS)
+    told = _told(records.filter(_keyed()), groups, hot_rows, strategy)
+    rows, keys = _salted(told.filter(_DISPUTED), groups, hot_rows, strategy)
+    matched = rows.join(keys, [*DUPLICATE_KEY, _SALT], "left_semi")
+    return told.filter(_SHARED).select(*COLUMNS).unionByName(matched.select(*COLUMNS))
 
 
 def invalid_records(
-    records: DataFrame, groups: DataFrame | None = None, hot_rows: int = HOT_ROWS, strategy: str | None = None
+    records: DataFrame,
+    groups: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    strategy: str | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Rows with a NULL and duplicate rows, each with its reason; a row that is both appears twice.
 
     One scan finds both kinds: rows are marked by an outer join with the groups
-    and repeated once per reason. Other rows stop at the screen.
+    and repeated once per reason. Other rows stop at the screen. With ``in_place``
+    the screens mark all rows but the disputed, as in :func:`duplicate_rows`.
     """
     if groups is None:
         groups = duplicate_groups(records)
-    rows, keys = _salted(_screened(records, groups), groups, hot_rows, strategy)
-    keys = keys.withColumn(_SHARED, F.lit(True))
-    marked = rows.join(keys, [*DUPLICATE_KEY, _SALT], "left")
+    if not in_place:
+        return _reasoned(_screened(records, groups), groups, hot_rows, strategy)
+    told = _told(records, groups, hot_rows, strategy)
+    settled = told.filter(~F.col(_DISPUTED) & (has_null() | F.col(_SHARED)))
+    return _with_reasons(settled).unionByName(_reasoned(told.filter(_DISPUTED), groups, hot_rows, strategy))
+
+
+def _reasoned(records: DataFrame, groups: DataFrame, hot_rows: int, strategy: str | None) -> DataFrame:
+    rows, keys = _salted(records, groups, hot_rows, strategy)
+    return _with_reasons(rows.join(keys.withColumn(_SHARED, F.lit(True)), [*DUPLICATE_KEY, _SALT], "left"))
+
+
+def _with_reasons(marked: DataFrame) -> DataFrame:
     reasons = F.array_compact(
         F.array(F.when(has_null(), F.lit(REASON_NULL)), F.when(F.col(_SHARED), F.lit(REASON_DUPLICATE)))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import duplicate_groups, duplicate_rows, flatten, invalid_records, null_records
 from plumbline.operators import routing
+from plumbline.plans.catalog import QUERIES, review_collection
 from samples import documents, review
 
 
@@ -162,3 +163,39 @@ def test_exact_copies_are_spread_over_tasks(spark, merged):
     found = duplicate_rows(frame, hot_rows=100)
     assert found.count() == 2000
     assert _largest_share(found) < 0.5
+
+
+@pytest.mark.parametrize("bits", [6, 10, 28])
+@pytest.mark.parametrize("given", [False, True])
+def test_in_place_gives_the_same_rows(spark, merged, monkeypatch, tmp_path, bits, given):
+    """Also where every place of the screen, or many of them, are disputed."""
+    monkeypatch.setattr(routing, "SCREEN_BITS", bits)
+    rows = skewed_rows() + [review(f"n{i}", comment=None, customer_id=str(i % 40)) for i in range(60)]
+    path = str(tmp_path / "source")
+    documents(spark, rows).write.parquet(path)
+    frame = flatten(spark.read.parquet(path), "app-x")
+    groups = duplicate_groups(frame) if given else None
+    assert Counter(map(tuple, duplicate_rows(frame, groups, 50, in_place=True).collect())) == brute_force(frame)
+    found = Counter(map(tuple, invalid_records(frame, groups, 50, in_place=True).collect()))
+    assert found == Counter(map(tuple, invalid_records(frame, groups, 50).collect()))
+    assert found.total() == brute_force(frame).total() + null_records(frame).count()
+
+
+def test_in_place_holds_with_colliding_hashes(spark, merged, monkeypatch):
+    monkeypatch.setattr(routing.F, "xxhash64", lambda *columns: F.lit(1).cast("bigint") + F.lit(0) * F.length(columns[-1]))
+    frame = flatten(documents(spark, skewed_rows(600)), "app-x").repartition(4, "id")
+    assert Counter(map(tuple, duplicate_rows(frame, hot_rows=20, in_place=True).collect())) == brute_force(frame)
+
+
+ROUTED = ["duplicate_rows", "duplicate_rows_skewed", "duplicate_rows_merged"]
+ROUTED += ["invalid_records", "invalid_records_screened", "invalid_records_merged"]
+
+
+@pytest.mark.parametrize("name", ROUTED)
+def test_queries_leave_the_texts_in_place(spark, merged, sf_dir, name):
+    """Most reviews are duplicates; as no place is disputed here, all come out in the partitions of the source."""
+    frame = QUERIES[name](spark, sf_dir)
+    given = review_collection(spark, sf_dir).read(spark).rdd.getNumPartitions()
+    used = frame.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert frame.count() > 300
+    assert used <= given < 32
