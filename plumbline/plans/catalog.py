@@ -275,7 +275,7 @@ QUERIES = {
         _skewed(spark, sf), None, SKEWED_HOT_ROWS, in_place=True
     ),
     "invalid_records_merged": lambda spark, sf: invalid_records(
-        _skewed(spark, sf), None, SKEWED_HOT_ROWS, strategy="merge"
+        _skewed(spark, sf), None, SKEWED_HOT_ROWS, strategy="merge", in_place=True
     ),
     "partitioned_roundtrip": _roundtrip,
     "run_log_roundtrip": _run_log,
