@@ -270,7 +270,7 @@ QUERIES = {
     "duplicate_rows_merged": lambda spark, sf: duplicate_rows(
         _skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS, strategy="merge"
     ),
-    "invalid_records": lambda spark, sf: normalize(invalid_records(_records(spark, sf))),
+    "invalid_records": lambda spark, sf: normalize(invalid_records(_records(spark, sf), in_place=True)),
     "invalid_records_screened": lambda spark, sf: invalid_records(
         _skewed(spark, sf), None, SKEWED_HOT_ROWS, in_place=True
     ),
