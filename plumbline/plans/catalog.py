@@ -268,7 +268,7 @@ QUERIES = {
     "duplicate_rows": lambda spark, sf: normalize(duplicate_rows(_records(spark, sf), in_place=True)),
     "duplicate_rows_skewed": lambda spark, sf: duplicate_rows(_skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS),
     "duplicate_rows_merged": lambda spark, sf: duplicate_rows(
-        _skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS, strategy="merge"
+        _skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS, strategy="merge", in_place=True
     ),
     "invalid_records": lambda spark, sf: normalize(invalid_records(_records(spark, sf), in_place=True)),
     "invalid_records_screened": lambda spark, sf: invalid_records(
