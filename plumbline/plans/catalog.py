@@ -266,7 +266,9 @@ QUERIES = {
     "valid_records": lambda spark, sf: normalize(valid_records(_records(spark, sf))),
     "null_records": lambda spark, sf: normalize(null_records(_records(spark, sf))),
     "duplicate_rows": lambda spark, sf: normalize(duplicate_rows(_records(spark, sf), in_place=True)),
-    "duplicate_rows_skewed": lambda spark, sf: duplicate_rows(_skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS),
+    "duplicate_rows_skewed": lambda spark, sf: duplicate_rows(
+        _skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS, in_place=True
+    ),
     "duplicate_rows_merged": lambda spark, sf: duplicate_rows(
         _skewed(spark, sf), hot_rows=SKEWED_HOT_ROWS, strategy="merge", in_place=True
     ),
