@@ -211,8 +211,11 @@ def task_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _once(spark, sf_dir, "event-log", lambda p: task_events(spark, sf_dir).write.text(p))
-    return stage_metrics(spark.read.text(path))
+    def write(path: str) -> None:
+        # Packed files are read by one task each, so they are kept small.
+        task_events(spark, sf_dir).write.option("maxRecordsPerFile", 1_000_000).text(path, compression="gzip")
+
+    return stage_metrics(spark.read.text(_once(spark, sf_dir, "event-log", write)))
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> tuple[IngestJob, IngestResult]:

@@ -1,5 +1,6 @@
 import glob
 import json
+import os
 import re
 from datetime import datetime, timezone
 from urllib.parse import urlparse
@@ -11,7 +12,7 @@ from plumbline import api
 from plumbline.metrics import RunInfo, application_log, metrics_document, parse_stage_report, stage_metrics, stage_totals
 from plumbline.operators import flatten, profile
 from plumbline.plans import IngestJob, run_ingest
-from plumbline.plans.catalog import stage_reports
+from plumbline.plans.catalog import QUERIES, _written, stage_reports, task_events
 from plumbline.sinks import read_run_log
 from plumbline.sources import Collection
 from samples import documents, nine, review
@@ -75,6 +76,15 @@ def event_log(spark):
     return glob.glob(f"{folder}/{spark.sparkContext.applicationId}*")[0]
 
 
+def test_the_stored_event_log_is_packed(spark, sf_dir):
+    lines = task_events(spark, sf_dir).agg(F.sum(F.octet_length("value")), F.count("value")).first()
+    QUERIES["stage_metrics"](spark, sf_dir)
+    path = _written[(spark.sparkContext.applicationId, sf_dir, "event-log")]
+    files = [entry for entry in os.scandir(path) if entry.name.startswith("part-")]
+    assert 0 < 5 * sum(entry.stat().st_size for entry in files) < lines[0]
+    assert spark.read.text(path).count() == lines[1]
+
+
 def test_stage_metrics_of_this_session(spark, sf_dir):
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").count().collect()
     stages = stage_metrics(spark.read.text(event_log(spark)))
