@@ -1,16 +1,17 @@
 """The landing run: read, check, route, land, record.
 
-Passes over the source, whatever its size:
+The source is read once, whatever its format: its records are folded, which is
+most of the work and done once for a row, and stored. So every pass sees the same
+rows. Passes over the stored records, whatever their number:
 
 1. the three key columns, combined on the map side -> duplicate groups, stored;
 2. all columns, map only -> valid rows landed, row counters observed on the way;
 3. all columns -> quarantine: rows with a NULL and rows that match a stored group.
-   A screen of fixed size stops most valid rows before any join; the rest is
-   moved only if the stored groups are too large to broadcast.
+   Keys alone are joined with the groups; a screen of fixed size then tells the
+   rows in place, and only the few it can not tell are moved.
 
-A source that is not made of files is copied to Parquet once before, so that
-every pass sees the same rows. Nothing is cached on executors; what was stored
-for the run is deleted with it, also if it fails.
+Nothing is cached on executors; what was stored for the run is deleted with it,
+also if it fails.
 """
 
 from __future__ import annotations
@@ -27,16 +28,19 @@ from plumbline.metrics.document import RunInfo, metrics_document
 from plumbline.metrics.stages import application_log, stage_metrics, stage_totals
 from plumbline.operators.checks import duplicate_groups, group_counters, quality_report, row_counters
 from plumbline.operators.conform import conform
-from plumbline.operators.project import flatten, normalize
+from plumbline.operators.project import process
 from plumbline.operators.routing import HOT_ROWS, invalid_records, valid_records
 from plumbline.schema import PARTITION_COLUMN, TARGET
 from plumbline.sinks.partitioned import land
 from plumbline.sinks.run_log import JobLabels, append_failure, append_success
 from plumbline.sources.collection import Collection, load_collection
-from plumbline.storage import delete_folder, path_exists, shared_folder
+from plumbline.storage import delete_folder, path_exists, shared_folder, store
 
 log = logging.getLogger(__name__)
 
+# A quarantine of at least this share of the rows gives files of a useful size as it is, and is not shuffled.
+GATHERED_SHARE = 0.1
+
 
 @dataclass(frozen=True)
 class IngestJob:
@@ -73,7 +77,7 @@ class IngestResult:
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    store(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -90,10 +94,7 @@ def _ingest(spark: SparkSession, job: IngestJob, work: str) -> IngestResult:
     ).start()
     load = load_collection(spark, job.collection, job.target, job.load_date)
     log.info("%s load of %s, mark %s", load.mode, job.collection.name, load.mark)
-    records = flatten(load.documents, job.collection.name)
-    if not job.collection.rereadable:
-        records = _stored(records, f"{work}/records")
-
+    records = _stored(process(load.documents, job.collection.name), f"{work}/records")
     groups = _stored(duplicate_groups(records), f"{work}/duplicate_groups")
     counted = groups.agg(*[column.alias(name) for name, column in group_counters().items()]).first().asDict()
 
@@ -102,7 +103,7 @@ def _ingest(spark: SparkSession, job: IngestJob, work: str) -> IngestResult:
     counters = row_counters(records)
     observed = records.observe(seen, *[column.alias(name) for name, column in counters.items()])
     landed = land(
-        normalize(valid_records(observed)),
+        valid_records(observed),
         job.target,
         job.load_date,
         schema=TARGET,
@@ -114,13 +115,15 @@ def _ingest(spark: SparkSession, job: IngestJob, work: str) -> IngestResult:
 
     if not landed["rows"] and path_exists(spark, day := f"{job.target}/{PARTITION_COLUMN}={job.load_date}"):
         # An earlier run of this load date had valid rows, this one has none.
-        conform(normalize(valid_records(records)), TARGET).limit(0).write.mode("overwrite").parquet(day)
+        conform(valid_records(records), TARGET).limit(0).write.mode("overwrite").parquet(day)
 
     quarantined = {"rows": 0}
     expected = counts["null_rows"] + counts["duplicate_rows"]
     if expected:
-        # A few rows from every input split: adaptive execution gathers them into files of a useful size.
-        invalid = normalize(invalid_records(records, groups, job.hot_rows)).hint("rebalance")
+        invalid = invalid_records(records, groups, job.hot_rows, in_place=True)
+        if expected < GATHERED_SHARE * counts["total_records"]:
+            # A few rows from every input split: adaptive execution gathers them into files of a useful size.
+            invalid = invalid.hint("rebalance")
         quarantined = land(invalid, job.quarantine_path, job.load_date)
         if quarantined["rows"] != expected:
             raise RuntimeError(f"quarantined {quarantined['rows']} rows, {expected} expected")

@@ -17,7 +17,7 @@ from plumbline.plans import IngestJob, ingest, run_ingest
 from plumbline.schema import LANDED, TARGET
 from plumbline.sinks import append_failure, append_success, land, read_run_log
 from plumbline.sources import Collection, day_mark, high_water_mark, load_collection, read_landed, since
-from plumbline.storage import shared_folder
+from plumbline.storage import shared_folder, store
 import samples
 from samples import SOURCE, documents, nine, review
 
@@ -136,6 +136,19 @@ def test_land_replaces_one_day(spark, folder):
     assert ids(read_landed(spark, path)) == ["a", "b", "d"]
 
 
+def test_repeated_texts_are_written_once(spark, folder):
+    """Four megabytes of different texts, each held by eight rows: too far from each other for the codec to see."""
+    text = F.concat(*[F.sha2(F.concat(F.floor(F.col("id") / 8), F.lit(f"-{i}")), 512) for i in range(160)])
+    rows = [review("x")]
+    frame = spark.range(0, 1600, 1, 1).select(F.col("id").cast("string").alias("number"), text.alias("text"))
+    named = records(spark, rows).drop("id", "comment").crossJoin(frame).withColumnsRenamed({"number": "id", "text": "comment"})
+    land(named.coalesce(1), folder("t"), "20241130", TARGET)
+    store(named.coalesce(1), folder("stored"))
+    for path in (f"{folder('t')}/odate=20241130", folder("stored")):
+        assert sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path)) < 5 << 20
+    assert read_landed(spark, folder("t")).select(F.countDistinct("comment"), F.count("comment")).first() == (200, 1600)
+
+
 def test_landing_nothing_replaces_nothing(spark, folder):
     path = folder("t")
     land(records(spark, [review("a")]), path, "20241130", TARGET)
@@ -315,6 +328,23 @@ def test_hot_key_run(spark, collection, job):
     assert ids(quarantine(spark, made)) == sorted(f"h{i}" for i in range(200))
 
 
+@pytest.mark.parametrize("copies", [1, 300])
+def test_a_run_folds_once_and_leaves_a_large_quarantine_in_place(spark, collection, job, monkeypatch, copies):
+    plans = []
+
+    def kept(df, *given, **named):
+        plans.append(df._jdf.queryExecution().toString())
+        return land(df, *given, **named)
+
+    monkeypatch.setattr(ingest, "land", kept)
+    rows = [review(f"h{i}", customer_id="hot", comment="Ótimo") for i in range(1 + copies)] + [review(f"r{i}") for i in range(100)]
+    made = job(collection(rows))
+    assert run_ingest(spark, made).quarantined_rows == 1 + copies
+    assert {row["comment"] for row in quarantine(spark, made).collect()} == {"OTIMO"}
+    assert not any("translate" in plan for plan in plans)
+    assert ["Rebalance" in plan for plan in plans] == [False, copies == 1]
+
+
 class DocStore(DataSource):
     """A source that is not files and gives other rows each time it is read."""
 
