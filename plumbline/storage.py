@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # A text that many rows hold is written once per row group, not once per row. The default of 1 MB holds a few hundred
-# long texts; a column without repeats leaves its dictionary after the first page, whatever the limit.
-REPEATED_TEXT = {"parquet.dictionary.page.size": str(16 << 20)}
+# long texts; a column without repeats leaves its dictionary after the first page, whatever the limit. Row groups end
+# before the dictionary is full, which would leave the rest of their rows without one, however large the table.
+REPEATED_TEXT = {"parquet.dictionary.page.size": str(64 << 20), "parquet.block.row.count.limit": "50000"}
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -5,6 +5,7 @@ import os
 import subprocess
 import sys
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -149,6 +150,20 @@ def test_repeated_texts_are_written_once(spark, folder):
     assert read_landed(spark, folder("t")).select(F.countDistinct("comment"), F.count("comment")).first() == (200, 1600)
 
 
+def test_no_row_group_outgrows_its_dictionary(spark, folder):
+    """A task with many rows begins a new dictionary in time: its texts are written once however many it has."""
+    text = F.concat(*[F.sha2(F.concat(F.floor(F.col("id") / 8), F.lit(f"-{i}")), 512) for i in range(8)])
+    number = F.col("id").cast("string")
+    given = {name: F.lit("1") for name in TARGET.fieldNames()} | {"id": number, "comment": text}
+    land(spark.range(0, 120_000, 1, 1).select(*[c.alias(name) for name, c in given.items()]), folder("t"), "20241130", TARGET)
+    path = f"{folder('t')}/odate=20241130"
+    (name,) = [name for name in os.listdir(path) if name.endswith(".parquet")]
+    written = pq.ParquetFile(f"{path}/{name}").metadata
+    groups = [written.row_group(i) for i in range(written.num_row_groups)]
+    assert sum(group.num_rows for group in groups) == 120_000 and max(group.num_rows for group in groups) <= 50_000
+    assert all("PLAIN" not in group.column(1).encodings for group in groups)
+
+
 def test_landing_nothing_replaces_nothing(spark, folder):
     path = folder("t")
     land(records(spark, [review("a")]), path, "20241130", TARGET)
